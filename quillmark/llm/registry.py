@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, piece_model, sentencepiece_ac
+from . import bpe, fertility, piece_model, sentencepiece_ac, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.fertility_rule(table(spark, sf_dir, "documents"), {"piece": piece_model.default_model()}, {"piece": fertility.BANDS})
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_bpe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.count_tokens(table(spark, sf_dir, "documents"), piece_model.default_model())
 
@@ -23,5 +27,9 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_ac.round_trip(table(spark, sf_dir, "documents"), piece_model.default_model())
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op5_bpe_count, op6_sentencepiece)}
-ORACLES: dict[str, str] = {}
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_warc, op5_bpe_count, op6_sentencepiece, op7_simhash)}
+ORACLES: dict[str, str] = {"op2_warc": warc.SQL}
