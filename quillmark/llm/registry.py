@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, piece_model, sentencepiece_ac, simhash, warc
+from . import bpe, fertility, piece_model, sentencepiece_ac, simhash, spaced_seeds, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,5 +31,9 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op2_warc, op5_bpe_count, op6_sentencepiece, op7_simhash)}
+def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_warc, op5_bpe_count, op6_sentencepiece, op7_simhash, op10_spaced_seeds)}
 ORACLES: dict[str, str] = {"op2_warc": warc.SQL}
