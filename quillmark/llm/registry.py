@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, piece_model, sentencepiece_ac, simhash, spaced_seeds, warc
+from . import bpe, fertility, piece_model, sentencepiece_ac, simhash, spaced_seeds, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.count_tokens(table(spark, sf_dir, "documents"), piece_model.default_model())
 
@@ -35,5 +39,5 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op2_warc, op5_bpe_count, op6_sentencepiece, op7_simhash, op10_spaced_seeds)}
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_warc, op3_suffix_dedup, op5_bpe_count, op6_sentencepiece, op7_simhash, op10_spaced_seeds)}
 ORACLES: dict[str, str] = {"op2_warc": warc.SQL}
