@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fertility, piece_model, sentencepiece_ac, simhash, spaced_seeds, suffix_dedup, warc
+from . import bpe, crf, fertility, piece_model, sentencepiece_ac, simhash, spaced_seeds, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return crf.score(docs, crf.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_bpe_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.count_tokens(table(spark, sf_dir, "documents"), piece_model.default_model())
 
@@ -39,5 +44,5 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op2_warc, op3_suffix_dedup, op5_bpe_count, op6_sentencepiece, op7_simhash, op10_spaced_seeds)}
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_warc, op3_suffix_dedup, op4_crf_quality, op5_bpe_count, op6_sentencepiece, op7_simhash, op10_spaced_seeds)}
 ORACLES: dict[str, str] = {"op2_warc": warc.SQL}
