@@ -63,6 +63,17 @@ def drop_table(df: DataFrame) -> None:
             path.getFileSystem(hadoop).delete(path, True)
 
 
+#: Bytes of rows that a task hands to a Python worker at once, where the session doesn't say otherwise.
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session. Spark's own 64 MB exist several times over in each executor's JVM and workers."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "67108864", "64MB", "64m"):
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def map_rows(df: DataFrame, columns: list[str], start: Callable[[], Callable[..., Iterable[list]]], schema: str) -> DataFrame:
     """``mapInArrow`` for per-document work.
 
@@ -70,6 +81,7 @@ def map_rows(df: DataFrame, columns: list[str], start: Callable[[], Callable[...
     lists (one Arrow batch) giving the output columns as lists. Only the named
     columns are read, so others may have any name or type.
     """
+    small_batches(df.sparkSession)
     names = [part.split()[0] for part in schema.split(",")]
     kinds = [pa_type(part.split()[1]) for part in schema.split(",")]
 

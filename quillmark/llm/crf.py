@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, crc_mod_py, map_rows
+from .common import crc_mod, crc_mod_py, map_rows, small_batches
 
 #: Labelled documents and characters of them that a fit collects at most (the documents with the least id hashes).
 TRAIN_DOCS, TRAIN_CHARS = 4000, 24_000_000
@@ -270,6 +270,7 @@ def score(docs: DataFrame, model: Model, held_out: tuple[int, int] = (4, 2), thr
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that score below ``threshold``; columns unchanged."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

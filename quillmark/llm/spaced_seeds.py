@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Token positions that each mask compares; it ignores those between. In any 10 tokens with 2 substitutions,
 #: and in any 13 with 3, one of these masks fits between the substitutions.
 MASKS = ((0, 1, 2, 3, 5), (0, 2, 6, 7, 8), (0, 1, 2, 7, 8), (0, 4, 6, 8, 9))
@@ -172,6 +174,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), block_b
     equal texts are reported each.
     """
     spark, out = docs.sparkSession, None
+    small_batches(spark)
     for index in _blocks(benchmark, rule, block_bytes):
         sent = spark.sparkContext.broadcast(index)
 
@@ -189,6 +192,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), block_b
 
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without the rows that overlap any benchmark item; columns unchanged."""
+    small_batches(docs.sparkSession)
     for index in _blocks(benchmark, rule, block_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, shared_dir
+from .common import materialise, small_batches
 
 GRAM = 24
 BATCH_BYTES = 16 << 20
@@ -363,7 +363,7 @@ def _removed(docs: DataFrame, finish, schema: str, length: int, batch_bytes: int
     if not GRAM + 8 <= length <= 220:
         raise ValueError(f"length must be from {GRAM + 8} to 220")
     spark = docs.sparkSession
-    shared_dir(spark)
+    small_batches(spark)
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     p = Params(length, max(1, -(-total // part_bytes)), hot, sort_bytes)
     table = _batched(docs, batch_bytes, f"quillmark_batches_{uuid.uuid4().hex}", total)

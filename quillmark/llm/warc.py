@@ -18,7 +18,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, scratch
+from .common import materialise, scratch, small_batches
 
 CHUNK = 1 << 20
 FILE_BYTES = 64 << 20
@@ -77,6 +77,8 @@ def write_archives(chunks: DataFrame, folder: str, date: str = "2000-01-01T00:00
     manifest, so a lost executor leaves at most files that nothing reads.
     """
 
+    small_batches(chunks.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pyarrow.fs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
