@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, crf, fertility, piece_model, sentencepiece_ac, simhash, spaced_seeds, suffix_dedup, warc
+from . import bpe, crf, fertility, license_scan, maxent, piece_model, sentencepiece_ac, simhash, spaced_seeds, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,9 +40,18 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.train_and_score(table(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.train(docs))
+
+
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fertility, op2_warc, op3_suffix_dedup, op4_crf_quality, op5_bpe_count, op6_sentencepiece, op7_simhash, op10_spaced_seeds)}
+QUERIES = {f.__name__: f for f in (op1_fertility, op2_warc, op3_suffix_dedup, op4_crf_quality, op5_bpe_count, op6_sentencepiece, op7_simhash, op8_maxent_lm, op9_license_scan, op10_spaced_seeds)}
 ORACLES: dict[str, str] = {"op2_warc": warc.SQL}
