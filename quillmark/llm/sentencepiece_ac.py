@@ -119,13 +119,15 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
     return map_rows(encoded, ["doc_id", "piece_ids"], start, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, model_file: str, cache_spans: int = CACHE_SPANS) -> DataFrame:
+def round_trip(docs: DataFrame, model_file: str, cache_spans: int = CACHE_SPANS, with_ids: bool = False) -> DataFrame:
     """Encodes and decodes each text in one pass.
 
-    Returns ``doc_id, n_bytes, n_tokens, ids_sha256, same``: the digest is of
-    the piece numbers as little-endian 32-bit integers; ``same`` says that the
-    decoded text equals the input (a null text counts as empty). No shuffle;
-    repeated rows are handled each; other columns are neither read nor returned.
+    Returns ``doc_id, n_bytes, n_tokens, ids_sha256, same`` (and ``piece_ids``
+    if asked for): the digest is of the piece numbers as little-endian 32-bit
+    integers; ``same`` says that the decoded text equals the input (a null text
+    counts as empty). It is false only for texts with U+2581, which stands for
+    a space in the vocabulary. No shuffle; repeated rows are handled each;
+    other columns are neither read nor returned.
     """
 
     def start():
@@ -139,8 +141,9 @@ def round_trip(docs: DataFrame, model_file: str, cache_spans: int = CACHE_SPANS)
                 [len(f) for f in found],
                 [hashlib.sha256(f.tobytes()).hexdigest() for f in found],
                 [enc.decode(f) == (t or "") for f, t in zip(found, texts, strict=True)],
+                *([[f.tolist() for f in found]] if with_ids else []),
             )
 
         return work
 
-    return map_rows(docs, ["doc_id", "text"], start, "doc_id long, n_bytes long, n_tokens long, ids_sha256 string, same boolean")
+    return map_rows(docs, ["doc_id", "text"], start, "doc_id long, n_bytes long, n_tokens long, ids_sha256 string, same boolean" + ", piece_ids array<int>" * with_ids)

@@ -7,8 +7,8 @@ import pytest
 from quillmark.llm import suffix_dedup as sd
 
 
-def plain(rows, length):
-    """doc place -> removed byte flags, from the least doc_id of every window."""
+def plain_flags(rows, length):
+    """Removed bytes of each row, from the least doc_id of every window."""
     key = lambda i: (1 << 63) - 1 if i is None else i
     least = {}
     for doc_id, text in rows:
@@ -23,6 +23,14 @@ def plain(rows, length):
         for p in range(len(raw) - length + 1):
             if least[raw[p : p + length]] < key(doc_id):
                 gone[p : p + length] = [True] * length
+        out.append(gone)
+    return out
+
+
+def plain(rows, length):
+    out = []
+    for (doc_id, text), gone in zip(rows, plain_flags(rows, length), strict=True):
+        raw = (text or "").encode()
         spans = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
         rest = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         out.append((doc_id, len(raw), sum(gone), spans, hashlib.sha256(rest).hexdigest()))
