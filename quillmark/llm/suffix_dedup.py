@@ -24,23 +24,21 @@ because they differ around a common passage is dealt out by whole windows.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
+from .batches import BATCH_BYTES, PART_BYTES, as_table, batched, parts_for, total_bytes
+from .batches import pack as _pack
+from .batches import unpack as _unpack
+from .common import materialise
 
 GRAM = 24
-BATCH_BYTES = 16 << 20
-PART_BYTES = 8 << 20
 #: Stretches of a minimiser, as counted by batches, beyond which its windows are dealt out one by one.
 HOT_STRETCHES = 50_000
 #: Bytes of stretches sorted at once; a larger part is sorted in pieces by minimiser.
@@ -171,19 +169,6 @@ def equal_windows(text: bytes, windows: np.ndarray, length: int, q: int = 8) ->
     return pointer[windows]
 
 
-def _pack(*arrays) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(len(b).to_bytes(4, "little") + b for b in (x if isinstance(x, bytes) else x.tobytes() for x in arrays)))
-
-
-def _unpack(blob: bytes) -> list[bytes]:
-    raw, at, out = zstandard.ZstdDecompressor().decompress(blob), 0, []
-    while at < len(raw):
-        n = int.from_bytes(raw[at : at + 4], "little")
-        out.append(raw[at + 4 : at + 4 + n])
-        at += 4 + n
-    return out
-
-
 class Batch:
     """The documents of a batch, least doc_id first, nulls last."""
 
@@ -339,64 +324,42 @@ def _rest(text: bytes, spans: list[list[int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip([0, *(s[1] for s in spans)], [*(s[0] for s in spans), len(text)], strict=True))
 
 
-def _batched(docs: DataFrame, batch_bytes: int, name: str, total: int) -> DataFrame:
-    """Writes ``docs`` with a column ``_batch`` of runs of rows of about ``batch_bytes``, as a table bucketed by it: what works by batch needs no shuffle."""
-    spark = docs.sparkSession
-    place = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, size = TaskContext.get().partitionId() << 24, 0
-        for b in batches:
-            bytes_of = pa.compute.fill_null(pa.compute.binary_length(b.column(place)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            lot = (size + np.cumsum(bytes_of)) // batch_bytes
-            size += int(bytes_of.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(number + lot, pa.int64()), *b.columns], names=["_batch", *b.schema.names])
-
-    schema = "_batch long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    n = max(1, min(50_000, -(-total // (2 * batch_bytes))))
-    docs.mapInArrow(run, schema).write.option("compression", "zstd").bucketBy(n, "_batch").saveAsTable(name, format="parquet")
-    return spark.table(name)
-
-
 def _removed(docs: DataFrame, finish, schema: str, length: int, batch_bytes: int, part_bytes: int, hot: int, sort_bytes: int) -> DataFrame:
     """The three exchanges; ``finish(table, batch, spans)`` makes the result of a batch."""
     if not GRAM + 8 <= length <= 220:
         raise ValueError(f"length must be from {GRAM + 8} to 220")
-    spark = docs.sparkSession
-    small_batches(spark)
-    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    p = Params(length, max(1, -(-total // part_bytes)), hot, sort_bytes)
-    table = _batched(docs, batch_bytes, f"quillmark_batches_{uuid.uuid4().hex}", total)
+    total = total_bytes(docs)
+    p = Params(length, parts_for(total, part_bytes), hot, sort_bytes)
+    table = batched(docs, batch_bytes, total)
     lean = table.select("_batch", "doc_id", "text")
     row = "part long, _batch long, blob binary"
 
-    def out(rows: list[tuple], names: list[str]) -> pa.Table:
-        cols = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
-        return pa.table({n: pa.array(c, pa.binary() if n == "blob" else pa.int64()) for n, c in zip(names, cols, strict=True)})
+    def out(rows: list[tuple]) -> pa.Table:
+        return as_table(rows, {"part": pa.int64(), "_batch": pa.int64(), "blob": pa.binary()})
 
     def tell(t: pa.Table) -> pa.Table:
         key = t.column("_batch")[0].as_py()
-        return out([(part, key, blob) for part, blob in Batch(t, p).told()], ["part", "_batch", "blob"])
+        return out([(part, key, blob) for part, blob in Batch(t, p).told()])
 
     def meet(t: pa.Table) -> pa.Table:
         ids, part = t.column("_batch").to_pylist(), t.column("part")[0].as_py()
-        return out([(part, b, x) for b, x in zip(ids, _part_of_gram(ids, t.column("blob").to_pylist(), p.hot), strict=True)], ["part", "_batch", "blob"])
+        return out([(part, b, x) for b, x in zip(ids, _part_of_gram(ids, t.column("blob").to_pylist(), p.hot), strict=True)])
 
     def send(t: pa.Table, replies: pa.Table) -> pa.Table:
         if not t.num_rows:
-            return out([], ["part", "_batch", "blob"])
+            return out([])
         key = t.column("_batch")[0].as_py()
         _, least = Batch(t, p).candidates(list(zip(replies.column("part").to_pylist(), replies.column("blob").to_pylist(), strict=True)))
         rows = []
         for part, own in least.items():
             order = sorted(own)
             rows.append((part, key, _pack(np.array([len(x) for x in order], np.uint8), b"".join(order), np.array([own[x] for x in order], np.int64))))
-        return out(rows, ["part", "_batch", "blob"])
+        return out(rows)
 
     def sort(t: pa.Table) -> pa.Table:
         part = t.column("part")[0].as_py()
         found = _part_of_stretches(t.column("blob").to_pylist(), p)
-        return out([(part, b, x) for b, x in zip(t.column("_batch").to_pylist(), found, strict=True) if x is not None], ["part", "_batch", "blob"])
+        return out([(part, b, x) for b, x in zip(t.column("_batch").to_pylist(), found, strict=True) if x is not None])
 
     def end(t: pa.Table, replies: pa.Table) -> pa.Table:
         if not t.num_rows:
