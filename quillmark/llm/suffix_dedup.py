@@ -41,8 +41,9 @@ from .common import materialise
 GRAM = 24
 #: Stretches of a minimiser, as counted by batches, beyond which its windows are dealt out one by one.
 HOT_STRETCHES = 50_000
-#: Bytes of stretches sorted at once; a larger part is sorted in pieces by minimiser.
-SORT_BYTES = 12 << 20
+#: Bytes of stretches sorted at once, if a lot of minimisers hasn't more; a larger part is sorted by lots.
+SORT_BYTES = 2 << 20
+_LOTS = 64
 _PIECE = 1 << 19
 _POS_BITS = np.uint64(20)
 _LAST = (1 << 63) - 1
@@ -132,6 +133,40 @@ def stretches(texts: list[bytes], length: int) -> Stretches:
     return Stretches(*(np.concatenate(c) for c in zip(*out, strict=True))) if out else Stretches(*(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64)))
 
 
+_BITS = 21  # of a place in what is sorted at once: two pointers and a place fill a number of 63 bits
+
+
+def _grouped(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in the order of (high, low), which are places themselves; the sorted ``high``; where (high, low) changes.
+
+    Up to 2**21 of them are sorted as numbers that carry their place, which is faster than sorting places.
+    """
+    n = len(high)
+    if n == 0 or max(int(high.max()), int(low.max()), n) >> _BITS:
+        order = np.lexsort((low, high))
+        high, low = high[order], low[order]
+        return order, high, np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])])[:n]
+    x = np.sort((high << 2 * _BITS) | (low << _BITS) | np.arange(n))
+    pair = x >> _BITS
+    return x & ((1 << _BITS) - 1), pair >> _BITS, np.concatenate([[True], pair[1:] != pair[:-1]])
+
+
+def _first_buckets(g: np.ndarray) -> np.ndarray:
+    """The pointer of each place's bucket of equal grams: the rank of the bucket's first."""
+    n = len(g)
+    if n >> 32:
+        order = np.argsort(g)
+    else:
+        place, mask = np.arange(n, dtype=np.uint64), np.uint64(0xFFFFFFFF)
+        order = (np.sort((g << np.uint64(32)) | place) & mask).astype(np.int64)
+        order = order[(np.sort((g[order] & ~mask) | place) & mask).astype(np.int64)]
+    by_order = g[order]
+    fresh = np.concatenate([[True], by_order[1:] != by_order[:-1]])[:n]
+    pointer = np.empty(n, np.int64)
+    pointer[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+    return pointer
+
+
 def equal_windows(text: bytes, windows: np.ndarray, length: int, q: int = 8) -> np.ndarray:
     """Bucket of each window of ``length`` bytes: equal for equal windows, in the order of their bytes.
 
@@ -141,13 +176,7 @@ def equal_windows(text: bytes, windows: np.ndarray, length: int, q: int = 8) ->
     last pass, which doubles the depth; pointers refined so are used by the next.
     """
     n = len(text)
-    g = _grams8(np.frombuffer(text + bytes(q - 1), np.uint8))
-    order = np.argsort(g, kind="stable")
-    fresh = np.ones(n, bool)
-    fresh[1:] = g[order][1:] != g[order][:-1]
-    pointer = np.empty(n, np.int64)
-    pointer[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    del g, order, fresh
+    pointer = _first_buckets(_grams8(np.frombuffer(text + bytes(q - 1), np.uint8)))
     reach = np.full(n, -1, np.int64)
     reach[windows] = windows + length
     left = np.maximum.accumulate(reach) - np.arange(n)  # bytes that windows still hold from a place on
@@ -156,15 +185,12 @@ def equal_windows(text: bytes, windows: np.ndarray, length: int, q: int = 8) ->
         step = min(depth, length - depth)
         many = np.bincount(pointer, minlength=n) > 1
         place = np.flatnonzero(many[pointer] & (left >= depth + step))
-        key = (pointer[place] << 32) | pointer[place + step]
-        order = np.argsort(key, kind="stable")
-        key, place = key[order], place[order]
-        old = key >> 32
-        if len(key):
-            index = np.arange(len(key))
+        if len(place):
+            order, old, fresh = _grouped(pointer[place], pointer[place + step])
+            index = np.arange(len(place))
             head = np.maximum.accumulate(np.where(np.concatenate([[True], old[1:] != old[:-1]]), index, 0))
-            own = np.maximum.accumulate(np.where(np.concatenate([[True], key[1:] != key[:-1]]), index, 0))
-            pointer[place] = old + own - head
+            own = np.maximum.accumulate(np.where(fresh, index, 0))
+            pointer[place[order]] = old + own - head
         depth += step
     return pointer[windows]
 
@@ -191,8 +217,8 @@ class Batch:
             if len(own):
                 yield int(self.part[own[0]]), _pack(np.ascontiguousarray(self.grams[own].view(np.uint8).reshape(-1, 8)[:, :5]), count[own])
 
-    def candidates(self, replies: list[tuple[int, bytes]]) -> tuple[list[tuple[int, int, int, bytes]], dict[int, dict[bytes, int]]]:
-        """What may repeat: (document, first byte, part, stretch), and for each part the least doc_id of its distinct stretches."""
+    def candidates(self, replies: list[tuple[int, bytes]]) -> tuple[list[tuple[int, int, int, bytes]], dict[int, dict[bytes, tuple[int, int]]]]:
+        """What may repeat: (document, first byte, part, stretch), and for each part the least doc_id and the lot of its distinct stretches."""
         low = np.full(len(self.grams), len(self.ids))
         high = np.full(len(self.grams), -1)
         np.minimum.at(low, self.inverse, self.s.doc)
@@ -203,18 +229,22 @@ class Batch:
             a, b = (np.unpackbits(np.frombuffer(x, np.uint8), count=len(own)).astype(bool) for x in _unpack(blob))
             shared[own] |= a
             hot[own] |= b
-        found, least, length = [], {}, self.p.length
+        lots = ((self.grams >> np.uint64(32)) % np.uint64(_LOTS)).tolist()
+        found, length = [], self.p.length
+        least: dict[int, dict[bytes, tuple[int, int]]] = {}
         for k in np.flatnonzero(shared[self.inverse]).tolist():
-            doc, start, n, gram = int(self.s.doc[k]), int(self.s.start[k]), int(self.s.windows[k]), self.inverse[k]
-            text = self.texts[doc]
+            doc, start, n, gram = int(self.s.doc[k]), int(self.s.start[k]), int(self.s.windows[k]), int(self.inverse[k])
+            text, doc_id = self.texts[doc], int(self.ids[doc])
             if hot[gram]:
                 for at in range(start, start + n):
                     piece = text[at : at + length]
-                    found.append((doc, at, xxhash.xxh64_intdigest(piece) % self.p.parts, piece))
+                    h = xxhash.xxh64_intdigest(piece)
+                    found.append((doc, at, part := h % self.p.parts, piece))
+                    least.setdefault(part, {}).setdefault(piece, (doc_id, h >> 58))
             else:
-                found.append((doc, start, int(self.part[gram]), text[start : start + n + length - 1]))
-        for doc, _, part, piece in found:  # documents come in the order of their ids
-            least.setdefault(part, {}).setdefault(piece, int(self.ids[doc]))
+                piece = text[start : start + n + length - 1]
+                found.append((doc, start, part := int(self.part[gram]), piece))
+                least.setdefault(part, {}).setdefault(piece, (doc_id, lots[gram]))  # stretches come in the order of doc_ids
         return found, least
 
 
@@ -234,22 +264,16 @@ def _part_of_gram(batch_ids: list[int], blobs: list[bytes], hot: int) -> list[by
     return out
 
 
-def _least_of_windows(pieces: list[bytes], least: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
-    """The least doc_id of each window of each stretch, and where each stretch's windows begin."""
+def _least_of_windows(pieces: list[bytes], least: np.ndarray, lots: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """The least doc_id of each window of each stretch, and where each stretch's windows begin. Equal windows are in one lot."""
     sizes = np.array([len(x) for x in pieces], np.int64)
     n = sizes - p.length + 1
     begin = np.concatenate([[0], np.cumsum(n)])
     out = np.empty(begin[-1], np.int64)
-    groups = [np.arange(len(pieces))]
-    if sizes.sum() > p.sort_bytes:  # equal windows have equal minimisers, so pieces by minimiser are independent
-        gram = np.zeros(len(pieces), np.uint64)
-        for at in range(0, len(pieces), 4096):
-            ends = np.cumsum(sizes[at : at + 4096])
-            first, _, g = _cut(b"".join(pieces[at : at + 4096]), ends, p.length)
-            own, once = np.unique(np.searchsorted(ends, first, "right"), return_index=True)
-            gram[at + own] = g[once]
-        lot = gram % np.uint64(-(-int(sizes.sum()) // p.sort_bytes))
-        groups = [x for k in range(int(lot.max()) + 1) if len(x := np.flatnonzero(lot == k))]
+    of_lot = np.bincount(lots, sizes, _LOTS)
+    turn = ((np.cumsum(of_lot) - of_lot) // p.sort_bytes).astype(np.int64)[lots]
+    order = np.argsort(turn, kind="stable")
+    groups = np.split(order, np.flatnonzero(np.diff(turn[order])) + 1)
     for own in groups:
         text = b"".join([pieces[i] for i in own])
         base = np.cumsum(sizes[own]) - sizes[own]
@@ -265,16 +289,18 @@ def _least_of_windows(pieces: list[bytes], least: np.ndarray, p: Params) -> tupl
 def _part_of_stretches(blobs: list[bytes], p: Params) -> list[bytes | None]:
     """For each batch: runs of windows (stretch, first window, windows) that start in a document before its own."""
     number: dict[bytes, int] = {}
-    own, docs = [], []
+    own, docs, lots = [], [], np.zeros(0, np.int64)
     for blob in blobs:
-        sizes, text, ids = _unpack(blob)
+        sizes, text, ids, lot = _unpack(blob)
         ends = np.cumsum(np.frombuffer(sizes, np.uint8).astype(np.int64)).tolist()
         own.append(np.array([number.setdefault(text[a:b], len(number)) for a, b in zip([0, *ends[:-1]], ends, strict=True)], np.int64))
         docs.append(np.frombuffer(ids, np.int64))
+        lots = np.concatenate([lots, np.zeros(len(number) - len(lots), np.int64)])
+        lots[own[-1]] = np.frombuffer(lot, np.uint8)
     least = np.full(len(number), _LAST)
     for k, ids in zip(own, docs, strict=True):
         np.minimum.at(least, k, ids)
-    low, begin = _least_of_windows(list(number), least, p)
+    low, begin = _least_of_windows(list(number), least, lots, p)
     out: list[bytes | None] = []
     for k, ids in zip(own, docs, strict=True):
         n = begin[k + 1] - begin[k]
@@ -301,7 +327,7 @@ def _spans(batch: Batch, gram_replies: list, stretch_replies: list) -> list[list
             earlier.setdefault(order[w], []).append((f, c))
     ranges: list[list[tuple[int, int]]] = [[] for _ in batch.texts]
     for doc, start, part, piece in found:
-        if least[part][piece] < batch.ids[doc]:
+        if least[part][piece][0] < batch.ids[doc]:
             ranges[doc].append((start, start + len(piece)))
         else:
             for first, n in earlier.get(piece, ()):
@@ -326,8 +352,8 @@ def _rest(text: bytes, spans: list[list[int]]) -> bytes:
 
 def _removed(docs: DataFrame, finish, schema: str, length: int, batch_bytes: int, part_bytes: int, hot: int, sort_bytes: int) -> DataFrame:
     """The three exchanges; ``finish(table, batch, spans)`` makes the result of a batch."""
-    if not GRAM + 8 <= length <= 220:
-        raise ValueError(f"length must be from {GRAM + 8} to 220")
+    if not GRAM + 8 <= length <= 139:  # a stretch then has under 256 bytes
+        raise ValueError(f"length must be from {GRAM + 8} to 139")
     total = total_bytes(docs)
     p = Params(length, parts_for(total, part_bytes), hot, sort_bytes)
     table = batched(docs, batch_bytes, total)
@@ -353,7 +379,8 @@ def _removed(docs: DataFrame, finish, schema: str, length: int, batch_bytes: int
         rows = []
         for part, own in least.items():
             order = sorted(own)
-            rows.append((part, key, _pack(np.array([len(x) for x in order], np.uint8), b"".join(order), np.array([own[x] for x in order], np.int64))))
+            ids, lots = zip(*map(own.__getitem__, order), strict=True)
+            rows.append((part, key, _pack(np.array([len(x) for x in order], np.uint8), b"".join(order), np.array(ids, np.int64), np.array(lots, np.uint8))))
         return out(rows)
 
     def sort(t: pa.Table) -> pa.Table:

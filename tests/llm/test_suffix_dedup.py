@@ -59,6 +59,14 @@ def test_removed_digest(spark, seed, small):
     assert sorted(map(str, got)) == sorted(map(str, plain(rows, 50)))
 
 
+@pytest.mark.parametrize("length", [32, 139])
+def test_other_lengths(spark, length):
+    rows = corpus(5) + [(900, "y" * 500), (901, "y" * 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(x)[:5] for x in sd.removed_digest(df, length=length, batch_bytes=900, part_bytes=5000).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, plain(rows, length)))
+
+
 def test_buckets_are_suffix_order():
     r = random.Random(4)
     for length in (32, 50, 64, 100):
