@@ -1 +1 @@
-"""quillmark.operators"""
+"""DataFrame to DataFrame operators over words, fields, matches and form items."""

@@ -1,6 +1,733 @@
-"""Named queries over the test tables, each with the DuckDB SQL that must give the same rows."""
+"""Named queries over the test tables, each with the DuckDB SQL that must give the same rows where SQL can say it.
+
+The tables have no word boxes and no annotations, so queries derive them: words
+are laid out from ``documents.text``; fields are pieces of the same text (an
+exact hit, one with a letter missing), identifiers and a value that is absent;
+boxes for geometry and validation are arithmetic on ``lineitem``.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import geometry as g
+from ..functions import text
+from ..operators import export, layout, match, quality
+from ..sources import annotations, documents
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.words_of_text(table(spark, sf_dir, "documents"))
+
+
+def cut_words(c: str = "text"):
+    return F.filter(F.split(F.col(c), documents.BLANKS), lambda w: w != "")
+
+
+FIELD_NAMES = ["tipo", "nombre", "emisor_ruc", "lang", "source", "ausente"]
+
+
+def field_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An annotation for each document, its keys as columns."""
+    w = cut_words()
+    run = lambda a, n: F.when(F.size(w) >= a + n, F.array_join(F.slice(w, a + 1, n), " "))
+    name = run(10, 3)
+    rows = table(spark, sf_dir, "documents")
+    return rows.select("doc_id", run(3, 2).alias("tipo"), F.concat(F.substring(name, 1, 1), F.substring(name, 3, 1 << 30)).alias("nombre"), F.format_string("20-%d-7", "doc_id").alias("emisor_ruc"), "lang", "source", F.lit("zzzz qqqq").alias("ausente"))
+
+
+def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotations.fields_of_columns(field_columns(spark, sf_dir), FIELD_NAMES)
+
+
+def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return match.first_match(match.exact(words(spark, sf_dir), fields(spark, sf_dir)))
+
+
+def flat(df: DataFrame, *keep: str, box: str = "bbox") -> DataFrame:
+    return df.select(*keep, *(F.col(box)[s].alias(s) for s in g.SIDES))
+
+
+#: The derived tables in DuckDB.
+WORDS = r"""
+ws AS (SELECT doc_id, lang, source, list_filter(regexp_split_to_array(text, '[ \t\r\n\f]+'), lambda x: x <> '') AS w FROM documents),
+w0 AS (SELECT doc_id, unnest(range(len(w)))::INT AS word_idx, unnest(w) AS text FROM ws),
+w1 AS (SELECT *, (word_idx // 400)::INT AS page_num, ((word_idx % 400) // 8)::INT AS line_no, (word_idx % 8)::INT AS word_no FROM w0),
+words AS (SELECT *, 36 + word_no * 67.5::DOUBLE AS x0, 36 + line_no * 14.4::DOUBLE AS y0, 36 + word_no * 67.5::DOUBLE + least(60.0::DOUBLE, 7.5::DOUBLE * length(text)) AS x1, 36 + line_no * 14.4::DOUBLE + 10 AS y1 FROM w1)
+"""
+FIELDS = r"""
+fc AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN w[4] || ' ' || w[5] END AS tipo, CASE WHEN len(w) >= 13 THEN w[11] || ' ' || w[12] || ' ' || w[13] END AS n3, lang, source FROM ws),
+fields AS (
+  SELECT doc_id, 0 AS field_ord, 'tipo' AS field_name, coalesce(tipo, '') AS field_value FROM fc
+  UNION ALL SELECT doc_id, 1, 'nombre', coalesce(substr(n3, 1, 1) || substr(n3, 3), '') FROM fc
+  UNION ALL SELECT doc_id, 2, 'emisor_ruc', '20-' || doc_id || '-7' FROM fc
+  UNION ALL SELECT doc_id, 3, 'lang', coalesce(lang, '') FROM fc
+  UNION ALL SELECT doc_id, 4, 'source', coalesce(source, '') FROM fc
+  UNION ALL SELECT doc_id, 5, 'ausente', 'zzzz qqqq' FROM fc)
+"""
+EXACT = r"""
+nw AS (SELECT *, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS norm FROM words),
+pg AS (SELECT doc_id, page_num, list(norm ORDER BY word_idx) AS l, list(word_idx ORDER BY word_idx) AS idx FROM nw WHERE norm <> '' GROUP BY ALL),
+ft AS (SELECT *, list_filter(string_split(trim(regexp_replace(lower(field_value), '\s+', ' ', 'g')), ' '), lambda x: x <> '') AS toks FROM fields WHERE trim(field_value) <> ''),
+hit AS (SELECT doc_id, field_ord, field_name, field_value, page_num, idx, len(toks) AS n, unnest(list_filter(range(1, len(l) + 1), lambda i: l[i:i + len(toks) - 1] = toks)) AS i FROM ft JOIN pg USING (doc_id) WHERE len(toks) BETWEEN 1 AND 4),
+exact0 AS (SELECT doc_id, field_ord, field_name, field_value, page_num, idx[i] AS start_idx, idx[i + n - 1] AS end_idx, n AS word_count FROM hit),
+exact AS (SELECT e.doc_id, field_ord, field_name, field_value, e.page_num, start_idx, end_idx, word_count, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, string_agg(text, ' ' ORDER BY word_idx) AS matched_text FROM exact0 e JOIN words w ON w.doc_id = e.doc_id AND w.word_idx BETWEEN start_idx AND end_idx GROUP BY ALL),
+best AS (SELECT * FROM exact QUALIFY row_number() OVER (PARTITION BY doc_id, field_ord ORDER BY word_count, start_idx) = 1)
+"""
+LINE = """b AS (SELECT l_orderkey AS doc_id, l_linenumber AS field_ord, l_quantity * 10 AS x0, l_discount * 4000 AS y0, l_quantity * 10 + l_tax * 2000 - 20 AS x1, l_discount * 4000 + l_extendedprice / 100 - 50 AS y1, l_returnflag, l_shipdate FROM lineitem)"""
+
+
+def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    x0, y0 = F.col("l_quantity") * 10, F.col("l_discount") * 4000
+    b = g.box(x0, y0, x0 + F.col("l_tax") * 2000 - 20, y0 + F.col("l_extendedprice") / 100 - 50)
+    return li.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("field_ord"), b.alias("bbox"), "l_returnflag", "l_shipdate")
+
+
+def w_sql(body: str) -> str:
+    return f"WITH {WORDS} {body}"
+
+
+def f_sql(body: str) -> str:
+    return f"WITH {WORDS}, {FIELDS} {body}"
+
+
+def m_sql(body: str) -> str:
+    return f"WITH {WORDS}, {FIELDS}, {EXACT} {body}"
+
+
+def b_sql(body: str) -> str:
+    return f"WITH {LINE} {body}"
+
+
+# ---- sources ----
+
+
+@query(w_sql("SELECT doc_id, count(*) AS n_words, sum(length(text))::BIGINT AS n_letters, sum(word_idx * length(text))::BIGINT AS weighted, sum(trunc(x0))::BIGINT AS x_sum, max(page_num) AS last_page FROM words GROUP BY doc_id"))
+def words_scan(spark, sf_dir):
+    w = words(spark, sf_dir)
+    return w.groupBy("doc_id").agg(F.count("*").alias("n_words"), F.sum(F.length("text")).alias("n_letters"), F.sum(F.col("word_idx") * F.length("text")).alias("weighted"), F.sum(F.col("bbox.x0").cast("int")).alias("x_sum"), F.max("page_num").alias("last_page"))
+
+
+@query(w_sql("SELECT DISTINCT doc_id, page_num, 612.0::DOUBLE AS page_width, 792.0::DOUBLE AS page_height FROM words"))
+def page_sizes(spark, sf_dir):
+    return documents.page_sizes(words(spark, sf_dir))
+
+
+@query(w_sql("SELECT doc_id, page_num, md5(string_agg(t, chr(10) ORDER BY line_no)) AS text_md5, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM (SELECT doc_id, page_num, line_no, string_agg(text, ' ' ORDER BY word_idx) AS t, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM words GROUP BY ALL) GROUP BY doc_id, page_num"))
+def text_blocks(spark, sf_dir):
+    return flat(documents.blocks(words(spark, sf_dir)).withColumn("text_md5", F.md5("text")), "doc_id", "page_num", "text_md5")
+
+
+@query(w_sql("SELECT doc_id, page_num, string_agg(text, ' ' ORDER BY word_idx) AS text FROM words WHERE x0 >= 100 AND y0 >= 60 AND x1 <= 400 AND y1 <= 130 GROUP BY doc_id, page_num"))
+def text_in_box(spark, sf_dir):
+    return documents.text_in_box(words(spark, sf_dir), g.box(*(F.lit(float(v)) for v in (100, 60, 400, 130))))
+
+
+@query(w_sql("""
+, pages AS (SELECT doc_id, page_num, count(*) AS n FROM words GROUP BY ALL),
+k AS (SELECT *, CASE WHEN n < 10 AND doc_id % 2 = 0 THEN 'rasterized' WHEN n >= 10 THEN 'native' WHEN doc_id % 3 = 0 THEN 'rasterized' ELSE 'native' END AS kind FROM pages),
+o AS (SELECT doc_id, page_num, count(*) AS o FROM words WHERE (word_idx % 10) / 10.0 >= 0.5 AND doc_id % 5 <> 1 GROUP BY ALL),
+j AS (SELECT k.*, coalesce(o, 0) AS o FROM k LEFT JOIN o USING (doc_id, page_num)),
+c AS (SELECT *, CASE WHEN o > 0 AND (kind = 'rasterized' OR (n < 10 AND o > n)) THEN 'ocr' ELSE 'native' END AS method FROM j)
+SELECT doc_id, page_num, method, CASE WHEN method = 'ocr' THEN o ELSE n END AS n FROM c"""))
+def hybrid_choice(spark, sf_dir):
+    w = words(spark, sf_dir)
+    n = w.groupBy("doc_id", "page_num").agg(F.count("*").alias("n"))
+    cover = F.when(F.col("doc_id") % 2 == 0, 0.9).otherwise(0.1)
+    kinds = n.select("doc_id", "page_num", documents.pdf_kind(F.col("n"), cover, F.col("doc_id") % 3 == 0).alias("kind"))
+    ocr = w.where(F.col("doc_id") % 5 != 1).withColumns({"source": F.lit("ocr"), "confidence": (F.col("word_idx") % 10) / 10})
+    return documents.hybrid_words(w, ocr, kinds).groupBy("doc_id", "page_num", "method").agg(F.count("*").alias("n"))
+
+
+def _paths(spark, sf_dir, name, folder, ext):
+    return table(spark, sf_dir, name).select(F.format_string(f"/{folder}/doc_%d.{ext}", "doc_id").alias("path"))
+
+
+@query("SELECT 'doc_' || d.doc_id AS stem, '/pdf/doc_' || d.doc_id || '.pdf' AS left_path, '/json/doc_' || l.doc_id || '.json' AS right_path FROM documents d JOIN labels l USING (doc_id)")
+def stem_pairing(spark, sf_dir):
+    return documents.pairs_by_stem(_paths(spark, sf_dir, "documents", "pdf", "pdf"), _paths(spark, sf_dir, "labels", "json", "json"))
+
+
+@query("SELECT '/pdf/doc_' || doc_id || '.pdf' AS path, 'doc_' || doc_id AS stem FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def unmatched_anti(spark, sf_dir):
+    return documents.unpaired(_paths(spark, sf_dir, "documents", "pdf", "pdf"), _paths(spark, sf_dir, "labels", "json", "json")).select("path", "stem")
+
+
+@query("SELECT '/pdf/doc_' || d.doc_id || '.pdf' AS path, coalesce('/near/doc_' || max(a.doc_id) || '.json', '/far/doc_' || max(l.doc_id) || '.json') AS partner FROM documents d LEFT JOIN (SELECT doc_id FROM labels WHERE toxic = 1) a USING (doc_id) LEFT JOIN labels l USING (doc_id) GROUP BY d.doc_id")
+def first_candidate(spark, sf_dir):
+    near = table(spark, sf_dir, "labels").where("toxic = 1").select(F.format_string("/near/doc_%d.json", "doc_id").alias("path"))
+    return documents.first_candidate(_paths(spark, sf_dir, "documents", "pdf", "pdf"), near, _paths(spark, sf_dir, "labels", "far", "json")).select("path", "partner")
+
+
+@query("SELECT count(*) AS pages, count(l.doc_id) AS hits, count(*) - count(l.doc_id) AS misses FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
+def cache_lookup(spark, sf_dir):
+    pages = _paths(spark, sf_dir, "documents", "pdf", "pdf").withColumn("page_num", F.lit(0))
+    cache = _paths(spark, sf_dir, "labels", "pdf", "pdf").distinct().select(documents.cache_key(F.col("path"), F.lit(0)).alias("key"))
+    hit, miss = documents.cache_lookup(pages, cache)
+    rows = hit.select(F.lit(1).alias("h")).unionByName(miss.select(F.lit(0).alias("h")))
+    return rows.agg(F.count("*").alias("pages"), F.sum("h").alias("hits"), F.sum(1 - F.col("h")).alias("misses"))
+
+
+@query("SELECT doc_id, left(sha256('/pdf/doc_' || doc_id || '.pdf:0'), 16) AS key FROM documents")
+def cache_keys(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", documents.cache_key(F.format_string("/pdf/doc_%d.pdf", "doc_id"), F.lit(0)).alias("key"))
+
+
+@query()
+def split_80_20(spark, sf_dir):
+    return documents.train_split(table(spark, sf_dir, "documents").select("doc_id"))
+
+
+# ---- text ----
+
+
+@query(r"SELECT doc_id, md5(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS h FROM documents")
+def text_normalize(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.normalize(F.col("text"))).alias("h"))
+
+
+@query(r"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(lower(text), '[^\w\s\p{L}\p{N}]', '', 'g'), '\s+', ' ', 'g'))) AS h FROM documents")
+def text_no_punctuation(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.normalize(F.col("text"), drop_punctuation=True)).alias("h"))
+
+
+@query("SELECT doc_id, md5(strip_accents(text)) AS h FROM documents")
+def text_accents(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.strip_accents(F.col("text"))).alias("h"))
+
+
+@query(r"SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS n, md5(array_to_string(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''), '|')) AS h, length(regexp_replace(text, '[^a-zA-Z0-9\s]', '', 'g')) AS n_alphanumeric FROM documents")
+def text_tokenize(spark, sf_dir):
+    t = text.tokens(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(t).cast("long").alias("n"), F.md5(F.array_join(t, "|")).alias("h"), F.length(text.alphanumeric(F.col("text"))).cast("long").alias("n_alphanumeric"))
+
+
+@query(w_sql(r"""SELECT length(regexp_replace(text, '[^\p{Nd}]', '', 'g')) > 0.5 * length(text) AS is_numeric, length(regexp_replace(text, '[^\p{L}]', '', 'g')) > 0.5 * length(text) AS is_alphabetic, count(*) AS n FROM words GROUP BY ALL"""))
+def numeric_ratio(spark, sf_dir):
+    w = words(spark, sf_dir).select(text.mostly_numeric(F.col("text")).alias("is_numeric"), text.mostly_alphabetic(F.col("text")).alias("is_alphabetic"))
+    return w.groupBy("is_numeric", "is_alphabetic").agg(F.count("*").alias("n"))
+
+
+@query(w_sql("""SELECT CASE WHEN regexp_matches(lower(text), 'ruc|nit|tax|cuit|dni') THEN 'ruc' WHEN regexp_matches(lower(text), 'fecha|date|vencimiento') THEN 'date' WHEN regexp_matches(lower(text), 'total|subtotal|precio|monto|amount|igv|iva') THEN 'number' ELSE 'text' END AS kind, count(*) AS n FROM words GROUP BY kind"""))
+def field_type(spark, sf_dir):
+    return words(spark, sf_dir).groupBy(text.field_type(F.col("text")).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query(r"SELECT doc_id, md5(trim(replace(replace(trim(regexp_replace(lower(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g')), '\s+', ' ', 'g')), ',', ''), '.', ''))) AS h FROM documents")
+def weighted_normalize(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.weighted_text(F.col("text"))).alias("h"))
+
+
+@query(r"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g'))) AS h FROM documents")
+def weighted_normalize_aggressive(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(text.weighted_text(F.col("text"), aggressive=True)).alias("h"))
+
+
+@query("SELECT o_orderkey, replace(replace(printf('%,d', (o_totalprice * 100)::BIGINT), ',', ''), ' ', '') AS number_text, regexp_replace('20-' || o_orderkey || '.7', '[^0-9]', '', 'g') AS tax_id, replace(replace(replace(strftime(o_orderdate, '%d/%m/%Y-%d.%m.%Y'), '/', ''), '-', ''), '.', '') AS date_text FROM orders".replace("printf('%,d', (o_totalprice * 100)::BIGINT)", "((o_totalprice * 100)::BIGINT)::VARCHAR"))
+def value_normalize(spark, sf_dir):
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", text.number_text(F.format_number(cents, 0)).alias("number_text"), text.tax_id(F.format_string("20-%d.7", "o_orderkey")).alias("tax_id"),
+        text.date_text(F.date_format("o_orderdate", "dd/MM/yyyy-dd.MM.yyyy")).alias("date_text"),
+    )
+
+
+_PATTERNS = {n: text.label_pattern(n) for n in ("emisor_ruc", "importe_total", "fecha_emision", "numero")} | {"precio_unitario": text.label_pattern("precio_unitario", text.TABLE_LABELS)}
+
+
+@query(w_sql(" UNION ALL ".join(f"SELECT '{n}' AS field_name, count(*) AS n FROM words WHERE regexp_matches(text, '{p.replace('(?iu)', '(?i)')}') HAVING count(*) > 0" for n, p in _PATTERNS.items())))
+def label_patterns(spark, sf_dir):
+    w = words(spark, sf_dir)
+    found = F.array_compact(F.array(*(F.when(F.col("text").rlike(p), n) for n, p in _PATTERNS.items())))
+    return w.select(F.explode(found).alias("field_name")).groupBy("field_name").agg(F.count("*").alias("n"))
+
+
+@query(w_sql("""
+, c AS (SELECT doc_id, w[1:5] AS w FROM ws WHERE len(w) > 0),
+u AS (SELECT doc_id, unnest(range(len(w)))::INT AS i, unnest(w) AS word, len(w) AS n, length(array_to_string(w, '')) AS letters FROM c),
+s AS (SELECT *, coalesce(sum(length(word)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, 200 - (n - 1) * 5.0::DOUBLE AS free FROM u)
+SELECT doc_id, i, word, CASE WHEN n = 1 THEN 100 ELSE trunc(100 + free * before / letters + i * 5.0::DOUBLE)::INT END AS x0,
+  CASE WHEN n = 1 THEN 300 ELSE trunc(100 + free * before / letters + i * 5.0::DOUBLE + free * length(word) / letters)::INT END AS x1 FROM s"""))
+def word_boxes(spark, sf_dir):
+    first = F.array_join(F.slice(cut_words(), 1, 5), " ")
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.word_boxes(first, F.lit(100.0), F.lit(300.0))).alias("i", "b"))
+    return rows.select("doc_id", "i", "b.word", "b.x0", "b.x1")
+
+
+@query(r"SELECT doc_id, len(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '')) AS n_lines, CASE WHEN position(chr(10) IN text) = 0 AND position('  ' IN text) = 0 AND text = trim(text) THEN 1 WHEN position(chr(10) IN text) = 0 OR replace(text, chr(10), ' ') = trim(regexp_replace(text, '\s+', ' ', 'g')) THEN 2 ELSE 3 END AS n_variants FROM documents")
+def lines_and_variants(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(text.lines(F.col("text"))).cast("long").alias("n_lines"), F.size(text.search_variants(F.col("text"))).alias("n_variants"))
+
+
+# ---- geometry ----
+
+
+@query(b_sql("SELECT doc_id, field_ord, x1 - x0 AS w, y1 - y0 AS h, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy, (x1 - x0) * (y1 - y0) AS area FROM b"))
+def bbox_props(spark, sf_dir):
+    b = F.col("bbox")
+    return boxes(spark, sf_dir).select("doc_id", "field_ord", g.width(b).alias("w"), g.height(b).alias("h"), g.center_x(b).alias("cx"), g.center_y(b).alias("cy"), g.area(b).alias("area"))
+
+
+@query(b_sql("SELECT doc_id, field_ord, CASE l_returnflag WHEN 'A' THEN [x0, y0, x1, y1] WHEN 'N' THEN [x0, y0, x1 - x0, y1 - y0] ELSE [(x0 + x1) / 2, (y0 + y1) / 2, x1 - x0, y1 - y0] END AS numbers, true AS back FROM b"))
+def bbox_convert(spark, sf_dir):
+    fmt = F.when(F.col("l_returnflag") == "A", "xyxy").when(F.col("l_returnflag") == "N", "xywh").otherwise("cxcywh")
+    rows = boxes(spark, sf_dir).withColumn("numbers", g.to_format(F.col("bbox"), fmt)).withColumn("again", g.from_format(F.col("numbers"), fmt))
+    near = [F.abs(F.col("again")[s] - F.col("bbox")[s]) < 1e-6 for s in g.SIDES]
+    return rows.select("doc_id", "field_ord", "numbers", (near[0] & near[1] & near[2] & near[3]).alias("back"))
+
+
+@query(b_sql("""
+, p AS (SELECT a.doc_id, a.field_ord, a.x0 <= c.x1 AND c.x0 <= a.x1 AND a.y0 <= c.y1 AND c.y0 <= a.y1 AS touching,
+  least(a.x1, c.x1) - greatest(a.x0, c.x0) AS iw, least(a.y1, c.y1) - greatest(a.y0, c.y0) AS ih, (a.x1 - a.x0) * (a.y1 - a.y0) + (c.x1 - c.x0) * (c.y1 - c.y0) AS s,
+  sqrt(pow((a.x0 + a.x1) / 2 - (c.x0 + c.x1) / 2, 2) + pow((a.y0 + a.y1) / 2 - (c.y0 + c.y1) / 2, 2)) AS d
+  FROM b a JOIN b c ON a.doc_id = c.doc_id AND c.field_ord = a.field_ord + 1),
+q AS (SELECT *, CASE WHEN iw > 0 AND ih > 0 THEN iw * ih ELSE 0 END AS both_area FROM p)
+SELECT doc_id, field_ord, touching, both_area::DOUBLE AS both_area, CASE WHEN s - both_area > 0 THEN both_area / (s - both_area) ELSE 0 END::DOUBLE AS iou, d FROM q"""))
+def bbox_iou(spark, sf_dir):
+    rows = boxes(spark, sf_dir).select("doc_id", "field_ord", F.col("bbox").alias("a"))
+    other = rows.select("doc_id", (F.col("field_ord") - 1).alias("field_ord"), F.col("a").alias("c"))
+    a, c = F.col("a"), F.col("c")
+    return rows.join(other, ["doc_id", "field_ord"]).select("doc_id", "field_ord", g.intersects(a, c).alias("touching"), g.intersection_area(a, c).alias("both_area"), g.iou(a, c).alias("iou"), g.center_distance(a, c).alias("d"))
+
+
+_S = lambda e: f"greatest(0, least(trunc({e})::INT, 1000))"
+
+
+@query(b_sql(f"SELECT doc_id, field_ord, {_S('1000.0::DOUBLE * (x0 / 612.0::DOUBLE)')} AS x0, {_S('1000.0::DOUBLE * (y0 / 792.0::DOUBLE)')} AS y0, {_S('1000.0::DOUBLE * (x1 / 612.0::DOUBLE)')} AS x1, {_S('1000.0::DOUBLE * (y1 / 792.0::DOUBLE)')} AS y1 FROM b"))
+def bbox_scale(spark, sf_dir):
+    return flat(boxes(spark, sf_dir).withColumn("n", g.scaled(F.col("bbox"), F.lit(612.0), F.lit(792.0))), "doc_id", "field_ord", box="n")
+
+
+_LAYOUT = f"n AS (SELECT doc_id, field_ord, {_S('(x0 / 612.0::DOUBLE) * 1000')} AS x0, {_S('(y0 / 792.0::DOUBLE) * 1000')} AS y0, {_S('(x1 / 612.0::DOUBLE) * 1000')} AS x1, {_S('(y1 / 792.0::DOUBLE) * 1000')} AS y1 FROM b), n2 AS (SELECT doc_id, field_ord, x0, y0, CASE WHEN x1 <= x0 THEN least(x0 + 1, 1000) ELSE x1 END AS x1, CASE WHEN y1 <= y0 THEN least(y0 + 1, 1000) ELSE y1 END AS y1 FROM n)"
+
+
+@query(b_sql(f", {_LAYOUT} SELECT *, (x1 - x0) * (y1 - y0) >= 10 AS valid FROM n2"))
+def bbox_layout(spark, sf_dir):
+    rows = boxes(spark, sf_dir).withColumn("s", g.layout_box_safe(F.col("bbox"), F.lit(612.0), F.lit(792.0)))
+    return flat(rows, "doc_id", "field_ord", F.col("s.valid").alias("valid"), box="s.box")
+
+
+@query(b_sql("SELECT doc_id, field_ord, (x0 / 1000.0::DOUBLE) * 612 AS x0, (y0 / 1000.0::DOUBLE) * 792 AS y0, (x1 / 1000.0::DOUBLE) * 612 AS x1, (y1 / 1000.0::DOUBLE) * 792 AS y1 FROM b"))
+def bbox_denorm(spark, sf_dir):
+    return flat(boxes(spark, sf_dir).withColumn("n", g.unscaled(F.col("bbox"), F.lit(612.0), F.lit(792.0))), "doc_id", "field_ord", box="n")
+
+
+@query(b_sql("SELECT doc_id, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM b GROUP BY doc_id"))
+def bbox_merge(spark, sf_dir):
+    return flat(boxes(spark, sf_dir).groupBy("doc_id").agg(g.merged(F.col("bbox")).alias("bbox")), "doc_id")
+
+
+@query(b_sql(", e AS (SELECT *, CASE WHEN l_returnflag = 'A' THEN (x1 - x0) * 10 / 100 ELSE 5 END AS dx, CASE WHEN l_returnflag = 'A' THEN (y1 - y0) * 10 / 100 ELSE 5 END AS dy FROM b) SELECT doc_id, field_ord, greatest(0, least(x0 - dx, 612))::DOUBLE AS x0, greatest(0, least(y0 - dy, 792))::DOUBLE AS y0, greatest(0, least(x1 + dx, 612))::DOUBLE AS x1, greatest(0, least(y1 + dy, 792))::DOUBLE AS y1 FROM e"))
+def bbox_expand_clip(spark, sf_dir):
+    percent = F.when(F.col("l_returnflag") == "A", 10.0).otherwise(0.0)
+    wide = g.expanded(F.col("bbox"), 5.0, percent)
+    return flat(boxes(spark, sf_dir).withColumn("n", g.clipped(wide, F.lit(612.0), F.lit(792.0))), "doc_id", "field_ord", box="n")
+
+
+@query(b_sql(f", {_LAYOUT}, f AS (SELECT doc_id, field_ord, unnest(list_filter([CASE WHEN least(x0, y0, x1, y1) < 0 OR greatest(x0, y0, x1, y1) > 1000 THEN 'range' END, CASE WHEN x1 <= x0 OR y1 <= y0 THEN 'order' END, CASE WHEN (x1 - x0) * (y1 - y0) < 10 THEN 'area' END, CASE WHEN y1 > y0 AND ((x1 - x0) / (y1 - y0) > 50 OR (x1 - x0) / (y1 - y0) < 0.02) THEN 'aspect' END], lambda x: x IS NOT NULL)) AS finding FROM n) SELECT finding, count(*) AS n FROM f GROUP BY finding"))
+def bbox_validate(spark, sf_dir):
+    rows = boxes(spark, sf_dir).withColumn("n", g.scaled(F.col("bbox"), F.lit(612.0), F.lit(792.0)))
+    return rows.select(F.explode(g.box_findings(F.col("n"))).alias("finding")).groupBy("finding").agg(F.count("*").alias("n"))
+
+
+@query("SELECT category_id, (category_id * 137.5::DOUBLE) % 360 AS hue FROM (SELECT row_number() OVER (ORDER BY n_name) AS category_id FROM nation)")
+def hues(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("n_name")).cast("long").alias("category_id"))
+    return n.select("category_id", g.hue(F.col("category_id")).alias("hue"))
+
+
+# ---- annotations ----
+
+
+@query("SELECT event_id AS doc_id, 0 AS field_ord, 'k' AS field_name, props->>'k' AS field_value FROM events")
+def json_flatten(spark, sf_dir):
+    return annotations.fields(table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), F.col("props").alias("json")))
+
+
+@query(f_sql("SELECT * FROM fields"))
+def json_fields(spark, sf_dir):
+    rows = field_columns(spark, sf_dir)
+    raw = rows.select("doc_id", F.to_json(F.struct(*FIELD_NAMES), {"ignoreNullFields": "false"}).alias("json"))
+    return annotations.fields(raw)
+
+
+@query(f_sql(r"SELECT field_name, count(*) AS n, sum(length(field_value))::BIGINT AS n_chars, count_if(regexp_full_match(field_value, '[+-]?[0-9]+(\.[0-9]+)?')) AS n_numeric, count_if(trim(field_value) = '') AS n_empty FROM fields GROUP BY field_name"))
+def json_metadata(spark, sf_dir):
+    rows = fields(spark, sf_dir).select("field_name", *annotations.metadata(F.col("field_value")))
+    return rows.groupBy("field_name").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"), F.count_if("is_numeric").alias("n_numeric"), F.count_if("is_empty").alias("n_empty"))
+
+
+@query(f_sql("SELECT doc_id, field_value FROM fields WHERE trim(field_value) <> '' GROUP BY ALL"))
+def searchable_values(spark, sf_dir):
+    return annotations.searchable_values(fields(spark, sf_dir))
+
+
+@query("SELECT CASE WHEN regexp_full_match(o_orderkey::VARCHAR, '[0-9]+') THEN 'numeric' END AS key_class, 'date' AS date_class, CASE WHEN regexp_full_match(o_orderpriority, '[+-]?[0-9]+') THEN 'numeric' ELSE 'text' END AS text_class, count(*) AS n FROM orders GROUP BY ALL")
+def value_classes(spark, sf_dir):
+    c = annotations.value_class
+    rows = table(spark, sf_dir, "orders").select(c(F.lit("clave"), F.col("o_orderkey").cast("string")).alias("key_class"), c(F.lit("fecha_emision"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date_class"), c(F.lit("texto"), F.col("o_orderpriority")).alias("text_class"))
+    return rows.groupBy("key_class", "date_class", "text_class").agg(F.count("*").alias("n"))
+
+
+@query("SELECT conv_id AS doc_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1)::INT AS item_idx, role, md5(text) AS text_md5 FROM conversations")
+def header_items(spark, sf_dir):
+    item = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    raw = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("doc_id")).agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("items"))).alias("json"))
+    return annotations.items(raw, "struct<role: string, text: string>").select("doc_id", "item_idx", "item.role", F.md5("item.text").alias("text_md5"))
+
+
+@query("SELECT label, label_id::INT AS label_id FROM (SELECT 'O' AS label, 0 AS label_id UNION ALL SELECT n_name, row_number() OVER (ORDER BY n_name) FROM nation)")
+def label_map(spark, sf_dir):
+    return annotations.label_map(table(spark, sf_dir, "nation").select(F.col("n_name").alias("field_name")))
+
+
+@query("WITH n AS (SELECT n_name, row_number() OVER (ORDER BY n_name) AS k FROM nation) SELECT label, label_id::INT AS label_id FROM (SELECT 'O' AS label, 0 AS label_id UNION ALL SELECT 'B-' || n_name, 2 * k - 1 FROM n UNION ALL SELECT 'I-' || n_name, 2 * k FROM n)")
+def bio_label_map(spark, sf_dir):
+    return annotations.bio_label_map(table(spark, sf_dir, "nation").select(F.col("n_name").alias("field_name")))
+
+
+# ---- matching ----
+
+
+@query(w_sql("SELECT doc_id, size, count(*) AS n, sum(length(t))::BIGINT AS n_chars FROM (SELECT doc_id, page_num, s AS size, array_to_string(list(text) OVER (PARTITION BY doc_id, page_num ORDER BY word_idx ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)[1:s], ' ') AS t, len(list(text) OVER (PARTITION BY doc_id, page_num ORDER BY word_idx ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)) AS m FROM words, (SELECT unnest([1, 2, 3, 4]) AS s) GROUP BY ALL) GROUP BY ALL").replace("SELECT doc_id, size, count(*)", "SELECT doc_id, size::INT AS size, count(*)").replace("FROM (SELECT doc_id, page_num, s AS size, array_to_string(list(text) OVER (PARTITION BY doc_id, page_num ORDER BY word_idx ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)[1:s], ' ') AS t, len(list(text) OVER (PARTITION BY doc_id, page_num ORDER BY word_idx ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)) AS m FROM words, (SELECT unnest([1, 2, 3, 4]) AS s) GROUP BY ALL)", "FROM (SELECT doc_id, s AS size, array_to_string(l[1:s], ' ') AS t FROM (SELECT doc_id, list(text) OVER (PARTITION BY doc_id, page_num ORDER BY word_idx ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING) AS l FROM words), (SELECT unnest([1, 2, 3, 4]) AS s) WHERE s <= len(l))"))
+def segments(spark, sf_dir):
+    win = match.windows(words(spark, sf_dir), max_size=4)
+    return win.groupBy("doc_id", "size").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"))
+
+
+_HIT = ["doc_id", "field_ord", "page_num", "start_idx", "end_idx", "word_count", "matched_text"]
+_HIT_SQL = "doc_id, field_ord, page_num, start_idx, end_idx, word_count::INT AS word_count, matched_text, x0, y0, x1, y1"
+
+
+@query(m_sql(f"SELECT {_HIT_SQL} FROM exact"))
+def exact_all(spark, sf_dir):
+    return flat(match.exact(words(spark, sf_dir), fields(spark, sf_dir)), *_HIT)
+
+
+@query(m_sql(f"SELECT {_HIT_SQL} FROM best"))
+def exact_best(spark, sf_dir):
+    return flat(matches(spark, sf_dir), *_HIT)
+
+
+def _repeats(spark, sf_dir) -> DataFrame:
+    """Values that overlap themselves: the first word of each document, twice over."""
+    w = cut_words()
+    return table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("field_ord"), F.lit("doble").alias("field_name"), F.coalesce(F.when(F.size(w) > 20, F.concat_ws(" ", F.element_at(w, 20), F.element_at(w, 20))), F.lit("")).alias("field_value"))
+
+
+@query(w_sql(""", fields AS (SELECT doc_id, 0 AS field_ord, 'doble' AS field_name, coalesce(CASE WHEN len(w) > 20 THEN w[20] || ' ' || w[20] END, '') AS field_value FROM ws), """ + EXACT + """,
+s AS (SELECT doc_id, field_ord, list(start_idx ORDER BY start_idx) AS l FROM exact GROUP BY ALL)
+SELECT doc_id, field_ord, list_reduce(list_prepend(NULL::INT[], list_transform(l, lambda x: [x::INT])), lambda a, x: CASE WHEN a IS NULL THEN x WHEN x[1] > a[-1] + 1 THEN list_concat(a, x) ELSE a END) AS starts FROM s"""))
+def exact_nonoverlap(spark, sf_dir):
+    found = match.exact(words(spark, sf_dir), _repeats(spark, sf_dir))
+    return match.non_overlapping(found).select("doc_id", "field_ord", "starts")
+
+
+@query(m_sql(f"SELECT {_HIT_SQL} FROM exact QUALIFY row_number() OVER (PARTITION BY doc_id, field_ord ORDER BY page_num, word_count, start_idx) = 1"))
+def first_page_wins(spark, sf_dir):
+    return flat(match.lowest_page(match.exact(words(spark, sf_dir), fields(spark, sf_dir))), *_HIT)
+
+
+@query()
+def fuzzy_topk(spark, sf_dir):
+    """Similarity of every value to every window of its document: too slow in SQL; tests compare it with a plain version."""
+    return flat(match.top_matches(match.fuzzy(words(spark, sf_dir), fields(spark, sf_dir)), 10), *_HIT, "confidence", "rank")
+
+
+@query()
+def fuzzy_best(spark, sf_dir):
+    return flat(match.first_match(match.fuzzy(words(spark, sf_dir), fields(spark, sf_dir))), *_HIT, "confidence")
+
+
+@query()
+def fuzzy_multi(spark, sf_dir):
+    return flat(match.fuzzy_any(words(spark, sf_dir), fields(spark, sf_dir)), *_HIT, "confidence", "strategy")
+
+
+@query()
+def auto_best(spark, sf_dir):
+    return flat(match.auto(words(spark, sf_dir), fields(spark, sf_dir)), *_HIT, "confidence", "match_type")
+
+
+@query()
+def weighted_best(spark, sf_dir):
+    return flat(match.weighted(words(spark, sf_dir), fields(spark, sf_dir)), *_HIT, "confidence", "match_type")
+
+
+def _two_lines(spark, sf_dir) -> DataFrame:
+    w = cut_words()
+    two = F.concat_ws("\n", F.array_join(F.slice(w, 5, 4), " "), F.array_join(F.slice(w, 9, 4), " "))
+    return table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("field_ord"), F.lit("direccion").alias("field_name"), F.when(F.size(w) >= 12, two).otherwise("").alias("field_value"))
+
+
+@query()
+def phrase_lines(spark, sf_dir):
+    return flat(match.by_lines(words(spark, sf_dir), _two_lines(spark, sf_dir)), "doc_id", "field_ord", "page_num", "island", "matched_text", "confidence", "n_merged", "match_type")
+
+
+@query()
+def routed_matches(spark, sf_dir):
+    both = fields(spark, sf_dir).unionByName(_two_lines(spark, sf_dir).withColumn("field_ord", F.lit(6)))
+    return flat(match.routed(words(spark, sf_dir), both, "auto"), "doc_id", "field_ord", "page_num", "matched_text", "confidence", "match_type")
+
+
+@query(w_sql("""
+, o AS (SELECT *, lag(page_num) OVER q AS pp, lag(y1) OVER q AS py, lag(x1) OVER q AS px, row_number() OVER q AS pos FROM words WINDOW q AS (PARTITION BY doc_id ORDER BY page_num, y0, x0, word_idx)),
+i AS (SELECT *, sum(CASE WHEN pp = page_num AND abs(y0 - py) <= 5 AND x0 - px <= 10 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM o)
+SELECT doc_id, page_num, island::BIGINT AS island, string_agg(text, ' ' ORDER BY pos) AS matched_text, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, count(*) AS n_merged FROM i GROUP BY doc_id, page_num, island"""))
+def merge_adjacent(spark, sf_dir):
+    m = words(spark, sf_dir).select("doc_id", F.lit(0).alias("field_ord"), F.lit("w").alias("field_name"), F.col("text").alias("matched_text"), "bbox", "page_num", "confidence", F.col("word_idx").alias("start_idx"))
+    return flat(match.merge_adjacent(m), "doc_id", "page_num", "island", "matched_text", "n_merged")
+
+
+# ---- forms and layout ----
+
+_NEAR = {"tipo": r"(?i)^(the|of|la|le|der|die|el|de)$", "lang": r"(?i)^(the|la|le)$"}
+_W_LAYOUT = "lw AS (SELECT doc_id, page_num, word_idx, text, greatest(0, least(trunc((x0 / 612.0::DOUBLE) * 1000)::INT, 1000)) AS x0, greatest(0, least(trunc((y0 / 792.0::DOUBLE) * 1000)::INT, 1000)) AS y0, greatest(0, least(trunc((x1 / 612.0::DOUBLE) * 1000)::INT, 1000)) AS x1, greatest(0, least(trunc((y1 / 792.0::DOUBLE) * 1000)::INT, 1000)) AS y1 FROM words), lb AS (SELECT doc_id, field_ord, field_name, page_num, matched_text, start_idx, greatest(0, least(trunc((x0 / 612.0::DOUBLE) * 1000)::INT, 1000)) AS x0, greatest(0, least(trunc((y0 / 792.0::DOUBLE) * 1000)::INT, 1000)) AS y0, greatest(0, least(trunc((x1 / 612.0::DOUBLE) * 1000)::INT, 1000)) AS x1, greatest(0, least(trunc((y1 / 792.0::DOUBLE) * 1000)::INT, 1000)) AS y1 FROM best)"
+_LABEL = _W_LAYOUT + """,
+pairs AS (SELECT b.*, w.word_idx AS w_idx, w.text AS w_text, w.x0 AS wx0, w.y0 AS wy0, w.x1 AS wx1, w.y1 AS wy1, sqrt(pow((w.x0 + w.x1) / 2 - (b.x0 + b.x1) / 2, 2) + pow((w.y0 + w.y1) / 2 - (b.y0 + b.y1) / 2, 2)) AS d FROM lb b JOIN lw w USING (doc_id, page_num)
+  WHERE (field_name = 'tipo' AND regexp_matches(w.text, '(?i)^(the|of|la|le|der|die|el|de)$')) OR (field_name = 'lang' AND regexp_matches(w.text, '(?i)^(the|la|le)$'))),
+nearest AS (SELECT * FROM pairs WHERE d <= 150 QUALIFY row_number() OVER (PARTITION BY doc_id, field_ord ORDER BY d, w_idx) = 1),
+labelled AS (SELECT lb.*, n.w_idx, n.w_text, n.d, n.wx0, n.wy0, n.wx1, n.wy1 FROM lb LEFT JOIN nearest n USING (doc_id, field_ord))"""
+
+
+def _labelled(spark, sf_dir) -> DataFrame:
+    n = g.layout_box(F.col("bbox"), F.col("page_width"), F.col("page_height"))
+    return layout.nearest_label(matches(spark, sf_dir).withColumn("box", n), words(spark, sf_dir).withColumn("box", n), _NEAR)
+
+
+@query(m_sql(f", {_LABEL} SELECT doc_id, field_ord, page_num, w_idx, w_text, d FROM labelled"))
+def label_nearest(spark, sf_dir):
+    return _labelled(spark, sf_dir).select("doc_id", "field_ord", "page_num", "label.w_idx", "label.w_text", "label.d")
+
+
+@query(m_sql(f""", {_LABEL},
+r AS (SELECT *, coalesce(sum(CASE WHEN w_idx IS NULL THEN 1 ELSE 2 END) OVER (PARTITION BY doc_id ORDER BY page_num, field_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::INT AS f FROM labelled)
+SELECT doc_id, page_num, field_ord, f AS id, 'question' AS kind, w_text AS text, wx0 AS x0, wx1 AS x1, [[f, f + 1]] AS linking FROM r WHERE w_idx IS NOT NULL
+UNION ALL SELECT doc_id, page_num, field_ord, CASE WHEN w_idx IS NULL THEN f ELSE f + 1 END, 'answer', matched_text, x0, x1, CASE WHEN w_idx IS NULL THEN []::INT[][] ELSE [[f, f + 1]] END FROM r"""))
+def funsd_items(spark, sf_dir):
+    return layout.form_items(_labelled(spark, sf_dir)).select("doc_id", "page_num", "field_ord", "id", "kind", "text", "box.x0", "box.x1", "linking")
+
+
+@query(m_sql("SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY page_num, field_ord) - 1)::INT AS id, field_name AS label, matched_text AS text FROM best"))
+def native_items(spark, sf_dir):
+    return layout.numbered(matches(spark, sf_dir), ["doc_id"], ["page_num", "field_ord"]).select("doc_id", "id", F.col("field_name").alias("label"), F.col("matched_text").alias("text"))
+
+
+@query(m_sql("""
+, ins AS (SELECT w.doc_id, w.page_num, w.word_idx, m.field_ord, m.field_name FROM words w JOIN best m USING (doc_id, page_num) WHERE w.x0 >= m.x0 - 2 AND w.y0 >= m.y0 - 2 AND w.x1 <= m.x1 + 2 AND w.y1 <= m.y1 + 2),
+own AS (SELECT * FROM ins QUALIFY row_number() OVER (PARTITION BY doc_id, word_idx ORDER BY field_ord) = 1),
+t AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY doc_id, page_num, field_ord ORDER BY word_idx) = 1 THEN 'B-' ELSE 'I-' END || field_name AS tag FROM own)
+SELECT w.doc_id, w.word_idx, coalesce(t.tag, 'O') AS tag FROM words w LEFT JOIN t USING (doc_id, word_idx)"""))
+def bio_tags(spark, sf_dir):
+    return layout.bio_tags(words(spark, sf_dir), matches(spark, sf_dir)).select("doc_id", "word_idx", "tag")
+
+
+@query(w_sql("SELECT doc_id, (word_idx // 192)::INT AS chunk, min(word_idx) AS first, max(word_idx) AS last, count(*) AS n, 2 * count(*) AS tokens FROM words GROUP BY ALL"))
+def header_chunks(spark, sf_dir):
+    rows = layout.chunks(words(spark, sf_dir), ["doc_id"], ["word_idx"])
+    tokens = layout.token_estimate(rows, ["doc_id", "chunk"], F.lit(True))
+    return rows.groupBy("doc_id", "chunk").agg(F.min("word_idx").alias("first"), F.max("word_idx").alias("last"), F.count("*").alias("n")).join(tokens, ["doc_id", "chunk"])
+
+
+@query("WITH c AS (SELECT l_orderkey AS doc_id, (sum(l_quantity))::BIGINT AS n FROM lineitem GROUP BY ALL), w AS (SELECT doc_id, n, unnest(range(CASE WHEN n <= 76 THEN 1 ELSE ceil((n - 76) / 51.0)::BIGINT + 1 END)) AS k FROM c) SELECT doc_id, n, k::INT AS \"window\", (k * 51)::INT AS \"first\", least(k * 51 + 76, n)::INT AS \"end\" FROM w")
+def sliding_windows(spark, sf_dir):
+    n = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.sum("l_quantity").cast("long").alias("n"))
+    return layout.overlapping(n)
+
+
+@query(w_sql("""
+, c AS (SELECT *, (y0 + y1) / 2 + (word_idx % 3) * 3.1::DOUBLE AS y FROM words),
+l AS (SELECT *, CASE WHEN y - lag(y) OVER (PARTITION BY doc_id, page_num ORDER BY y, word_idx) > 10 THEN 1 ELSE 0 END AS new FROM c),
+r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, page_num ORDER BY y, word_idx)::INT AS "row" FROM l)
+SELECT doc_id, page_num, "row", count(*) AS n, arg_min(text, (x0, y, word_idx)) AS first_text FROM r GROUP BY ALL"""))
+def table_rows(spark, sf_dir):
+    b, shift = F.col("bbox"), (F.col("word_idx") % 3) * 3.1
+    w = words(spark, sf_dir).withColumn("shifted", g.box(b["x0"], b["y0"] + shift, b["x1"], b["y1"] + shift))
+    rows = layout.table_rows(w, box="shifted")
+    return rows.groupBy("doc_id", "page_num", "row").agg(F.count("*").alias("n"), F.min_by("text", "col").alias("first_text"))
+
+
+@query()
+def table_items(spark, sf_dir):
+    """Items and the rows that hold them by partial similarity: rows only; tests compare it with a plain version."""
+    w = words(spark, sf_dir)
+    rows = layout.table_rows(w).groupBy("doc_id", "page_num", "row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col", "text"))), lambda x: x["text"]), " ").alias("text"))
+    items = fields(spark, sf_dir).where(F.col("field_name").isin("tipo", "nombre")).select("doc_id", F.col("field_ord").alias("item_idx"), F.col("field_value").alias("key"))
+    return layout.item_rows(items, rows).select("doc_id", "item_idx", "page_num", "row", "score")
+
+
+@query(w_sql("""
+, m AS (SELECT doc_id, page_num, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM words WHERE word_idx BETWEEN 4 AND 20 GROUP BY ALL),
+i AS (SELECT w.*, m.x0 AS a0, m.y0 AS b0, m.x1 AS a1, m.y1 AS b1 FROM words w JOIN m USING (doc_id, page_num) WHERE w.x0 >= m.x0 - 2 AND w.y0 >= m.y0 - 2 AND w.x1 <= m.x1 + 2 AND w.y1 <= m.y1 + 2),
+l AS (SELECT doc_id, page_num, line_no, count(*) AS n, (max(x1) - min(x0)) * (max(y1) - min(y0)) AS area, any_value((a1 - a0) * (b1 - b0)) AS whole FROM i GROUP BY ALL)
+SELECT doc_id, page_num, count(*) AS n_lines, sum(n)::BIGINT AS n_words, sum(area) AS line_area, 100 * (any_value(whole) - sum(area)) / any_value(whole) AS empty_percent, count(*) > 1 AND 100 * (any_value(whole) - sum(area)) / any_value(whole) > 20 AS wasteful FROM l GROUP BY ALL"""))
+def multiline_lines(spark, sf_dir):
+    w = words(spark, sf_dir)
+    m = w.where("word_idx between 4 and 20").groupBy("doc_id", "page_num").agg(g.merged(F.col("bbox")).alias("bbox")).withColumn("field_ord", F.lit(0))
+    return layout.box_lines(m, w).drop("field_ord")
+
+
+# ---- statistics and validation ----
+
+
+@query(m_sql(", n AS (SELECT doc_id, count(*) AS total FROM fields GROUP BY 1), k AS (SELECT doc_id, count(*) AS matched, list_sort(list(DISTINCT page_num)) AS pages FROM best GROUP BY 1) SELECT doc_id, total, coalesce(matched, 0) AS matched, total - coalesce(matched, 0) AS unmatched, 100 * coalesce(matched, 0)::DOUBLE / total AS match_rate, coalesce(pages, []::INT[]) AS pages FROM n LEFT JOIN k USING (doc_id)"))
+def doc_stats(spark, sf_dir):
+    return quality.document_stats(fields(spark, sf_dir), matches(spark, sf_dir)).drop("mean_confidence")
+
+
+@query(m_sql(", s AS (SELECT f.doc_id, 100 * count(b.doc_id)::DOUBLE / count(*) AS match_rate, count(b.doc_id) AS matched, count(*) AS total FROM fields f LEFT JOIN best b USING (doc_id, field_ord) GROUP BY 1) SELECT lang, count(*) AS documents, sum(total)::BIGINT AS total, sum(matched)::BIGINT AS matched, avg(match_rate) AS mean_rate, min(match_rate) AS min_rate, max(match_rate) AS max_rate FROM s JOIN documents USING (doc_id) GROUP BY lang"))
+def match_rate_by_lang(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return quality.rollup(quality.document_stats(fields(spark, sf_dir), matches(spark, sf_dir)).join(docs, "doc_id"), ["lang"]).drop("mean_confidence")
+
+
+@query(m_sql("SELECT field_name, 'exact' AS match_type, count(*) AS n FROM best GROUP BY ALL"))
+def match_type_hist(spark, sf_dir):
+    return quality.type_histogram(matches(spark, sf_dir), ["field_name"])
+
+
+@query(b_sql("SELECT doc_id, map_from_entries(list_sort(list({'k': f, 'v': n}))) AS types FROM (SELECT doc_id, l_returnflag AS f, count(*) AS n FROM b GROUP BY ALL) GROUP BY doc_id"))
+def match_type_maps(spark, sf_dir):
+    return quality.type_maps(boxes(spark, sf_dir).withColumnRenamed("l_returnflag", "match_type"))
+
+
+@query(w_sql(", o AS (SELECT doc_id, page_num, count(*) AS n FROM words GROUP BY ALL), p AS (SELECT page_num, sum(n)::BIGINT AS fields, count(*) AS documents, avg(n) AS mean_fields, min(n) AS min_fields, max(n) AS max_fields FROM o GROUP BY 1) SELECT *, 100 * fields::DOUBLE / (SELECT sum(fields) FROM p) AS share FROM p"))
+def page_distribution(spark, sf_dir):
+    return quality.page_distribution(words(spark, sf_dir).select("doc_id", "page_num"))
+
+
+@query("WITH c AS (SELECT l_returnflag, 1 - l_discount * 4 AS c FROM lineitem) SELECT l_returnflag, count_if(c >= 0.95) AS high, count_if(c >= 0.8 AND c < 0.95) AS medium, count_if(c < 0.8) AS low FROM c GROUP BY 1")
+def confidence_bands(spark, sf_dir):
+    return quality.confidence_bands(table(spark, sf_dir, "lineitem").select("l_returnflag", (1 - F.col("l_discount") * 4).alias("confidence")), ["l_returnflag"])
+
+
+@query("SELECT least(floor(l_quantity / 51 * 20), 19)::INT AS bin, count(*) AS n FROM lineitem WHERE l_quantity BETWEEN 0 AND 51 GROUP BY 1")
+def confidence_histogram(spark, sf_dir):
+    return quality.histogram(table(spark, sf_dir, "lineitem"), F.col("l_quantity"), 0, 51)
+
+
+@query("SELECT arg_max(strategy, (r, c, -k)) AS strategy FROM (SELECT l_returnflag AS strategy, round(avg(l_discount), 2) AS r, round(avg(l_tax), 2) AS c, ascii(l_returnflag) AS k FROM lineitem GROUP BY 1)")
+def strategy_argmax(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("strategy")).agg(F.round(F.avg("l_discount"), 2).alias("match_rate"), F.round(F.avg("l_tax"), 2).alias("mean_confidence"))
+    return quality.best_strategy(rows.withColumn("ord", F.ascii("strategy")))
+
+
+def _checked_items(spark, sf_dir) -> DataFrame:
+    """Items with every kind of fault, out of line numbers and flags."""
+    b, n = F.col("bbox"), F.col("field_ord")
+    box = F.when(n == 5, F.array(b["x0"], b["y0"], b["x1"])).when(n == 6, F.array(*(F.lit(v) for v in (0.1, 0.2, 0.5, 0.9)))).otherwise(F.array(*g.sides(b)))
+    return boxes(spark, sf_dir).select("doc_id", "field_ord", box.alias("box"), F.when(F.col("l_returnflag") == "R", "  ").otherwise("x").alias("text"), F.when(n == 3, F.lit(None).cast("double")).otherwise(1 - n / 10).alias("confidence"), F.when(n == 2, F.lit(None).cast("int")).otherwise(F.when(n == 4, -1).otherwise(0)).alias("page_num"))
+
+
+_ISSUES = LINE + """,
+it AS (SELECT doc_id, field_ord, CASE WHEN field_ord = 5 THEN [x0, y0, x1] WHEN field_ord = 6 THEN [0.1, 0.2, 0.5, 0.9]::DOUBLE[] ELSE [x0, y0, x1, y1] END AS bx, CASE WHEN l_returnflag = 'R' THEN '  ' ELSE 'x' END AS t, CASE WHEN field_ord <> 3 THEN 1 - field_ord / 10.0::DOUBLE END AS c, CASE WHEN field_ord = 2 THEN NULL WHEN field_ord = 4 THEN -1 ELSE 0 END AS p FROM b),
+k AS (SELECT *, len(bx) = 4 AS four, len(bx) = 4 AND len(list_filter(bx, lambda v: v < 0 OR v > 1)) = 0 AS unit, bx[3] - bx[1] AS w, bx[4] - bx[2] AS h FROM it),
+issues AS (SELECT doc_id, field_ord, unnest(list_filter([
+ CASE WHEN NOT four THEN 'box_size:error' END, CASE WHEN unit THEN 'box_unit_scale:error' END,
+ CASE WHEN four AND NOT unit AND NOT (bx[1] >= 0 AND bx[2] >= 0 AND bx[3] <= 1000 AND bx[4] <= 1000 AND bx[1] < bx[3] AND bx[2] < bx[4]) THEN 'box_range:error' END,
+ CASE WHEN four AND w * h < 10 THEN 'box_area:warning' END, CASE WHEN four AND h > 0 AND (w / h > 50 OR w / h < 0.02) THEN 'box_aspect:warning' END,
+ CASE WHEN trim(t) = '' THEN 'text_empty:error' END, CASE WHEN c IS NULL THEN 'confidence_type:warning' END, CASE WHEN c < 0.7 THEN 'confidence_low:warning' END,
+ CASE WHEN p IS NULL THEN 'page_missing:warning' END, CASE WHEN p < 0 THEN 'page_invalid:error' END], lambda x: x IS NOT NULL)) AS i FROM k)
+"""
+
+
+@query(f"WITH {_ISSUES} SELECT doc_id, field_ord, split_part(i, ':', 1) AS kind, split_part(i, ':', 2) AS severity FROM issues")
+def issues(spark, sf_dir):
+    return quality.issues(_checked_items(spark, sf_dir))
+
+
+@query(f"WITH {_ISSUES} SELECT split_part(i, ':', 1) AS kind, split_part(i, ':', 2) AS severity, count(*) AS n FROM issues GROUP BY ALL")
+def issues_by_kind(spark, sf_dir):
+    return quality.issues(_checked_items(spark, sf_dir)).groupBy("kind", "severity").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_ISSUES}, n AS (SELECT doc_id, count(*) AS n FROM it GROUP BY 1), s AS (SELECT doc_id, count_if(i LIKE '%:error') AS e, count_if(i LIKE '%:warning') AS w FROM issues GROUP BY 1),
+j AS (SELECT n, coalesce(e, 0) AS e, coalesce(w, 0) AS w FROM n LEFT JOIN s USING (doc_id)), a AS (SELECT count(*) AS documents, sum(n)::BIGINT AS fields, sum(e)::BIGINT AS errors, sum(w)::BIGINT AS warnings, count_if(e > 0 OR w > 5) AS problem_documents FROM j)
+SELECT *, errors::DOUBLE / fields AS error_rate, errors::DOUBLE / fields <= 0.05 AND fields > 0 AND problem_documents < documents AS fit_for_training FROM a""")
+def fit_for_training(spark, sf_dir):
+    items = _checked_items(spark, sf_dir)
+    return quality.validation_summary(items, quality.issues(items))
+
+
+@query(m_sql("""
+, p AS (SELECT doc_id, max(page_num) + 1 AS n_pages FROM words GROUP BY 1),
+u AS (SELECT doc_id, count(DISTINCT page_num) AS used FROM best GROUP BY 1),
+s AS (SELECT f.doc_id, 100 * count(b.doc_id)::DOUBLE / count(*) AS match_rate FROM fields f LEFT JOIN best b USING (doc_id, field_ord) GROUP BY 1)
+SELECT doc_id, n_pages - coalesce(used, 0) AS empty_pages, 0::BIGINT AS out_of_range, 0::BIGINT AS off_page, match_rate, CASE WHEN match_rate < 70 THEN 'ERROR' WHEN n_pages > coalesce(used, 0) OR match_rate < 80 THEN 'WARNING' ELSE 'SUCCESS' END AS state FROM p LEFT JOIN u USING (doc_id) JOIN s USING (doc_id)"""))
+def multipage_checks(spark, sf_dir):
+    m = matches(spark, sf_dir)
+    pages = words(spark, sf_dir).groupBy("doc_id").agg((F.max("page_num") + 1).alias("n_pages"))
+    stats = quality.document_stats(fields(spark, sf_dir), m)
+    return quality.page_checks(m.select("doc_id", "page_num", "bbox", "page_width", "page_height").drop("page_width", "page_height"), pages.withColumns({"page_width": F.lit(612.0), "page_height": F.lit(792.0)}), stats)
+
+
+@query(m_sql("SELECT doc_id, field_ord, field_name FROM fields f WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.doc_id = f.doc_id AND b.field_ord = f.field_ord)"))
+def unmatched_fields(spark, sf_dir):
+    return fields(spark, sf_dir).join(matches(spark, sf_dir).select("doc_id", "field_ord"), ["doc_id", "field_ord"], "left_anti").select("doc_id", "field_ord", "field_name")
+
+
+# ---- exports ----
+
+
+@query(m_sql("SELECT row_number() OVER (ORDER BY field_name)::INT AS category_id, field_name FROM (SELECT DISTINCT field_name FROM best)"))
+def coco_categories(spark, sf_dir):
+    return export.categories(matches(spark, sf_dir))
+
+
+@query(m_sql("SELECT DISTINCT doc_id, page_num + 1 AS image_id, doc_id || '_page_' || page_num || '.png' AS file_name, 612 AS width, 792 AS height FROM best"))
+def coco_images(spark, sf_dir):
+    return export.coco_images(matches(spark, sf_dir))
+
+
+@query(m_sql(", c AS (SELECT field_name, row_number() OVER (ORDER BY field_name)::INT AS category_id FROM (SELECT DISTINCT field_name FROM best)) SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY field_ord, page_num, start_idx)::INT AS id, page_num + 1 AS image_id, category_id, [x0, y0, x1 - x0, y1 - y0] AS bbox, (x1 - x0) * (y1 - y0) AS area, 0 AS iscrowd, field_value AS text, 1.0::DOUBLE AS confidence, 'exact' AS match_type, [x0, y0, x1, y0, x1, y1, x0, y1] AS segmentation FROM best JOIN c USING (field_name)"))
+def coco_annotations(spark, sf_dir):
+    return export.coco_rows(matches(spark, sf_dir))
+
+
+@query(m_sql(", c AS (SELECT field_name, row_number() OVER (ORDER BY field_name) - 1 AS k FROM (SELECT DISTINCT field_name FROM best)) SELECT doc_id, page_num, field_ord, printf('%d %.6f %.6f %.6f %.6f', k, ((x0 + x1) / 2) / 612, ((y0 + y1) / 2) / 792, (x1 - x0) / 612, (y1 - y0) / 792) AS line FROM best JOIN c USING (field_name)"))
+def yolo_rows(spark, sf_dir):
+    return export.yolo_rows(matches(spark, sf_dir))
+
+
+@query(m_sql("SELECT doc_id, page_num, '<annotation><filename>' || doc_id || '_page_' || page_num || '.png</filename><size><width>612</width><height>792</height><depth>3</depth></size>' || string_agg('<object><name>' || field_name || '</name><bndbox><xmin>' || trunc(x0)::INT || '</xmin><ymin>' || trunc(y0)::INT || '</ymin><xmax>' || trunc(x1)::INT || '</xmax><ymax>' || trunc(y1)::INT || '</ymax></bndbox></object>', '' ORDER BY field_ord) || '</annotation>' AS xml FROM best GROUP BY doc_id, page_num"))
+def voc_xml(spark, sf_dir):
+    return export.voc_rows(matches(spark, sf_dir))
+
+
+@query(m_sql("SELECT doc_id, field_ord, field_name, field_value AS text, x0, y0, x1, y1, page_num AS page, 1.0::DOUBLE AS confidence, 'exact' AS match_type, 612.0::DOUBLE AS page_width, 792.0::DOUBLE AS page_height FROM best"))
+def csv_rows(spark, sf_dir):
+    return export.csv_rows(matches(spark, sf_dir))
+
+
+@query()
+def json_rows(spark, sf_dir):
+    return export.json_rows(matches(spark, sf_dir))
+
+
+@query(m_sql(f", {_W_LAYOUT}, g2 AS (SELECT *, CASE WHEN x1 <= x0 THEN least(x0 + 1, 1000) ELSE x1 END AS xx, CASE WHEN y1 <= y0 THEN least(y0 + 1, 1000) ELSE y1 END AS yy FROM lb) SELECT doc_id, page_num, list(field_name ORDER BY field_ord) AS names, list(matched_text ORDER BY field_ord) AS texts, list([x0, y0, xx, yy] ORDER BY field_ord) AS boxes FROM g2 GROUP BY doc_id, page_num"))
+def layoutlm_pages(spark, sf_dir):
+    return export.layout_pages(matches(spark, sf_dir))

@@ -1 +1 @@
-"""quillmark.sources"""
+"""Where words, fields and documents come from."""
