@@ -78,7 +78,7 @@ def map_rows(df: DataFrame, columns: list[str], start: Callable[[], Callable[...
     """``mapInArrow`` for per-document work.
 
     ``start()`` runs once a task and returns a function of the columns' Python
-    lists (one Arrow batch) giving the output columns as lists. Only the named
+    lists (one Arrow batch) giving the output columns as lists or Arrow arrays. Only the named
     columns are read, so others may have any name or type.
     """
     small_batches(df.sparkSession)
@@ -90,7 +90,7 @@ def map_rows(df: DataFrame, columns: list[str], start: Callable[[], Callable[...
         for batch in batches:
             if batch.num_rows:
                 out = work(*[c.to_pylist() for c in batch.columns])
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(out, kinds, strict=True)], names=names)
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=t) for c, t in zip(out, kinds, strict=True)], names=names)
 
     return df.select(*columns).mapInArrow(run, schema)
 

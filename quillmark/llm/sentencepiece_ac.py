@@ -6,6 +6,8 @@ import hashlib
 from array import array
 
 import ahocorasick
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import piece_model
@@ -84,6 +86,13 @@ class Encoder:
         return raw[1:] if raw.startswith(" ") else raw
 
 
+def as_lists(found: list[array]) -> pa.Array:
+    """Arrays of piece numbers as one Arrow column, without a Python object for each number."""
+    offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+    values = np.frombuffer(b"".join(f.tobytes() for f in found), np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
@@ -102,7 +111,7 @@ def encode(docs: DataFrame, model_file: str, cache_spans: int = CACHE_SPANS) ->
 
         def work(ids, texts):
             found = [enc.encode(t) for t in texts]
-            return ids, [len(t.encode()) if t else 0 for t in texts], [len(f) for f in found], [f.tolist() for f in found]
+            return ids, [len(t.encode()) if t else 0 for t in texts], [len(f) for f in found], as_lists(found)
 
         return work
 
@@ -141,7 +150,7 @@ def round_trip(docs: DataFrame, model_file: str, cache_spans: int = CACHE_SPANS,
                 [len(f) for f in found],
                 [hashlib.sha256(f.tobytes()).hexdigest() for f in found],
                 [enc.decode(f) == (t or "") for f, t in zip(found, texts, strict=True)],
-                *([[f.tolist() for f in found]] if with_ids else []),
+                *([as_lists(found)] if with_ids else []),
             )
 
         return work
