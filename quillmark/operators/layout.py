@@ -102,7 +102,7 @@ def item_rows(items: DataFrame, rows: DataFrame, least: float = 75.0) -> DataFra
     both = items.where(F.trim("key") != "").join(rows.withColumnRenamed("text", "row_text"), "doc_id")
     a, b = F.lower("key"), F.lower("row_text")
     whole = both.where(F.contains(b, a)).withColumn("score", F.lit(100.0))
-    rest = both.where(~F.contains(b, a)).withColumn("score", similarity.score("partial_ratio", a, b)).where(F.col("score") >= least)
+    rest = both.where(~F.contains(b, a)).withColumn("score", similarity.score("partial_ratio", a, b, least)).where(F.col("score") >= least)
     best = Window.partitionBy("doc_id", "item_idx").orderBy(F.desc("score"), "page_num", "row")
     return whole.unionByName(rest).withColumn("n", F.row_number().over(best)).where("n = 1").drop("n")
 

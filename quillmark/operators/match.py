@@ -9,28 +9,37 @@ from ..functions import geometry as g
 from ..functions import similarity, text
 
 
-def windows(words: DataFrame, sizes: Column | None = None, max_size: int = 4, columns: tuple[str, ...] = ("text",), skip_empty: bool = False, normal: Column | None = None) -> DataFrame:
-    """Runs of 1 to ``max_size`` words of a page: ``doc_id, page_num, start_idx, size, text, bbox, parts``.
+def runs(words: DataFrame, max_size: int, normal: Column | None = None, skip_empty: bool = False) -> DataFrame:
+    """Each word with the ``run`` of it and the next ``max_size`` - 1 words of its page: array of (word_idx, text, norm, bbox).
 
-    ``parts`` are the (normalised) words, in order. Each page is sorted once and
-    read by row frames; a page is the unit of work, and no document is gathered
-    whole. With ``skip_empty`` words that normalise to nothing don't count.
+    Each page is sorted once and read by offsets; a page is the unit of work,
+    and no document is gathered whole.
     """
-    norm = normal if normal is not None else F.col("text")
-    w = words.withColumn("norm", norm)
+    w = words.withColumn("norm", normal if normal is not None else F.col("text"))
     if skip_empty:
         w = w.where("norm <> ''")
     order = Window.partitionBy("doc_id", "page_num").orderBy("word_idx")
-    ahead = F.collect_list(F.struct("word_idx", "text", "norm", "bbox")).over(order.rowsBetween(0, max_size - 1))
-    rows = w.select("doc_id", "page_num", "page_width", "page_height", F.col("word_idx").alias("start_idx"), ahead.alias("run"))
+    one = F.struct("word_idx", "text", "norm", "bbox")
+    ahead = F.array_compact(F.array(one, *(F.lead(one, k).over(order) for k in range(1, max_size))))
+    return w.select("doc_id", "page_num", "page_width", "page_height", "norm", F.col("word_idx").alias("start_idx"), ahead.alias("run"))
+
+
+def _of_run(run: Column) -> list[Column]:
+    """``matched text, box, last index`` of a run."""
+    side = lambda f, s: f(F.transform(run, lambda x: x["bbox"][s]))
+    b = g.box(side(F.array_min, "x0"), side(F.array_min, "y0"), side(F.array_max, "x1"), side(F.array_max, "y1"))
+    return [F.array_join(F.transform(run, lambda x: x["text"]), " "), b, F.element_at(run, -1)["word_idx"]]
+
+
+def windows(words: DataFrame, max_size: int = 4, normal: Column | None = None, skip_empty: bool = False) -> DataFrame:
+    """Runs of 1 to ``max_size`` words of a page: ``doc_id, page_num, start_idx, end_idx, size, text, bbox``.
+
+    With ``skip_empty`` words that normalise to nothing don't count.
+    """
+    rows = runs(words, max_size, normal, skip_empty)
     rows = rows.withColumn("size", F.explode(F.sequence(F.lit(1), F.size("run")))).withColumn("run", F.slice("run", F.lit(1), F.col("size")))
-    side = lambda f, s: f(F.transform("run", lambda x: x["bbox"][s]))
-    return rows.select(
-        "doc_id", "page_num", "page_width", "page_height", "start_idx", "size",
-        F.array_join(F.transform("run", lambda x: x["text"]), " ").alias("text"), F.transform("run", lambda x: x["norm"]).alias("parts"),
-        g.box(side(F.array_min, "x0"), side(F.array_min, "y0"), side(F.array_max, "x1"), side(F.array_max, "y1")).alias("bbox"),
-        F.element_at("run", -1)["word_idx"].alias("end_idx"),
-    )
+    joined, b, last = _of_run(F.col("run"))
+    return rows.select("doc_id", "page_num", "page_width", "page_height", "start_idx", "size", joined.alias("text"), b.alias("bbox"), last.alias("end_idx"))
 
 
 def with_tokens(fields: DataFrame, normal=lambda c: text.match_text(c, compose=False)) -> DataFrame:
@@ -42,13 +51,18 @@ def with_tokens(fields: DataFrame, normal=lambda c: text.match_text(c, compose=F
 def exact(words: DataFrame, fields: DataFrame, max_size: int = 4, normal=lambda c: text.match_text(c, compose=False)) -> DataFrame:
     """All windows whose normalised words equal a field's, in arrays, so words with spaces inside never match.
 
-    One equi-join on the document and the array. Values of more than
-    ``max_size`` words need a larger ``max_size``.
+    One equi-join on the document and the first word, the rest of the words
+    being a residual. Values of more than ``max_size`` words need a larger
+    ``max_size``.
     """
-    win = windows(words, max_size=max_size, skip_empty=True, normal=normal(F.col("text")))
+    start = runs(words, max_size, normal(F.col("text")), skip_empty=True)
     f = with_tokens(fields, normal)
-    hit = f.join(win, (f["doc_id"] == win["doc_id"]) & (f["tokens"] == win["parts"]))
-    return hit.select(f["doc_id"], "field_ord", "field_name", f["field_value"].alias("text"), win["text"].alias("matched_text"), "bbox", "page_num", "page_width", "page_height", "start_idx", "end_idx", F.col("size").alias("word_count"), F.lit(1.0).alias("confidence"), F.lit("exact").alias("match_type"))
+    own = F.slice("run", F.lit(1), F.size("tokens"))
+    same = F.transform(own, lambda x: x["norm"]) == F.col("tokens")
+    hit = f.join(start, (f["doc_id"] == start["doc_id"]) & (F.element_at("tokens", 1) == start["norm"])).where(same)
+    joined, b, last = _of_run(F.col("own"))
+    hit = hit.select(f["doc_id"], "field_ord", "field_name", f["field_value"].alias("text"), "page_num", "page_width", "page_height", "start_idx", own.alias("own"))
+    return hit.select("doc_id", "field_ord", "field_name", "text", joined.alias("matched_text"), b.alias("bbox"), "page_num", "page_width", "page_height", "start_idx", last.alias("end_idx"), F.size("own").alias("word_count"), F.lit(1.0).alias("confidence"), F.lit("exact").alias("match_type"))
 
 
 _KEY = ["doc_id", "field_ord", "field_name"]
@@ -97,7 +111,7 @@ def candidates(words: DataFrame, fields: DataFrame, max_size: int, normal=None,
 def fuzzy(words: DataFrame, fields: DataFrame, least: float = 80.0, scorer: str = "ratio", max_size: int = 4, normal=lambda c: text.match_text(c, compose=False)) -> DataFrame:
     """Windows whose similarity to a value reaches ``least``. What can't reach it by its letters and length isn't scored."""
     pairs = candidates(words, fields, max_size, normal).where(similarity.may_reach(scorer, *map(F.col, ("a", "b", "a_letters", "b_letters")), least))
-    scored = pairs.withColumn("score", similarity.score(scorer, F.col("a"), F.col("b"))).where(F.col("score") >= least)
+    scored = pairs.withColumn("score", similarity.score(scorer, F.col("a"), F.col("b"), least)).where(F.col("score") >= least)
     return scored.withColumn("confidence", F.col("score") / 100).withColumn("match_type", F.lit("fuzzy")).drop("a", "b", "a_letters", "b_letters", "score")
 
 
