@@ -7,6 +7,8 @@ for each batch.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -24,6 +26,20 @@ PART_BYTES = 8 << 20
 MAX_PARTS = 20_000
 
 
+def released(work):
+    """``work`` for a group, after which the worker's free memory goes back to the system: workers stay alive, idle, between stages."""
+
+    def free(out: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+        return out
+
+    if work.__code__.co_argcount == 1:  # Spark counts the arguments
+        return lambda rows: free(work(rows))
+    return lambda rows, replies: free(work(rows, replies))
+
+
 def total_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
 

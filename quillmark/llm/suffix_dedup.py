@@ -24,6 +24,7 @@ because they differ around a common passage is dealt out by whole windows.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import BATCH_BYTES, PART_BYTES, as_table, batched, parts_for, total_bytes
+from .batches import BATCH_BYTES, PART_BYTES, as_table, batched, parts_for, released, total_bytes
 from .batches import pack as _pack
 from .batches import unpack as _unpack
 from .common import materialise
@@ -44,7 +45,8 @@ HOT_STRETCHES = 50_000
 #: Bytes of stretches sorted at once, if a lot of minimisers hasn't more; a larger part is sorted by lots.
 SORT_BYTES = 2 << 20
 _LOTS = 64
-_PIECE = 1 << 19
+#: Windows of a piece of a long text, and bytes that are hashed together: few enough to stay in a processor's cache.
+_PIECE, _SLICE = 1 << 15, 1 << 16
 _POS_BITS = np.uint64(20)
 _LAST = (1 << 63) - 1
 
@@ -123,7 +125,7 @@ def stretches(texts: list[bytes], length: int) -> Stretches:
     for k, text in enumerate(texts):
         for base in range(0, len(text) - length + 1, _PIECE):
             piece = text[base : base + _PIECE + length - 1]
-            if size + len(piece) > 1 << 20:
+            if size + len(piece) > _SLICE:
                 flush()
                 part, size = [], 0
             part.append((k, base, piece))
@@ -229,22 +231,23 @@ class Batch:
             a, b = (np.unpackbits(np.frombuffer(x, np.uint8), count=len(own)).astype(bool) for x in _unpack(blob))
             shared[own] |= a
             hot[own] |= b
-        lots = ((self.grams >> np.uint64(32)) % np.uint64(_LOTS)).tolist()
-        found, length = [], self.p.length
-        least: dict[int, dict[bytes, tuple[int, int]]] = {}
-        for k in np.flatnonzero(shared[self.inverse]).tolist():
-            doc, start, n, gram = int(self.s.doc[k]), int(self.s.start[k]), int(self.s.windows[k]), int(self.inverse[k])
-            text, doc_id = self.texts[doc], int(self.ids[doc])
-            if hot[gram]:
+        lots = ((self.grams >> np.uint64(32)) % np.uint64(_LOTS)).astype(np.int64)
+        found, length, texts, ids = [], self.p.length, self.texts, self.ids.tolist()
+        least: defaultdict[int, dict[bytes, tuple[int, int]]] = defaultdict(dict)
+        chosen = np.flatnonzero(shared[self.inverse])
+        gram = self.inverse[chosen]
+        columns = (self.s.doc[chosen], self.s.start[chosen], self.s.windows[chosen], self.part[gram], lots[gram], hot[gram])
+        for doc, start, n, part, lot, many in zip(*(c.tolist() for c in columns), strict=True):  # in the order of doc_ids
+            if many:
                 for at in range(start, start + n):
-                    piece = text[at : at + length]
+                    piece = texts[doc][at : at + length]
                     h = xxhash.xxh64_intdigest(piece)
                     found.append((doc, at, part := h % self.p.parts, piece))
-                    least.setdefault(part, {}).setdefault(piece, (doc_id, h >> 58))
+                    least[part].setdefault(piece, (ids[doc], h >> 58))
             else:
-                piece = text[start : start + n + length - 1]
-                found.append((doc, start, part := int(self.part[gram]), piece))
-                least.setdefault(part, {}).setdefault(piece, (doc_id, lots[gram]))  # stretches come in the order of doc_ids
+                piece = texts[doc][start : start + n + length - 1]
+                found.append((doc, start, part, piece))
+                least[part].setdefault(piece, (ids[doc], lot))
         return found, least
 
 
@@ -363,14 +366,17 @@ def _removed(docs: DataFrame, finish, schema: str, length: int, batch_bytes: int
     def out(rows: list[tuple]) -> pa.Table:
         return as_table(rows, {"part": pa.int64(), "_batch": pa.int64(), "blob": pa.binary()})
 
+    @released
     def tell(t: pa.Table) -> pa.Table:
         key = t.column("_batch")[0].as_py()
         return out([(part, key, blob) for part, blob in Batch(t, p).told()])
 
+    @released
     def meet(t: pa.Table) -> pa.Table:
         ids, part = t.column("_batch").to_pylist(), t.column("part")[0].as_py()
         return out([(part, b, x) for b, x in zip(ids, _part_of_gram(ids, t.column("blob").to_pylist(), p.hot), strict=True)])
 
+    @released
     def send(t: pa.Table, replies: pa.Table) -> pa.Table:
         if not t.num_rows:
             return out([])
@@ -383,11 +389,13 @@ def _removed(docs: DataFrame, finish, schema: str, length: int, batch_bytes: int
             rows.append((part, key, _pack(np.array([len(x) for x in order], np.uint8), b"".join(order), np.array(ids, np.int64), np.array(lots, np.uint8))))
         return out(rows)
 
+    @released
     def sort(t: pa.Table) -> pa.Table:
         part = t.column("part")[0].as_py()
         found = _part_of_stretches(t.column("blob").to_pylist(), p)
         return out([(part, b, x) for b, x in zip(t.column("_batch").to_pylist(), found, strict=True) if x is not None])
 
+    @released
     def end(t: pa.Table, replies: pa.Table) -> pa.Table:
         if not t.num_rows:
             return finish(t, None, None)
