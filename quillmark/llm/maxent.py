@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import BATCH_BYTES, PART_BYTES, as_table, batched, pack, parts_for, total_bytes, unpack
+from .batches import BATCH_BYTES, PART_BYTES, as_table, batched, pack, parts_for, released, total_bytes, unpack
 from .common import crc_mod_py, materialise
 
 #: Own classes of frequent words, classes of endings, rows of hashed weights.
 TOP, ENDINGS, ROWS = 16, 16, 1 << 14
 #: Tokens of a gradient step, and of a lot that is scored together.
-STEP = 1024
+STEP = 4096
 RATE = 0.2
 SLICES = 16
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -137,31 +137,57 @@ def features(batch: Batch, rows: int) -> np.ndarray:
     return out
 
 
-def log_softmax(f: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    z = weights[f[:, 0]]
+def _row_max(z: np.ndarray) -> np.ndarray:
+    """The largest of each row, by halves: faster than a reduction along short rows."""
+    while z.shape[1] > 1:
+        half = (z.shape[1] + 1) // 2
+        z = np.maximum(z[:, :half], z[:, -half:])
+    return z
+
+
+def logits(f: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    z = weights.take(f[:, 0], 0)
     for k in range(1, f.shape[1]):
-        z += weights[f[:, k]]
+        z += weights.take(f[:, k], 0)
     z += bias
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z -= _row_max(z)
+    return z
+
+
+def log_softmax(f: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    z = logits(f, weights, bias)
+    z -= np.log(np.exp(z) @ np.ones((z.shape[1], 1), z.dtype))
     return z
 
 
+def log_chosen(f: np.ndarray, cls: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each token's class."""
+    z = logits(f, weights, bias)
+    chosen = z.ravel().take(np.arange(len(z)) * z.shape[1] + cls).astype(float)
+    return chosen - np.log(np.exp(z) @ np.ones(z.shape[1], z.dtype))
+
+
 def gradient_pass(f: np.ndarray, cls: np.ndarray, weights: np.ndarray, bias: np.ndarray, rate: float = RATE, step: int = STEP) -> None:
     """One pass of scaled gradient steps (the scale of a row falls with what it has moved), in place."""
     moved = np.full(len(weights), 1e-3, np.float32)
+    k, size = f.shape[1], weights.shape[1]
+    ones, mean = np.ones((size, 1), np.float32), np.full(size, 1 / size, np.float32)
+    small = np.uint16 if len(weights) <= 1 << 16 else np.int32
+    rate = np.float32(rate / np.sqrt(k))
     for at in range(0, len(f), step):
         part, y = f[at : at + step], cls[at : at + step]
-        g = np.exp(log_softmax(part, weights, bias))
-        g[np.arange(len(y)), y] -= 1
-        flat = part.ravel()
-        order = np.argsort(flat, kind="stable")
-        rows = flat[order]
+        g = logits(part, weights, bias)
+        np.exp(g, out=g)
+        g /= g @ ones
+        g.ravel()[np.arange(len(y)) * size + y] -= 1
+        flat = part.ravel().astype(small)
+        order = np.argsort(flat, kind="stable")  # by radix for 16 bits
+        rows = flat.take(order)
         head = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        slope = np.add.reduceat(g[order // f.shape[1]], head, axis=0)
-        rows = rows[head]
-        moved[rows] += (slope * slope).mean(axis=1)
-        weights[rows] -= rate * slope / (np.sqrt(moved[rows])[:, None] * np.sqrt(np.float32(f.shape[1])))
+        slope = np.add.reduceat(g.take(order // k, 0), head, axis=0)
+        rows = rows.take(head)
+        moved[rows] += (slope * slope) @ mean
+        weights[rows] -= slope * (rate / np.sqrt(moved.take(rows)))[:, None]
 
 
 _MESSAGE = {"part": pa.int64(), "_batch": pa.int64(), "blob": pa.binary()}
@@ -223,6 +249,7 @@ def train(docs: DataFrame, held_out: tuple[int, int] = (7, 2), top: int = TOP, e
     table = batched(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), batch_bytes, total)
     message = "part long, _batch long, blob binary"
 
+    @released
     def tell(t: pa.Table) -> pa.Table:
         key = t.column("_batch")[0].as_py()
         return as_table([(part, key, blob) for part, blob in Batch(t, p).told()], _MESSAGE)
@@ -250,6 +277,7 @@ def train(docs: DataFrame, held_out: tuple[int, int] = (7, 2), top: int = TOP, e
 def _round(table: DataFrame, answers: DataFrame, classes: Classes, weights: np.ndarray, bias: np.ndarray, p: Params) -> np.ndarray:
     sent = table.sparkSession.sparkContext.broadcast((classes, weights, bias))
 
+    @released
     def learn(t: pa.Table, replies: pa.Table) -> pa.Table:
         classes, weights, bias = sent.value
         if not t.num_rows:
@@ -301,6 +329,7 @@ def score(trained: Trained, step: int = STEP) -> DataFrame:
     p = trained.params
     sent = trained.table.sparkSession.sparkContext.broadcast((trained.classes, trained.weights, trained.bias))
 
+    @released
     def judge(t: pa.Table, replies: pa.Table) -> pa.Table:
         if not t.num_rows:
             return as_table([], _SCORED)
@@ -312,8 +341,7 @@ def score(trained: Trained, step: int = STEP) -> DataFrame:
         f, y = features(batch, p.rows), cls[batch.tokens]
         model = share[batch.tokens]
         for at in range(0, len(f), step):
-            z = log_softmax(f[at : at + step], weights, bias)
-            model[at : at + step] += z[np.arange(len(z)), y[at : at + step]] / np.log(10)
+            model[at : at + step] += log_chosen(f[at : at + step], y[at : at + step], weights, bias) / np.log(10)
         first = np.cumsum(batch.size) - batch.size
         sums = [np.add.reduceat(x, first) for x in ((counts > 0)[batch.tokens].astype(np.int64), base[batch.tokens], model)]
         cols = [batch.ids, batch.held_out, batch.size, sums[0], np.full(len(first), classes.n), sums[1], sums[2]]
