@@ -48,11 +48,19 @@ def parts_for(total: int, part_bytes: int) -> int:
     return max(1, min(MAX_PARTS, -(-total // part_bytes)))
 
 
-def batched(docs: DataFrame, batch_bytes: int, total: int) -> DataFrame:
-    """Writes ``docs`` with a column ``_batch`` of runs of rows of about ``batch_bytes`` of text.
+def free_name(docs: DataFrame, name: str = "_batch") -> str:
+    """A column name that ``docs`` hasn't, in whatever case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
-    The table is bucketed by ``_batch``, so what works by batch reads it
-    without a shuffle; writing needs none either.
+
+def batched(docs: DataFrame, batch_bytes: int, total: int, column: str = "_batch") -> DataFrame:
+    """Writes ``docs`` with a first ``column`` of runs of rows of about ``batch_bytes`` of text.
+
+    The table is bucketed by it, so what works by batch reads it without a
+    shuffle; writing needs none either.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -64,12 +72,12 @@ def batched(docs: DataFrame, batch_bytes: int, total: int) -> DataFrame:
             bytes_of = pa.compute.fill_null(pa.compute.binary_length(b.column(place)), 0).to_numpy(zero_copy_only=False).astype("int64")
             lot = (size + bytes_of.cumsum()) // batch_bytes
             size += int(bytes_of.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(number + lot, pa.int64()), *b.columns], names=["_batch", *b.schema.names])
+            yield pa.RecordBatch.from_arrays([pa.array(number + lot, pa.int64()), *b.columns], names=[column, *b.schema.names])
 
-    schema = "_batch long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    schema = f"`{column}` long, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     name = f"quillmark_batches_{uuid.uuid4().hex}"
     n = max(1, min(50_000, -(-total // (2 * batch_bytes))))
-    docs.mapInArrow(run, schema).write.option("compression", "zstd").bucketBy(n, "_batch").saveAsTable(name, format="parquet")
+    docs.mapInArrow(run, schema).write.option("compression", "zstd").bucketBy(n, column).saveAsTable(name, format="parquet")
     return spark.table(name)
 
 

@@ -41,8 +41,9 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """Per row: ``doc_id, fp`` (long). A map without a shuffle."""
-    return map_rows(docs, ["doc_id", "text"], lambda: lambda ids, texts: (ids, [fingerprint(t, shingle, seed) for t in texts]), "doc_id long, fp long")
+    """Per row: ``doc_id, text_hash, fp`` (longs). A map without a shuffle."""
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return map_rows(rows, ["doc_id", "text", "text_hash"], lambda: lambda ids, texts, hashes: (ids, hashes, [fingerprint(t, shingle, seed) for t in texts]), "doc_id long, text_hash long, fp long")
 
 
 def merge(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -153,15 +154,8 @@ def links(distinct_fps: DataFrame, max_bits: int = 2, direct: int = DIRECT, long
     return out.unionByName(_links_of_lists(split.select("fps", F.bitwise_not("mask").alias("free")), max_bits, direct))
 
 
-def near_duplicates(docs: DataFrame, max_bits: int = 2, shingle: int = 3, seed: int = 42, direct: int = DIRECT, long_list: int = LONG_LIST) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, fingerprint`` (16 hex digits), ``component_id``.
-
-    The component is the least doc_id reachable over links of fingerprints.
-    Texts without words (null, empty) have fingerprint zero and are linked like
-    any other. Null doc_ids get the least other id reachable, or null. Repeated
-    rows come back each. Equal fingerprints are taken together before anything
-    is joined, so a group of copies costs one row in the index.
-    """
+def _classified(docs: DataFrame, max_bits: int = 2, shingle: int = 3, seed: int = 42, direct: int = DIRECT, long_list: int = LONG_LIST) -> DataFrame:
+    """Per row: ``doc_id, text_hash, fp, component_id``."""
     prints = materialise(fingerprints(docs, shingle, seed), "fingerprints")
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     edges = materialise(links(first.select("fp"), max_bits, direct, long_list), "links")
@@ -170,18 +164,32 @@ def near_duplicates(docs: DataFrame, max_bits: int = 2, shingle: int = 3, seed:
     least = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_print = materialise(classes.join(least, "root").select("fp", "component_id"), "classes")
     drop_table(edges)
-    return prints.join(of_print, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return prints.join(of_print, "fp")
+
+
+def near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, fingerprint`` (16 hex digits), ``component_id``.
+
+    The component is the least doc_id reachable over links of fingerprints.
+    Texts without words (null, empty) have fingerprint zero and are linked like
+    any other. Null doc_ids get the least other id reachable, or null. Repeated
+    rows come back each. Equal fingerprints are taken together before anything
+    is joined, so a group of copies costs one row in the index. Parameters:
+    ``max_bits`` 2, ``shingle`` 3, ``seed`` 42, ``direct``, ``long_list``.
+    """
+    return _classified(docs, **parameters).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
     """``docs`` without all but the least doc_id of each component, columns unchanged.
 
-    Rows whose doc_id is null are kept: nothing tells which of them to keep.
+    Of rows that repeat a doc_id with its text one is kept; rows with one
+    doc_id and different texts are judged each by its text. Rows whose doc_id
+    is null are kept: nothing tells which of them to keep.
     """
-    classes = near_duplicates(docs, **parameters)
-    later = classes.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(later, "doc_id", "left_anti").select(docs.columns)
-    if classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        ids = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-        kept = ids.unionByName(kept.where("doc_id is null"))
+    classes = _classified(docs, **parameters)
+    later = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    kept = docs.join(later, (docs["doc_id"] == later["_id"]) & (F.xxhash64(docs["text"]) == later["_hash"]), "left_anti")
+    if classes.where("doc_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
+        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(kept.where("doc_id is null"))
     return kept

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import BATCH_BYTES, PART_BYTES, as_table, batched, parts_for, released, total_bytes
+from .batches import BATCH_BYTES, PART_BYTES, as_table, batched, free_name, parts_for, released, total_bytes
 from .batches import pack as _pack
 from .batches import unpack as _unpack
 from .common import materialise
@@ -359,8 +359,9 @@ def _removed(docs: DataFrame, finish, schema: str, length: int, batch_bytes: int
         raise ValueError(f"length must be from {GRAM + 8} to 139")
     total = total_bytes(docs)
     p = Params(length, parts_for(total, part_bytes), hot, sort_bytes)
-    table = batched(docs, batch_bytes, total)
-    lean = table.select("_batch", "doc_id", "text")
+    column = free_name(docs)
+    table = batched(docs, batch_bytes, total, column)
+    lean = table.select(F.col(column).alias("_batch"), "doc_id", "text")
     row = "part long, _batch long, blob binary"
 
     def out(rows: list[tuple]) -> pa.Table:
@@ -406,7 +407,7 @@ def _removed(docs: DataFrame, finish, schema: str, length: int, batch_bytes: int
     grams = materialise(lean.groupBy("_batch").applyInArrow(tell, row).groupBy("part").applyInArrow(meet, row), "grams")
     ranges = materialise(lean.groupBy("_batch").cogroup(grams.groupBy("_batch")).applyInArrow(send, row).groupBy("part").applyInArrow(sort, row), "ranges")
     replies = grams.withColumn("kind", F.lit(1)).unionByName(ranges.withColumn("kind", F.lit(2)))
-    return table.groupBy("_batch").cogroup(replies.groupBy("_batch")).applyInArrow(end, schema)
+    return table.groupBy(column).cogroup(replies.groupBy("_batch")).applyInArrow(end, schema)
 
 
 def removed_digest(docs: DataFrame, length: int = 50, batch_bytes: int = BATCH_BYTES, part_bytes: int = PART_BYTES, hot: int = HOT_STRETCHES, sort_bytes: int = SORT_BYTES) -> DataFrame:
@@ -441,7 +442,7 @@ def without_repeats(docs: DataFrame, length: int = 50, batch_bytes: int = BATCH_
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def finish(t, batch, spans):
-        t = t.drop_columns(["_batch"])
+        t = t.drop_columns([t.schema.names[0]])
         if batch is None:
             return t
         new: list[str | None] = t.column("text").to_pylist()

@@ -91,6 +91,12 @@ def test_one_of_each(spark):
     assert sorted((r.doc_id or 0, r.lang) for r in out.collect()) == [(0, "d"), (1, "b"), (3, "c")]
 
 
+def test_one_id_with_two_texts(spark):
+    long = " ".join(f"w{i}" for i in range(300))
+    df = spark.createDataFrame([(1, long, "a"), (5, long, "b"), (5, "something else that no other document says", "c")], "doc_id long, text string, _hash string")
+    assert sorted((r.doc_id, r["_hash"]) for r in simhash.one_of_each(df).collect()) == [(1, "a"), (5, "c")]
+
+
 def test_empty(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

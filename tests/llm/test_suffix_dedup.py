@@ -94,7 +94,7 @@ def test_stretches_hold_every_window_once():
 def test_without_repeats(spark):
     same = "a passage of well over fifty bytes that two documents have in common, word for word"
     rows = [(1, "A " + same, "x"), (2, same + " é own end", None), (3, same, "z"), (4, None, "w"), (5, " ", "v")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    df = spark.createDataFrame(rows, "doc_id long, text string, _batch string")
     out = sd.without_repeats(df)
     assert out.columns == df.columns
     assert sorted(map(tuple, out.collect())) == [(1, "A " + same, "x"), (2, " é own end", None), (4, None, "w"), (5, " ", "v")]
