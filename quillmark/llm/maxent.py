@@ -9,17 +9,20 @@ with a place for words that training didn't have.
 
 from __future__ import annotations
 
+import uuid
 import zlib
+from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import BATCH_BYTES, PART_BYTES, as_table, batched, pack, parts_for, released, total_bytes, unpack
-from .common import crc_mod_py, materialise
+from .batches import BATCH_BYTES, PART_BYTES, as_table, pack, parts_for, released, total_bytes, unpack
+from .common import crc_mod_py, materialise, small_batches
 
 #: Own classes of frequent words, classes of endings, rows of hashed weights.
 TOP, ENDINGS, ROWS = 16, 16, 1 << 14
@@ -52,27 +55,40 @@ def ending(word: bytes, endings: int) -> int:
 
 
 class Batch:
-    """Tokens of a batch's documents, in the order of their ids, as numbers of its distinct words."""
-
-    def __init__(self, table: pa.Table, p: Params):
-        self.p = p
-        rows = sorted(zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist(), strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        self.ids = [r[0] for r in rows]
-        self.held_out = np.array([crc_mod_py(i, p.mod) == p.rest for i in self.ids], bool)
-        lists = [tokens(r[1]) for r in rows]
-        self.size = np.array([len(x) for x in lists], np.int64)
-        flat = list(chain.from_iterable(lists))
-        del lists, rows
-        self.words = list(dict.fromkeys(flat))  # in an order that doesn't depend on that of the rows
-        number = dict(zip(self.words, range(len(self.words)), strict=True))
-        self.tokens = np.fromiter(map(number.__getitem__, flat), np.int32, len(flat))
-        del flat, number
-        self.hash = np.fromiter(map(zlib.crc32, self.words), np.uint64, len(self.words))
+    """Tokens of a batch's documents as numbers of its distinct words.
+
+    It is made from texts once and kept as bytes, so that training and scoring
+    don't cut the texts again.
+    """
+
+    def __init__(self, p: Params, ids: np.ndarray, null: np.ndarray, size: np.ndarray, tokens: np.ndarray, words: list[bytes]):
+        self.p, self.ids, self.null, self.size, self.tokens, self.words = p, ids, null, size, tokens, words
+        self.held_out = np.array([crc_mod_py(None if n else i, p.mod) == p.rest for i, n in zip(ids.tolist(), null.tolist(), strict=True)], bool)
+        self.hash = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
         part = (self.hash % np.uint64(p.parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         lots = np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
         self.by_part = {int(part[x[0]]): x for x in lots if len(x)}
 
+    @classmethod
+    def of_texts(cls, ids: list[int | None], texts: list[str | None], p: Params) -> Batch:
+        lists = [tokens(t) for t in texts]
+        flat = list(chain.from_iterable(lists))
+        size = np.array([len(x) for x in lists], np.int64)
+        del lists
+        words = list(dict.fromkeys(flat))
+        number = dict(zip(words, range(len(words)), strict=True))
+        numbers = np.fromiter(map(number.__getitem__, flat), np.int32, len(flat))
+        return cls(p, np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], bool), size, numbers, words)
+
+    def dump(self) -> bytes:
+        return pack(self.ids, self.null, self.size, self.tokens, b" ".join(self.words))
+
+    @classmethod
+    def load(cls, blob: bytes, p: Params) -> Batch:
+        *numbers, words = unpack(blob)
+        return cls(p, *(np.frombuffer(x, t) for x, t in zip(numbers, (np.int64, bool, np.int64, np.int32), strict=True)), words.split(b" "))
+
     def told(self):
         """For each part: its words, and how often the training documents of the batch have them."""
         count = np.bincount(self.tokens[np.repeat(~self.held_out, self.size)], minlength=len(self.words))
@@ -225,9 +241,9 @@ def _meet(t: pa.Table, p: Params) -> pa.Table:
 
 
 class Trained(NamedTuple):
-    """A trained model with the written tables that score the documents it was asked for."""
+    """A trained model with the written batches and answers that score the documents it was given."""
 
-    table: DataFrame
+    batches: DataFrame
     answers: DataFrame
     classes: Classes
     weights: np.ndarray
@@ -244,17 +260,37 @@ def train(docs: DataFrame, held_out: tuple[int, int] = (7, 2), top: int = TOP, e
     neither a task nor the driver gathers more than the model's fixed size
     times a bounded number.
     """
+    spark = docs.sparkSession
+    small_batches(spark)
     total = total_bytes(docs)
     p = Params(parts_for(total, part_bytes), *held_out, top, endings, rows)
-    table = batched(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), batch_bytes, total)
     message = "part long, _batch long, blob binary"
 
-    @released
-    def tell(t: pa.Table) -> pa.Table:
-        key = t.column("_batch")[0].as_py()
-        return as_table([(part, key, blob) for part, blob in Batch(t, p).told()], _MESSAGE)
-
-    met = table.groupBy("_batch").applyInArrow(tell, message).groupBy("part").applyInArrow(lambda t: _meet(t, p), message + ", word binary, cls long, n long, v long")
+    def tell(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Batches by size as rows come; a batch's own bytes have no part."""
+        number, ids, texts, size = TaskContext.get().partitionId() << 24, [], [], 0
+        for r in chain(rows, [None]):
+            for doc_id, text in zip(*(c.to_pylist() for c in r.columns), strict=True) if r is not None else ():
+                ids.append(doc_id)
+                texts.append(text)
+                size += 4 * len(text or "") // 3
+                if size >= batch_bytes:
+                    yield told_of(number, ids, texts)
+                    number, ids, texts, size = number + 1, [], [], 0
+        if ids:
+            yield told_of(number, ids, texts)
+
+    def told_of(number: int, ids: list, texts: list) -> pa.RecordBatch:
+        batch = Batch.of_texts(ids, texts, p)
+        out = as_table([(None, number, batch.dump()), *((part, number, blob) for part, blob in batch.told())], _MESSAGE)
+        return out.combine_chunks().to_batches()[0]
+
+    name = f"quillmark_told_{uuid.uuid4().hex}"
+    told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tell, message)
+    told.write.option("compression", "uncompressed").bucketBy(max(1, min(50_000, -(-total // (2 * batch_bytes)))), "_batch").saveAsTable(name, format="parquet")
+    told = spark.table(name)  # bucketed by batch: what reads it by batch needs no shuffle
+    batches = told.where("part is null").select("_batch", "blob")
+    met = told.where("part is not null").groupBy("part").applyInArrow(released(lambda t: _meet(t, p)), message + ", word binary, cls long, n long, v long")
     met = materialise(met, "counts")
     answers = met.where("blob is not null").select("part", "_batch", "blob")
     best = met.where("word is not null").orderBy(F.desc("n"), "word").limit(top).collect()
@@ -270,19 +306,19 @@ def train(docs: DataFrame, held_out: tuple[int, int] = (7, 2), top: int = TOP, e
     bias = classes.start([r.n for r in best])
     weights = np.zeros((rows, classes.size), np.float32)
     for _ in range(rounds):
-        weights = _round(table, answers, classes, weights, bias, p)
-    return Trained(table, answers, classes, weights, bias, p)
+        weights = _round(batches, answers, classes, weights, bias, p)
+    return Trained(batches, answers, classes, weights, bias, p)
 
 
-def _round(table: DataFrame, answers: DataFrame, classes: Classes, weights: np.ndarray, bias: np.ndarray, p: Params) -> np.ndarray:
-    sent = table.sparkSession.sparkContext.broadcast((classes, weights, bias))
+def _round(batches: DataFrame, answers: DataFrame, classes: Classes, weights: np.ndarray, bias: np.ndarray, p: Params) -> np.ndarray:
+    sent = batches.sparkSession.sparkContext.broadcast((classes, weights, bias))
 
     @released
     def learn(t: pa.Table, replies: pa.Table) -> pa.Table:
         classes, weights, bias = sent.value
         if not t.num_rows:
             return as_table([], {"n": pa.int64(), "blob": pa.binary()})
-        batch = Batch(t, p)
+        batch = Batch.load(t.column("blob")[0].as_py(), p)
         cls, _ = classes.of(batch.words, batch.counts(list(zip(replies.column("part").to_pylist(), replies.column("blob").to_pylist(), strict=True))))
         use = np.repeat(~batch.held_out, batch.size)
         own = weights.copy()
@@ -308,7 +344,7 @@ def _round(table: DataFrame, answers: DataFrame, classes: Classes, weights: np.n
         return as_table([(t.column("slice")[0].as_py(), n, (total / n).astype(np.float16).tobytes())], {"slice": pa.int64(), "n": pa.int64(), "blob": pa.binary()})
 
     kind = "slice long, n long, blob binary"
-    moves = table.groupBy("_batch").cogroup(answers.groupBy("_batch")).applyInArrow(learn, "n long, blob binary").mapInArrow(within_task, kind)
+    moves = batches.groupBy("_batch").cogroup(answers.groupBy("_batch")).applyInArrow(learn, "n long, blob binary").mapInArrow(within_task, kind)
     moves = moves.withColumn("lot", F.spark_partition_id() % 64).groupBy("slice", "lot").applyInArrow(mean, kind).groupBy("slice").applyInArrow(mean, kind)
     out = np.zeros(shape, np.float32)
     for r in moves.collect():
@@ -327,14 +363,14 @@ def score(trained: Trained, step: int = STEP) -> DataFrame:
     (and, if not held out, learnt) each; null doc_ids count as the empty id.
     """
     p = trained.params
-    sent = trained.table.sparkSession.sparkContext.broadcast((trained.classes, trained.weights, trained.bias))
+    sent = trained.batches.sparkSession.sparkContext.broadcast((trained.classes, trained.weights, trained.bias))
 
     @released
     def judge(t: pa.Table, replies: pa.Table) -> pa.Table:
         if not t.num_rows:
             return as_table([], _SCORED)
         classes, weights, bias = sent.value
-        batch = Batch(t, p)
+        batch = Batch.load(t.column("blob")[0].as_py(), p)
         counts = batch.counts(list(zip(replies.column("part").to_pylist(), replies.column("blob").to_pylist(), strict=True)))
         cls, share = classes.of(batch.words, counts)
         base = np.log10((counts + 1) / (classes.n + classes.v + 1))
@@ -345,10 +381,11 @@ def score(trained: Trained, step: int = STEP) -> DataFrame:
         first = np.cumsum(batch.size) - batch.size
         sums = [np.add.reduceat(x, first) for x in ((counts > 0)[batch.tokens].astype(np.int64), base[batch.tokens], model)]
         cols = [batch.ids, batch.held_out, batch.size, sums[0], np.full(len(first), classes.n), sums[1], sums[2]]
-        return pa.table({n: pa.array(c, k) for (n, k), c in zip(_SCORED.items(), cols, strict=True)})
+        out = {n: pa.array(c, k) for (n, k), c in zip(_SCORED.items(), cols, strict=True)}
+        return pa.table(out | {"doc_id": pa.array(batch.ids, pa.int64(), mask=batch.null)})
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return trained.table.groupBy("_batch").cogroup(trained.answers.groupBy("_batch")).applyInArrow(judge, schema)
+    return trained.batches.groupBy("_batch").cogroup(trained.answers.groupBy("_batch")).applyInArrow(judge, schema)
 
 
 def train_and_score(docs: DataFrame, **parameters) -> DataFrame:
