@@ -19,15 +19,17 @@ def components(edges: DataFrame, max_steps: int = 60) -> DataFrame:
 
     Only nodes with an edge to another node are returned. Each step's edges
     are written to the shared folder, so a lost executor costs one step. The
-    number of steps grows with the logarithm of the longest chain.
+    number of steps grows with the logarithm of the longest chain. A step writes
+    no more files than the cluster has cores: edges are few beside documents.
     """
-    now = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    cores = edges.sparkSession.sparkContext.defaultParallelism
+    now = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct().coalesce(cores), "edges")
     for _ in range(max_steps):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         small = _star(large)
         after = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        after = materialise(after, "edges")
+        after = materialise(after.coalesce(cores), "edges")
         marks = [x.select(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (now, after)]
         drop_table(now)
         now = after
