@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import crf, piece_model, sentencepiece_ac, simhash, spaced_seeds, suffix_dedup
+from quillmark.llm import crf, near_copies, piece_model, sentencepiece_ac, spaced_seeds, suffix_dedup
 from quillmark.llm.common import materialise
 
 
@@ -16,8 +16,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the least doc_id of each group of fingerprints linked at 2 or fewer bits (3-word shingles, as in op7)."""
-    return simhash.one_of_each(docs)
+    """Keeps the least doc_id of each group of texts linked by a Jaccard similarity of 0.8 of their five-word shingles."""
+    return near_copies.one_of_each(docs)
 
 
 def suffix_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

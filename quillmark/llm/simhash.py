@@ -187,7 +187,11 @@ def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
     doc_id and different texts are judged each by its text. Rows whose doc_id
     is null are kept: nothing tells which of them to keep.
     """
-    classes = _classified(docs, **parameters)
+    return keep_least(docs, _classified(docs, **parameters))
+
+
+def keep_least(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that have their class's ``component_id``; classes: ``doc_id, text_hash, component_id`` per row."""
     later = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     kept = docs.join(later, (docs["doc_id"] == later["_id"]) & (F.xxhash64(docs["text"]) == later["_hash"]), "left_anti")
     if classes.where("doc_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
