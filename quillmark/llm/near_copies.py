@@ -1,4 +1,20 @@
-"""Near copies by word shingles: long SimHash fingerprints propose pairs by shared bytes, exact Jaccard similarity decides."""
+"""Near copies by word shingles: long SimHash fingerprints propose pairs by shared bytes, exact Jaccard similarity decides.
+
+Texts of the same set of shingles are one *node*. A node has 512 bits of SimHash
+and stands in a posting list for each of 128 combinations of byte positions
+(512 combinations of three bytes for very many nodes). Members of a list are
+compared by their first 256 bits (128 in the first pass), then by all 512, then by their shingles.
+
+A group of copies would give all its pairs, so links are found in two passes.
+In the first, each member of a list tells its nearest neighbour, and each node's
+nearest pair and all likely ones are verified. In the second, members of a list that are near but
+not connected yet tell all their pairs, and these are verified. It leaves out
+only pairs that can't reach the similarity: pairs that share a rare shingle
+are told by that shingle's nodes, and others can have at most their frequent
+shingles in common. So what the first pass looks at
+(neighbours in a long list, lists dealt out) decides how much work there is and
+not what is found.
+"""
 
 from __future__ import annotations
 
@@ -7,24 +23,38 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import pack, released, unpack
 from .common import drop_table, map_rows, materialise, small_batches
 from .components import components
 from .simhash import keep_least
 
-#: Bytes of a fingerprint, and distances of the two byte positions that make a posting (one for each position and distance).
-BYTES, APART = 64, (1, 5)
-#: Bits that may differ among the first 128 of two fingerprints; those of texts at 0.8 differ in about 20, unrelated ones in about 64.
-NEAR_BITS = 40
-#: Texts of a posting list up to which all its pairs are told; in longer ones each text tells its next pairs only.
-WHOLE_LIST, TOLD = 8, 2
-#: Neighbours in a posting list that a text is compared with at most.
-REACH = 4096
-#: Postings of a task.
-TASK_ROWS = 500_000
+BYTES = 64
+#: Byte positions of a posting, from each position on (modulo 64): two bytes up to ``WIDE`` nodes, three beyond.
+TWO = ((0, 1), (0, 5))
+THREE = tuple((0, a, b) for a, b in ((1, 3), (5, 11), (2, 9), (7, 20), (4, 17), (10, 25), (6, 29), (12, 31)))
+#: More of them for sets of at most ``SMALL`` shingles, whose bits differ more.
+MORE = {2: ((0, 2), (0, 3), (0, 7)), 3: tuple((0, a + 1, b + 2) for _, a, b in THREE)}
+SMALL = 16
+WIDE = 1 << 26
+#: Bits that may differ among the first 128, the first 256 and all 512 of two fingerprints, and how many more if a set has under ``TINY``
+#: shingles: the mean at a similarity of 0.8 (20, 39, 78; 24, 48, 95 for 4 of 5 shingles) and 4.5 deviations.
+FIRST_BITS, NEAR_BITS, ALL_BITS = 46, 68, 120
+TINY, TINY_NEAR, TINY_ALL = 10, 8, 16
+#: Bits of all 512 up to which the first pass verifies a pair even if it isn't a node's nearest.
+LIKELY_BITS = 84
+#: Neighbours of a member in its list that the first pass looks at.
+REACH = 512
+#: Members of a list beyond which it is dealt out.
+HOT_LIST = 20_000
+#: Nodes that have a shingle up to which it is rare.
+RARE = 6
+#: Postings of a part.
+PART_ROWS = 500_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
+_POWERS = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(64)], np.uint64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -40,11 +70,12 @@ def shingles(text: str | None, size: int = 5) -> np.ndarray:
     if not parts:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(xxhash.xxh64_intdigest, parts), np.uint64, len(parts))
-    n = max(1, len(parts) - size + 1)
-    out = np.full(n, min(size, len(parts)), np.uint64)
-    for k in range(min(size, len(parts))):
-        out = _mixed(out * _MUL + h[k : k + n])
-    return np.unique(out)
+    n, k = max(1, len(parts) - size + 1), min(size, len(parts))
+    out = np.full(n, k, np.uint64)
+    for i in range(k):
+        out += h[i : i + n] * _POWERS[i]
+    out = np.sort(_mixed(out))
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def long_fingerprint(own: np.ndarray) -> np.ndarray:
@@ -57,119 +88,319 @@ def long_fingerprint(own: np.ndarray) -> np.ndarray:
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return common / max(1, len(a) + len(b) - common)
+    both = np.sort(np.concatenate([a, b]))
+    common = int((both[1:] == both[:-1]).sum())
+    return common / max(1, len(both) - common)
 
 
 def _prints(docs: DataFrame, size: int) -> DataFrame:
-    """Per row ``doc_id, text_hash, key, print``; the key stands for the set of shingles."""
+    """Per row ``doc_id, text_hash, key, size, print``; the key stands for the set of shingles, of which there are ``size``."""
 
     def work(ids, texts, hashes):
         sets = [shingles(t, size) for t in texts]
         keys = [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
-        return ids, hashes, keys, [long_fingerprint(s).tobytes() if len(s) else None for s in sets]
+        return ids, hashes, keys, [len(s) for s in sets], [long_fingerprint(s).tobytes() if len(s) else None for s in sets]
 
-    return map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), ["doc_id", "text", "text_hash"], lambda: work, "doc_id long, text_hash long, key long, print binary")
+    return map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), ["doc_id", "text", "text_hash"], lambda: work, "doc_id long, text_hash long, key long, size long, print binary")
 
 
-def _postings(nodes: DataFrame) -> DataFrame:
-    """``slot`` (which two positions, and their bytes), the key, and the first 128 bits."""
+def _slots(prints: list[bytes], combos: tuple, number: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The posting lists of each fingerprint (nodes x combinations and positions), and its first 256 bits (n x 4)."""
+    fps = np.frombuffer(b"".join(prints), np.uint8).reshape(-1, BYTES)
+    out, width = [], 8 * len(combos[0])
+    for d, positions in enumerate(combos, number):
+        value = np.zeros(fps.shape, np.int64)
+        for p in positions:
+            value = value << 8 | np.roll(fps, -p, axis=1)
+        out.append((np.arange(d * BYTES, (d + 1) * BYTES) << width) + value)
+    return np.concatenate(out, axis=1), np.ascontiguousarray(fps[:, :32]).view(np.int64)
+
+
+def _hot_lists(nodes: DataFrame, combos: tuple, hot: int, of_roots: np.ndarray | None = None) -> dict[int, tuple[int, int]]:
+    """Lists that are dealt out: ``{list: (pieces, root)}``; with ``of_roots`` only the members of these roots count, the root being the most frequent.
+
+    A list with a five-hundredth of all nodes has it in some batch too, so batches tell what they have
+    that often, and there are at most ``500 x combinations`` such lists.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                keys = part.column(0).to_numpy()
-                fps = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(-1, BYTES)
-                bits = np.ascontiguousarray(fps[:, :16]).view(np.int64)
-                for d, apart in enumerate(APART):
-                    other = np.roll(fps, -apart, axis=1)
-                    slots = (np.arange(d * BYTES, (d + 1) * BYTES, dtype=np.int32) << 16) + fps.astype(np.int32) * 256 + other
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (slots.ravel(), np.repeat(keys, BYTES), np.repeat(bits[:, 0], BYTES), np.repeat(bits[:, 1], BYTES))], names=["slot", "key", "x", "y"])
-
-    return nodes.select("key", "print").mapInArrow(run, "slot int, key long, x long, y long")
-
-
-def near_pairs(slot: np.ndarray, key: np.ndarray, x: np.ndarray, y: np.ndarray, near_bits: int = NEAR_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Keys ``a < b`` with a slot in common whose bits differ in few places."""
-    order = np.lexsort((key, slot))
-    slot, key, x, y = slot[order], key[order], x[order].view(np.uint64), y[order].view(np.uint64)
-    first, size = np.unique(slot, return_index=True, return_counts=True)[1:]
-    left = np.repeat(np.where(size <= WHOLE_LIST, WHOLE_LIST, TOLD), size)  # pairs that each may still tell
-    end = np.repeat(first + size, size)
-    at, found = np.arange(len(slot)), []
-    for k in range(1, REACH + 1):
-        at = at[(at + k < end[at]) & (left[at] > 0)]
+            if not batch.num_rows:
+                continue
+            slots, _ = _slots(batch.column(0).to_pylist(), combos)
+            root = batch.column(1).to_numpy() if of_roots is not None else np.zeros(len(slots), np.int64)
+            for r in of_roots.tolist() if of_roots is not None else (0,):
+                value, n = np.unique(slots[root == r], return_counts=True)
+                often = n >= max(16, len(slots) // 500)
+                yield pa.RecordBatch.from_arrays([pa.array(value[often]), pa.array(np.full(often.sum(), r, np.int64)), pa.array(n[often].astype(np.int64))], names=["slot", "root", "n"])
+
+    if of_roots is not None and not len(of_roots):
+        return {}
+    rows = nodes.select("print", *(["root"] if of_roots is not None else [])).mapInArrow(run, "slot long, root long, n long")
+    rows = rows.groupBy("slot", "root").agg(F.sum("n").alias("n")).groupBy("slot").agg(F.max(F.struct("n", "root")).alias("m")).where(F.col("m.n") > hot)
+    return {r.slot: (-(-r.m.n // hot), r.m.root) for r in rows.collect()}
+
+
+def _postings(nodes: DataFrame, combos: tuple, parts: int, hot: dict[int, tuple[int, int]], rooted: bool) -> DataFrame:
+    """``part, blob``: postings by parts: list, key, two times 64 bits; if ``rooted`` two more, the root, the number of shingles, and of frequent ones.
+
+    Without roots the members of a hot list are dealt to its pieces; with them only those of its root, and the others go to each piece.
+    """
+    more = ["root", "size", "common"] if rooted else []
+    names = ["key", "print", "size", *more[::2]]
+    slots_hot = np.array(sorted(hot), np.int64)
+    pieces, roots = (np.array([hot[s][k] for s in slots_hot.tolist()], np.int64) for k in (0, 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 8192):
+                batch = whole.slice(at, 8192)
+                prints, small = batch.column(1).to_pylist(), np.flatnonzero(batch.column(2).to_numpy() <= SMALL)
+                slots, bits = _slots(prints, combos)
+                extra = _slots([prints[i] for i in small], MORE[len(combos[0])], len(combos))[0]
+                each = np.concatenate([np.repeat(np.arange(len(slots)), slots.shape[1]), np.repeat(small, extra.shape[1])])
+                cols = [np.concatenate([slots.ravel(), extra.ravel()]), *(x[each] for x in (batch.column(0).to_numpy(), *bits[:, : 4 if rooted else 2].T, *(batch.column(names.index(c)).to_numpy() for c in more)))]
+                piece = np.zeros(len(each), np.int64)
+                if len(slots_hot):
+                    place = np.minimum(np.searchsorted(slots_hot, cols[0]), len(slots_hot) - 1)
+                    of_hot = np.flatnonzero(slots_hot[place] == cols[0])
+                    piece[of_hot] = (cols[1][of_hot].view(np.uint64) % pieces[place[of_hot]].astype(np.uint64)).astype(np.int64)
+                    if rooted:
+                        others = of_hot[cols[6][of_hot] != roots[place[of_hot]]]
+                        again = np.repeat(others, pieces[place[others]] - 1)
+                        first = np.cumsum(pieces[place[others]] - 1) - (pieces[place[others]] - 1)
+                        piece[others] = 0
+                        piece = np.concatenate([piece, np.arange(len(again)) - np.repeat(first, pieces[place[others]] - 1) + 1])
+                        cols = [np.concatenate([c, c[again]]) for c in cols]
+                lists = cols[0] * (1 << 20) + piece  # pieces are lists of their own
+                part = (_mixed(lists.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+                cols[0] = lists
+                order = np.argsort(part, kind="stable")
+                own = np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
+                yield pa.RecordBatch.from_arrays([pa.array([int(part[o[0]]) for o in own], pa.int64()), pa.array([pack(*(c[o] for c in cols)) for o in own], pa.binary())], names=["part", "blob"])
+
+    return nodes.select(*names).mapInArrow(run, "part long, blob binary")
+
+
+def _lists(t: pa.Table) -> list[np.ndarray]:
+    """The postings of a part, by list and then by their bits, with each one's list end: ``end, slot, key, bits[, root, size, common]``."""
+    lists, *rest = (np.concatenate([np.frombuffer(b, np.int64) for b in col]) for col in zip(*(unpack(x.as_py()) for x in t.column("blob")), strict=True))
+    order = np.lexsort((rest[1].view(np.uint64), lists))
+    lists = lists[order]
+    first, size = np.unique(lists, return_index=True, return_counts=True)[1:]
+    words = 4 if len(rest) > 3 else 2
+    return [np.repeat(first + size, size), lists >> 20, rest[0][order], [c[order] for c in rest[1 : 1 + words]], *(c[order] for c in rest[1 + words :])]
+
+
+def _differ(bits: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return sum(np.bitwise_count((x[i] ^ x[j]).view(np.uint64)).astype(np.int16) for x in bits)  # of signed numbers it counts the bits of the absolute value
+
+
+def nearest_pairs(end: np.ndarray, slot: np.ndarray, key: np.ndarray, bits: list[np.ndarray], near_bits: int = FIRST_BITS, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
+    """Keys ``a <= b``: of each key and its nearest neighbour in any list, and of each with itself if it stands in a list longer than ``reach``."""
+    n = len(key)
+    best, who = np.full(n, near_bits + 1, np.int16), np.full(n, -1)
+    at = np.arange(n)
+    for k in range(1, reach + 1):
+        at = at[at + k < end[at]]
         if not len(at):
             break
-        hit = at[np.bitwise_count(x[at] ^ x[at + k]) + np.bitwise_count(y[at] ^ y[at + k]) <= near_bits]
-        left[hit] -= 1
-        found.append((key[hit], key[hit + k]))
-    a, b = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
-    pairs = np.unique(np.stack([a, b], axis=1), axis=0)
+        d = _differ(bits, at, at + k)
+        near = np.flatnonzero(d <= near_bits)
+        i, d = at[near], d[near]
+        for own, other in ((i, i + k), (i + k, i)):
+            better = d < best[own]
+            best[own[better]], who[own[better]] = d[better], other[better]
+    told = np.flatnonzero(who >= 0)
+    told = told[np.lexsort((key[who[told]], best[told], key[told]))]
+    told = told[np.unique(key[told], return_index=True)[1]]
+    a, b = key[told], key[who[told]]
+    alone = key[np.isin(end, end[at])] if len(at) else key[:0]  # at: postings with more than ``reach`` others after them
+    pairs = np.unique(np.concatenate([np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), np.stack([alone, alone], axis=1)]), axis=0)
     return pairs[:, 0], pairs[:, 1]
 
 
-def _candidates(nodes: DataFrame, count: int) -> DataFrame:
-    """Distinct ``a, b`` (a < b) of keys that the postings propose."""
+def _first_shared(bits: list[np.ndarray], i: np.ndarray, j: np.ndarray, combos: tuple) -> np.ndarray:
+    """Of the lists (combination and position) that can be told from the given bits, the first that two fingerprints share; -1 if none."""
+    same = (np.stack([x[i] ^ x[j] for x in bits], axis=1).view(np.uint8) == 0) if len(i) else np.zeros((0, 8 * len(bits)), bool)
+    shared, number = [], []
+    for d, positions in enumerate(combos):
+        n = same.shape[1] - max(positions)
+        if n > 0:
+            shared.append(np.logical_and.reduce([same[:, p : p + n] for p in positions]))
+            number.append(np.arange(d * BYTES, d * BYTES + n))
+    shared, number = np.concatenate(shared, axis=1), np.concatenate(number)
+    return np.where(shared.any(axis=1), number[shared.argmax(axis=1)], -1)
+
+
+def apart_pairs(end: np.ndarray, slot: np.ndarray, key: np.ndarray, bits: list[np.ndarray], root: np.ndarray, size: np.ndarray, common: np.ndarray, least: float = 0.8, near_bits: int = NEAR_BITS, combos: tuple = TWO) -> tuple[np.ndarray, np.ndarray]:
+    """All keys ``a < b`` in one list that are near, have different roots and can be similar to ``least``: ``size`` shingles, of which ``common`` may be common to both.
+
+    A pair is left to the first list that both ends are known to stand in.
+    """
+    found, n, index = [], len(key), slot >> 8 * len(combos[0])
+
+    def chosen(i: np.ndarray, j: np.ndarray) -> None:
+        both = np.minimum(common[i], common[j])
+        ok = (root[i] != root[j]) & (both >= least * (size[i] + size[j] - both) - 1e-9)
+        i, j = i[ok], j[ok]
+        ok = _differ(bits, i, j) <= near_bits + TINY_NEAR * (np.minimum(size[i], size[j]) < TINY)
+        i, j = i[ok], j[ok]
+        first = _first_shared(bits, i, j, combos)
+        ok = (first < 0) | (first == index[i])
+        found.append((key[i[ok]], key[j[ok]]))
+
+    can = common >= least * size - 1e-9
+    begin = np.concatenate([[0], np.flatnonzero(np.diff(end)) + 1]) if n else np.zeros(0, np.int64)
+    long = np.zeros(n, bool)
+    for s in begin[end[begin] - begin > 256].tolist() if n else ():  # by root, each with what comes after its root
+        long[s : end[s]] = True
+        own = s + np.flatnonzero(can[s : end[s]])
+        own = own[np.argsort(root[own], kind="stable")]
+        stop = np.searchsorted(root[own], root[own], "right")
+        for k, low in enumerate(stop.tolist()):
+            if low < len(own):
+                chosen(np.full(len(own) - low, own[k]), own[low:])
+    at = np.flatnonzero(~long & can)
+    for k in range(1, 257):
+        at = at[at + k < end[at]]
+        if not len(at):
+            break
+        i = at[can[at + k]]
+        chosen(i, i + k)
+    a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _rare(sets: DataFrame, rare: int) -> DataFrame:
+    """From ``key, own, root``: ``a, b`` for nodes of different roots that share a shingle of ``rare`` nodes or fewer (n is 0), and ``a, a, n`` for the number of such shingles that a node has in a part."""
+    total = sets.agg(F.sum(F.octet_length("own"))).first()[0] or 0
+    parts = max(4 * sets.sparkSession.sparkContext.defaultParallelism, total // (8 * PART_ROWS))
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+            key, root = (np.repeat(batch.column(k).to_numpy(), [len(x) for x in own]) for k in (0, 2))
+            own = np.concatenate(own)
+            part = (own % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            lots = [o for o in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(o)]
+            yield pa.RecordBatch.from_arrays([pa.array([int(part[o[0]]) for o in lots], pa.int64()), pa.array([pack(own[o], key[o], root[o]) for o in lots], pa.binary())], names=["part", "blob"])
+
+    @released
+    def meet(t: pa.Table) -> pa.Table:
+        own, key, root = (np.concatenate([np.frombuffer(b, np.int64) for b in c]) for c in zip(*(unpack(x.as_py()) for x in t.column("blob")), strict=True))
+        order = np.argsort(own, kind="stable")
+        first, times = np.unique(own[order], return_index=True, return_counts=True)[1:]
+        few = np.repeat(times <= rare, times)
+        end, key, root = np.repeat(first + times, times)[few], key[order][few], root[order][few]
+        keys, n = np.unique(key, return_counts=True)
+        place, found = np.arange(len(key)), [np.zeros((0, 2), np.int64)]
+        for k in range(1, rare):
+            place = place[: len(place) - 1] if k == 1 else place[place + k < len(end)]
+            place = place[end[place] == end[np.minimum(place + k, len(end) - 1)]]
+            i = place[root[place] != root[place + k]]
+            found.append(np.stack([np.minimum(key[i], key[i + k]), np.maximum(key[i], key[i + k])], axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        none = np.zeros(len(pairs), np.int64)
+        return pa.table({"a": pa.array(np.concatenate([pairs[:, 0], keys])), "b": pa.array(np.concatenate([pairs[:, 1], keys])), "n": pa.array(np.concatenate([none, n]).astype(np.int64))})
+
+    return sets.select("key", "own", "root").mapInArrow(tell, "part long, blob binary").groupBy("part").applyInArrow(meet, "a long, b long, n long")
+
+
+def _told(nodes: DataFrame, count: int, combos: tuple, find, hot: dict, rooted: bool) -> DataFrame:
+    """Distinct pairs ``a, b`` that ``find`` tells of the lists of each part."""
+    parts = max(4 * nodes.sparkSession.sparkContext.defaultParallelism, -(-count * BYTES * len(combos) // PART_ROWS))
+
+    @released
+    def meet(t: pa.Table) -> pa.Table:
+        a, b = find(*_lists(t))
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    return _postings(nodes, combos, parts, hot, rooted).groupBy("part").applyInArrow(meet, "a long, b long").distinct()
+
+
+def _measured(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``a, b, bits`` of the pairs whose whole fingerprints differ in few bits."""
+    rows = pairs.join(nodes.select(F.col("key").alias("a"), F.col("print").alias("pa"), F.col("size").alias("na")), "a").join(nodes.select(F.col("key").alias("b"), F.col("print").alias("pb"), F.col("size").alias("nb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = list(zip(*([c.to_numpy() for c in b.columns] for b in batches if b.num_rows), strict=True))
-        if cols:
-            a, b = near_pairs(*map(np.concatenate, cols))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        for batch in batches:
+            if batch.num_rows:
+                p, q = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, BYTES // 8) for k in (2, 3))
+                bits = np.bitwise_count(p ^ q).sum(axis=1, dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits)], names=["a", "b", "bits"]).filter(pa.array(bits <= ALL_BITS + TINY_ALL * (batch.column(4).to_numpy() < TINY)))
 
-    tasks = max(nodes.sparkSession.sparkContext.defaultParallelism, -(-count * BYTES * len(APART) // TASK_ROWS))
-    return _postings(nodes).repartition(tasks, "slot").mapInArrow(run, "a long, b long").distinct()
+    return rows.select("a", "b", "pa", "pb", F.least("na", "nb")).mapInArrow(run, "a long, b long, bits long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, least: float, size: int) -> DataFrame:
-    """``a, b, same``: whether the Jaccard similarity of the pair's shingles reaches ``least``."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(nodes.select("key", "text_hash"), "key")
-    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(need, "text_hash").groupBy("key").agg(F.min("text").alias("text"))
-    texts = materialise(texts, "texts")
-    rows = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("a_text")), "a").join(texts.select(F.col("key").alias("b"), F.col("text").alias("b_text")), "b")
-    judge = lambda a, b, s, t: (a, b, [jaccard(shingles(p, size), shingles(q, size)) >= least for p, q in zip(s, t, strict=True)])
-    out = materialise(map_rows(rows, ["a", "b", "a_text", "b_text"], lambda: judge, "a long, b long, same boolean"), "verified")
-    drop_table(texts)
-    return out
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """``a, b, same``: whether the Jaccard similarity of the pair's shingles reaches ``least``. Written."""
+    rows = pairs.select("a", "b").join(sets.select(F.col("key").alias("a"), F.col("own").alias("p")), "a").join(sets.select(F.col("key").alias("b"), F.col("own").alias("q")), "b")
+    as_set = lambda x: np.frombuffer(x, np.uint64)
+    judge = lambda a, b, p, q: (a, b, [jaccard(as_set(s), as_set(t)) >= least for s, t in zip(p, q, strict=True)])
+    return materialise(map_rows(rows, ["a", "b", "p", "q"], lambda: judge, "a long, b long, same boolean"), "verified")
 
 
-def links(docs: DataFrame, nodes: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
-    """Edges ``a, b`` of verified pairs; a pair whose ends are already connected by others isn't verified.
+def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs with the roots ``ra, rb`` of their ends, without those that have one root."""
+    for end in ("a", "b"):
+        pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_")), end, "left").withColumn(f"r{end}", F.coalesce(f"{end}_", end)).drop(f"{end}_")
+    return pairs.where("ra <> rb")
 
-    A large group would have pairs in great number, so at first only a few of
-    each text are verified, and more in each wave of those that are still apart.
-    """
+
+def links(docs: DataFrame, nodes: DataFrame, least: float = 0.8, size: int = 5, wide: int = WIDE, hot: int = HOT_LIST, rare: int = RARE) -> DataFrame:
+    """Edges ``a, b`` between nodes (``key, print, text_hash, size``) that connect all near pairs whose shingles are similar to ``least``."""
     count = nodes.count()
-    rest, edges, roots, wave = materialise(_candidates(nodes, count), "pairs"), None, None, 1
-    while n := rest.count():
-        picked = rest
-        if n > count // 4 + 10_000:
-            ends = rest if roots is not None else rest.select("a", "b", F.col("a").alias("ra"), F.col("b").alias("rb"))
-            by = Window.partitionBy(F.greatest("ra", "rb")).orderBy(F.least("ra", "rb"), F.xxhash64("a", "b"))
-            picked = ends.withColumn("n", F.row_number().over(by)).where(F.col("n") <= 4**wave)
-        checked = _verified(picked.select("a", "b"), docs, nodes, least, size)
-        good = checked.where("same").select("a", "b")
-        edges = good if edges is None else edges.unionByName(good)
-        if picked is rest:
-            return edges
+    combos = TWO if count <= wide else THREE
+    told = materialise(_told(nodes, count, combos, nearest_pairs, _hot_lists(nodes, combos, hot), False), "told")
+    marked = materialise(nodes.join(told.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi").select("key", "print", "text_hash", "size"), "marked")
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(marked.select("text_hash", "key"), "text_hash").groupBy("key").agg(F.min("text").alias("text"))
+    sets = materialise(map_rows(texts, ["key", "text"], lambda: lambda keys, own: (keys, [shingles(t, size).tobytes() for t in own]), "key long, own binary"), "sets")
+
+    first = materialise(_measured(told.where("a <> b"), marked), "near")
+    ends = first.select("a", "b", "bits", F.explode(F.array("a", "b")).alias("key"))
+    picked = ends.groupBy("key").agg(F.min(F.struct("bits", "a", "b")).alias("m")).select("m.a", "m.b")
+    checked = [_verified(picked.unionByName(first.where(F.col("bits") <= LIKELY_BITS).select("a", "b")).distinct(), sets, least)]
+
+    roots = materialise(components(checked[0].where("same").select("a", "b")), "roots")
+    known = roots.withColumnRenamed("node", "key")
+    told_rare = materialise(_rare(sets.join(known, "key", "left").withColumn("root", F.coalesce("root", "key")), rare), "rare")
+    of_root = marked.join(known, "key", "left").join(told_rare.where("n > 0").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n")), "key", "left")
+    of_root = of_root.select("key", "print", F.coalesce("root", "key").alias("root"), "size", (F.col("size") - F.coalesce("n", F.lit(0))).alias("common"))
+    of_root = materialise(of_root, "rooted")
+    n_marked = of_root.count()
+    big = of_root.groupBy("root").count().where(F.col("count") > max(hot, n_marked // 1000)).select("root").collect()  # 1000 at most
+    again = _hot_lists(of_root, combos, hot, np.array(sorted(r.root for r in big), np.int64))
+    rest = _told(of_root, n_marked, combos, lambda *cols: apart_pairs(*cols, least, combos=combos), again, True)
+    rest = rest.unionByName(told_rare.where("n = 0").select("a", "b")).distinct().join(checked[0].select("a", "b"), ["a", "b"], "left_anti")
+    rest = materialise(_rooted(_measured(rest, marked), roots), "near")
+    picked = rest.groupBy("ra", "rb").agg(F.min(F.struct("bits", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
+    checked.append(_verified(picked, sets, least))
+    edges = checked[0].unionByName(checked[1]).where("same").select("a", "b")
+    if checked[1].where("same").limit(1).count():
         roots = components(edges)
-        apart = rest.select("a", "b").join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        for end in ("a", "b"):
-            apart = apart.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}_")), end, "left").withColumn(f"r{end}", F.coalesce(f"r{end}_", end)).drop(f"r{end}_")
-        before, rest = rest, materialise(apart.where("ra <> rb"), "pairs")
-        drop_table(before)
-        wave += 1
-    return edges if edges is not None else rest.select("a", "b")
+    left = _rooted(rest.select("a", "b").join(checked[1].select("a", "b"), ["a", "b"], "left_anti"), roots)
+    last = _verified(left, sets, least)
+    for x in (told, first, rest, sets, marked, of_root, told_rare):
+        drop_table(x)
+    return edges.unionByName(last.where("same").select("a", "b"))
 
 
-def classified(docs: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
-    """Per row ``doc_id, text_hash, component_id``: the least doc_id reachable over pairs of texts that are similar to ``least``."""
+def classified(docs: DataFrame, least: float = 0.8, size: int = 5, wide: int = WIDE, hot: int = HOT_LIST) -> DataFrame:
+    """Per row ``doc_id, text_hash, component_id``: the least doc_id reachable over pairs of texts that are similar to ``least``.
+
+    Texts without words (null, empty) are one group. Null doc_ids get the least
+    other id of their group, or null; repeated rows come back each; an empty
+    table gives none. Columns other than ``doc_id, text`` aren't read.
+    """
     small_batches(docs.sparkSession)
     prints = materialise(_prints(docs, size), "prints")
-    first = materialise(prints.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("text_hash").alias("text_hash"), F.first("print").alias("print")), "nodes")
-    edges = links(docs, first.where("print is not null"), least, size)
+    first = materialise(prints.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.min("text_hash").alias("text_hash"), F.first("print").alias("print"), F.first("size").alias("size")), "nodes")
+    edges = links(docs, first.where("print is not null"), least, size, wide, hot)
     roots = components(edges).withColumnsRenamed({"node": "key"})
     classes = first.join(roots, "key", "left").select("key", "first_id", F.coalesce("root", "key").alias("root"))
     of_root = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -178,5 +409,5 @@ def classified(docs: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
-    """``docs`` without all but the least doc_id of each group of near copies, columns unchanged; repeated ids as in simhash."""
+    """``docs`` without all but the least doc_id of each group of near copies, columns unchanged; null and repeated ids as in simhash."""
     return keep_least(docs, classified(docs, least, size))

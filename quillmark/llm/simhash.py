@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_table, map_rows, materialise
-from .components import components
+from .components import components, merge
 
 BYTES, BLOCKS = 8, 4
 #: Fingerprints of one posting list that are compared pair by pair; longer lists are probed by bit masks.
@@ -46,19 +46,6 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
     return map_rows(rows, ["doc_id", "text", "text_hash"], lambda: lambda ids, texts, hashes: (ids, hashes, [fingerprint(t, shingle, seed) for t in texts]), "doc_id long, text_hash long, fp long")
 
 
-def merge(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Joins the classes of a[i] and b[i] in ``roots``, where each place holds the least place of its class."""
-    while True:
-        ra, rb = roots[a], roots[b]
-        apart = ra != rb
-        if not apart.any():
-            return
-        a, b = a[apart], b[apart]
-        np.minimum.at(roots, np.maximum(ra, rb)[apart], np.minimum(ra, rb)[apart])
-        while not np.array_equal(up := roots[roots], roots):
-            roots[:] = up
-
-
 def local_classes(fps: np.ndarray, max_bits: int, free_bits: np.ndarray, direct: int = DIRECT) -> np.ndarray:
     """Roots of a sorted posting list of distinct fingerprints (uint64), linked at ``max_bits`` or fewer differing bits.
 

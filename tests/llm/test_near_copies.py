@@ -59,11 +59,58 @@ def test_large_group_takes_few_pairs(spark):
     base = [f"w{k}" for k in range(80)]
     rows = [(k, " ".join([*base[:at], f"own{k}", *base[at + 1 :]])) for k in range(600) for at in [r.randrange(80)]]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    same = np.zeros(3000, np.int64)
-    assert len(near_copies.near_pairs(same, np.arange(3000), same, same)[0]) < 2 * 3000
+    same, keys = np.zeros(3000, np.int64), np.arange(3000)
+    assert len(near_copies.nearest_pairs(same + 3000, same, keys, [same, same])[0]) <= 2 * 3000
     assert {x.component_id for x in near_copies.classified(df).collect()} == {0}
 
 
+def postings(r, n):
+    """Postings of a few lists whose members differ in few bits, with roots and sizes."""
+    end, bits = np.repeat([n // 8, n // 4, n], [n // 8, n // 8, n - n // 4]), [np.array([sum(1 << b for b in r.sample(range(64), r.randrange(4))) for _ in range(n)], np.uint64).view(np.int64) for _ in range(4)]
+    size = np.array([r.randrange(90, 110) for _ in range(n)])
+    return end, np.repeat([9 << 16, 7 << 16, 5 << 16], [n // 8, n // 8, n - n // 4]), np.array(r.sample(range(10 * n), n)), bits, np.array([r.choice([1, 1, 1, r.randrange(2, 9)]) for _ in range(n)]), size, size - np.array([r.randrange(0, 22) for _ in range(n)])
+
+
+def test_apart_pairs_leave_out_only_what_cannot_be_similar(monkeypatch):
+    monkeypatch.setattr(near_copies, "_first_shared", lambda bits, i, j, combos: np.full(len(i), -1))
+    end, slot, key, bits, root, size, common = postings(random.Random(4), 1600)
+    want = set()
+    for i in range(len(key)):
+        for j in range(i):
+            both = min(common[i], common[j])
+            if end[i] == end[j] and root[i] != root[j] and both >= 0.8 * (size[i] + size[j] - both) and sum((int(x[i] ^ x[j]) % 2**64).bit_count() for x in bits) <= 12:
+                want.add((min(key[i], key[j]), max(key[i], key[j])))
+    got = set(zip(*near_copies.apart_pairs(end, slot, key, bits, root, size, common, near_bits=12), strict=True))
+    assert got == want and len(want) > 50
+
+
+def test_a_pair_is_told_by_one_of_its_lists():
+    r = np.random.RandomState(3)
+    one = r.randint(0, 256, 64, np.uint8)
+    other = one.copy()
+    other[np.arange(3, 64, 4)] ^= 1
+    for combos in (near_copies.TWO, near_copies.THREE):
+        slots, bits = near_copies._slots([one.tobytes(), other.tobytes()], combos)
+        shared = np.flatnonzero(slots[0] == slots[1])
+        first = near_copies._first_shared(list(bits.T), np.array([0]), np.array([1]), combos)[0]
+        assert len(shared) and (first in shared or first == -1) and (slots[0][shared] >> 8 * len(combos[0]) == shared).all()
+
+
+def test_lists_dealt_out_and_three_byte_postings_change_nothing(spark):
+    rows = corpus()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = plain_least(rows)
+    for options in ({"hot": 3}, {"wide": 10}):
+        assert {(r.doc_id, r.component_id) for r in near_copies.classified(df, **options).collect()} == want
+
+
+def test_empty_table_and_clashing_columns(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, KEY string, a int, root int")
+    assert near_copies.one_of_each(empty).collect() == []
+    df = spark.createDataFrame([(1, "a b c d e f", "k", 1, 2), (2, "a b c d e f", "k", 1, 2), (None, "a b c d e f", "k", 1, 2)], empty.schema)
+    assert sorted(str(r.doc_id) for r in near_copies.one_of_each(df).collect()) == ["1", "None"]
+
+
 def test_the_stage_takes_planted_near_copies(spark, tmp_path):
     r = random.Random(7)
     bases = [[f"w{r.randrange(900)}" for _ in range(150)] for _ in range(20)]

@@ -5,7 +5,7 @@ import pytest
 import corpus_pipeline
 from quillmark.llm import crf, piece_model, sentencepiece_ac
 
-from . import test_crf, test_simhash, test_spaced_seeds, test_suffix_dedup, test_tokens
+from . import test_crf, test_near_copies, test_spaced_seeds, test_suffix_dedup, test_tokens
 
 
 def corpus():
@@ -27,8 +27,7 @@ def corpus():
 
 def plain(rows, model, items):
     rows = [r for r in rows if model.scores([r[1]])[0] >= 0.7]
-    prints = [(r[0], test_simhash.plain_fingerprint(r[1])) for r in rows]
-    keep = {doc for doc, _, least in test_simhash.plain_components(prints, 2) if doc == least}
+    keep = {doc for doc, least in test_near_copies.plain_least([(r[0], r[1]) for r in rows]) if doc == least}
     rows = [r for r in rows if r[0] in keep]
     gone = test_suffix_dedup.plain_flags([(r[0], r[1]) for r in rows], 50)
     rows = [(i, bytes(b for b, g in zip(t.encode(), f, strict=True) if not g).decode("utf-8", "ignore"), any(f)) for (i, t, *_), f in zip(rows, gone, strict=True)]
@@ -64,3 +63,18 @@ def test_stages_keep_the_columns(spark, folder):
         docs = stage(spark, docs, folder)
         assert docs.dtypes == spark.read.parquet(f"{folder}/documents.parquet").dtypes
     assert all(r.n_chars == len(r.text) for r in docs.collect())
+
+
+def test_empty_tables_and_clashing_columns(spark, folder, tmp_path):
+    """No documents give no rows, with labels and without; columns that stages use inside stay the documents' own."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    more = docs.selectExpr("*", "1 as _batch", "doc_id as key", "'x' as _ID", "2 as score")
+    kept = more
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, folder)
+        assert kept.columns == more.columns
+    assert {r.doc_id: r.key for r in kept.collect()} == {r.doc_id: r.doc_id for r in kept.collect()} and kept.count() > 40
