@@ -1,14 +1,19 @@
 """A hashed maximum-entropy language model: class-factored softmax over n-gram and skip features.
 
-P(word | history) = P(class | history) P(word | class). The class of a word is
-its own if it is among the most frequent, else one of its ending. The first
-factor is a softmax over the sum of weight rows that features of the history
-hash to: the last word, the last two together, and the second last alone. The second factor is the word's share of its class, smoothed by one,
+A word is reached by choices among 16 branches, one after another: the most
+frequent words stand at the leaves of a Huffman tree, of which one more leaf is
+for all other words. Below that leaf come three choices that lead to one of
+4096 classes, by the word's ending and its hash. Each choice is a softmax over
+the sum of weight rows that features of the history hash to together with the
+place in the tree: the last word, the last two together, and the second last
+alone. So P(word | history) is the product of the choices, and for a word that
+isn't among the most frequent times its share of its class, smoothed by one,
 with a place for words that training didn't have.
 """
 
 from __future__ import annotations
 
+import heapq
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -24,10 +29,15 @@ from pyspark.sql import functions as F
 from .batches import BATCH_BYTES, PART_BYTES, as_table, pack, parts_for, released, total_bytes, unpack
 from .common import crc_mod_py, materialise, small_batches
 
-#: Own classes of frequent words, classes of endings, rows of hashed weights.
-TOP, ENDINGS, ROWS = 16, 16, 1 << 14
+#: Frequent words that have a leaf of their own; choices below the leaf of the others.
+TOP, DEEP = 4096, 3
+WAYS = 16
+#: Weight rows: one for so many bytes of text, in powers of two between these.
+ROW_BYTES, LEAST_ROWS, MOST_ROWS = 256, 1 << 14, 1 << 19
+#: Lots of batches that are learnt one after another, each from the mean of what the lot before learnt.
+ROUNDS = 3
 #: Tokens of a gradient step, and of a lot that is scored together.
-STEP = 4096
+STEP = 1024
 RATE = 0.2
 SLICES = 16
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -39,10 +49,14 @@ class Params(NamedTuple):
     mod: int
     rest: int
     top: int
-    endings: int
     rows: int
 
 
+def rows_for(total: int) -> int:
+    """Weight rows for so many bytes of text."""
+    return max(LEAST_ROWS, min(MOST_ROWS, 1 << (total // ROW_BYTES).bit_length()))
+
+
 def tokens(text: str | None) -> list[bytes]:
     """Words with A-Z lower-cased, then the end token, which is the empty string."""
     out = text.encode().lower().split() if text else []
@@ -50,8 +64,9 @@ def tokens(text: str | None) -> list[bytes]:
     return out
 
 
-def ending(word: bytes, endings: int) -> int:
-    return zlib.crc32(word[-2:]) % endings
+def rare_class(word: bytes) -> int:
+    """The class of a word without a leaf: by its last two bytes, then by all of them."""
+    return zlib.crc32(word[-2:]) % WAYS << 4 * (DEEP - 1) | zlib.crc32(word) >> 7 & (1 << 4 * (DEEP - 1)) - 1
 
 
 class Batch:
@@ -102,108 +117,136 @@ class Batch:
         return out
 
 
-class Classes(NamedTuple):
-    """Frequent words by rank; tokens and distinct words of each class of an ending, without these."""
+class Tree(NamedTuple):
+    """Leaves are numbered: frequent words by rank, then the classes of the others. The path of leaf i is the places
+    ``first[i]`` to ``first[i + 1]`` of ``node`` and ``branch``; ``bias`` has the logits of a node's branches that counts give."""
 
     top: dict[bytes, int]
+    first: np.ndarray
+    node: np.ndarray
+    branch: np.ndarray
+    bias: np.ndarray
     tokens: np.ndarray
     words: np.ndarray
     n: int
     v: int
-    endings: int
 
-    @property
-    def size(self) -> int:
-        return len(self.top) + self.endings
+    @classmethod
+    def of_counts(cls, best: list[tuple[bytes, int]], tokens: np.ndarray, words: np.ndarray, n: int, v: int) -> Tree:
+        """``best``: frequent words with their counts; ``tokens, words`` of each class without these; ``n, v`` with them."""
+        rest = len(best)
+        heap = [(c, k) for k, (_, c) in enumerate(best)] + [(int(tokens.sum()) + 1, rest)]
+        heap += [(0, -1)] * (-(len(heap) - 1) % (WAYS - 1))  # branches that lead nowhere
+        heapq.heapify(heap)
+        weight, kids, name = {}, {}, rest + 1
+        while len(heap) > 1:
+            own = [heapq.heappop(heap) for _ in range(WAYS)]
+            weight[name], kids[name] = [c for c, _ in own], [k for _, k in own]
+            heapq.heappush(heap, (sum(weight[name]), name))
+            name += 1
+        paths, logits, open_nodes = {}, [], [(heap[0][1], ())]
+        while open_nodes:
+            at, path = open_nodes.pop()
+            if at in kids:
+                logits.append([np.log(c + 1.0) if k >= 0 else -1e4 for c, k in zip(weight[at], kids[at], strict=True)])
+                open_nodes += [(k, (*path, (len(logits) - 1, b))) for b, k in enumerate(kids[at]) if k >= 0]
+            elif at <= rest:
+                paths[at] = path
+        below, start = [[]], len(logits)
+        for deep in range(DEEP):
+            size = WAYS**deep
+            mass = tokens.reshape(size, WAYS, -1).sum(axis=2)
+            logits += np.log(mass + 1.0).tolist()
+            below = [[*p, (start + k, b)] for k, p in enumerate(below) for b in range(WAYS)]
+            start += size
+        all_paths = [paths[k] for k in range(rest)] + [(*paths[rest], *p) for p in below]
+        bias = np.array(logits, np.float32)
+        bias -= np.log(np.exp(bias).sum(axis=1, keepdims=True))
+        flat = np.array([x for p in all_paths for x in p], np.int64).reshape(-1, 2)
+        first = np.concatenate([[0], np.cumsum([len(p) for p in all_paths])])
+        return cls({w: k for k, (w, _) in enumerate(best)}, first, flat[:, 0], flat[:, 1], bias, tokens, words, n, v)
 
     def of(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Class and log10 of the share of its class, of each word."""
-        e = np.fromiter((ending(w, self.endings) for w in words), np.int64, len(words))
-        cls, share = e + len(self.top), np.log10((counts + 1) / (self.tokens[e] + self.words[e] + 1))
-        for k, w in enumerate(words):
-            if (rank := self.top.get(w)) is not None:
-                cls[k], share[k] = rank, 0.0
-        return cls, share
-
-    def bias(self) -> np.ndarray:
-        """Logits that give classes their shares of the training tokens."""
-        n = np.zeros(self.size)
-        n[len(self.top) :] = self.tokens
-        return n
-
-    def start(self, top_counts: list[int]) -> np.ndarray:
-        n = self.bias()
-        n[: len(top_counts)] = top_counts
-        return np.log((n + 1) / (n.sum() + len(n))).astype(np.float32)
-
-
-def features(batch: Batch, rows: int) -> np.ndarray:
-    """Weight rows of each token's history (tokens x 3). Before the first word the history is a mark of its own."""
+        """Leaf of each word, and log10 of its share of it."""
+        e = np.fromiter(map(rare_class, words), np.int64, len(words))
+        leaf, share = e + len(self.top), np.log10((counts + 1) / (self.tokens[e] + self.words[e] + 1))
+        get = self.top.get
+        for k, rank in enumerate(map(get, words)):
+            if rank is not None:
+                leaf[k], share[k] = rank, 0.0
+        return leaf, share
+
+    def choices(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each choice on the way to each of these leaves: which of them it is for, the node and the branch."""
+        n = self.first[leaf + 1] - self.first[leaf]
+        which = np.repeat(np.arange(len(leaf)), n)
+        place = np.arange(len(which)) + np.repeat(self.first[leaf] - (np.cumsum(n) - n), n)
+        return which, self.node[place], self.branch[place]
+
+
+def features(batch: Batch) -> np.ndarray:
+    """Hashes of each token's history (tokens x 3). Before the first word the history is a mark of its own."""
     n = len(batch.tokens)
     h = (batch.hash + np.uint64(1))[batch.tokens]
     first = np.cumsum(batch.size) - batch.size
     at = np.arange(n) - np.repeat(first, batch.size)
     last = [np.where(at >= k, np.concatenate([np.zeros(min(k, n), np.uint64), h[: n - k] if n > k else h[:0]]), np.uint64(0)) for k in (1, 2)]
-    keys = (last[0], last[0] * _PAIR + last[1], last[1])
-    out = np.empty((n, len(keys)), np.int32)
-    for k, x in enumerate(keys):
-        x = (x + np.uint64(k)) * _MIX[k]
-        x = (x ^ (x >> np.uint64(29))) * _MIX[1]
-        out[:, k] = x >> np.uint64(64 - rows.bit_length() + 1)
-    return out
+    out = np.stack((last[0], last[0] * _PAIR + last[1], last[1]), axis=1)
+    out = (out + np.arange(3, dtype=np.uint64)) * _MIX
+    return out ^ (out >> np.uint64(31))
 
 
-def _row_max(z: np.ndarray) -> np.ndarray:
-    """The largest of each row, by halves: faster than a reduction along short rows."""
-    while z.shape[1] > 1:
-        half = (z.shape[1] + 1) // 2
-        z = np.maximum(z[:, :half], z[:, -half:])
-    return z
+def weight_rows(f: np.ndarray, node: np.ndarray, rows: int) -> np.ndarray:
+    """Weight rows of choices (choices x 3), from the hashes of their histories and their nodes."""
+    x = (f + (node.astype(np.uint64) * _PAIR)[:, None]) * _MIX[1]
+    x ^= x >> np.uint64(32)
+    x *= _MIX[0]
+    return (x >> np.uint64(64 - rows.bit_length() + 1)).astype(np.int32)
 
 
-def logits(f: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    z = weights.take(f[:, 0], 0)
-    for k in range(1, f.shape[1]):
-        z += weights.take(f[:, k], 0)
-    z += bias
-    z -= _row_max(z)
-    return z
+def softmaxes(rows: np.ndarray, start: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logits and exponentials of each choice's branches, and the sums of these as a column."""
+    z = weights.take(rows[:, 0], 0)
+    for k in range(1, rows.shape[1]):
+        z += weights.take(rows[:, k], 0)
+    z += start
+    np.clip(z, -30, 30, out=z)
+    e = np.exp(z)
+    return z, e, e @ np.ones((e.shape[1], 1), e.dtype)
 
 
-def log_softmax(f: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    z = logits(f, weights, bias)
-    z -= np.log(np.exp(z) @ np.ones((z.shape[1], 1), z.dtype))
-    return z
+def log_leaf(f: np.ndarray, leaf: np.ndarray, tree: Tree, weights: np.ndarray) -> np.ndarray:
+    """Natural log of the probability of each token's leaf."""
+    which, node, branch = tree.choices(leaf)
+    z, _, total = softmaxes(weight_rows(f[which], node, len(weights)), tree.bias[node], weights)
+    chosen = z.ravel().take(np.arange(len(z)) * WAYS + branch).astype(float) - np.log(total[:, 0])
+    first = np.searchsorted(which, np.arange(len(leaf)))
+    return np.add.reduceat(chosen, first) if len(leaf) else np.zeros(0)
 
 
-def log_chosen(f: np.ndarray, cls: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Natural log of the probability of each token's class."""
-    z = logits(f, weights, bias)
-    chosen = z.ravel().take(np.arange(len(z)) * z.shape[1] + cls).astype(float)
-    return chosen - np.log(np.exp(z) @ np.ones(z.shape[1], z.dtype))
-
-
-def gradient_pass(f: np.ndarray, cls: np.ndarray, weights: np.ndarray, bias: np.ndarray, rate: float = RATE, step: int = STEP) -> None:
-    """One pass of scaled gradient steps (the scale of a row falls with what it has moved), in place."""
+def gradient_pass(f: np.ndarray, leaf: np.ndarray, tree: Tree, weights: np.ndarray, rate: float = RATE, step: int = STEP) -> np.ndarray:
+    """One pass of scaled gradient steps (the scale of a row falls with what it has moved), in place. Returns which rows moved."""
     moved = np.full(len(weights), 1e-3, np.float32)
-    k, size = f.shape[1], weights.shape[1]
-    ones, mean = np.ones((size, 1), np.float32), np.full(size, 1 / size, np.float32)
-    small = np.uint16 if len(weights) <= 1 << 16 else np.int32
+    mean = np.full(WAYS, 1 / WAYS, np.float32)
+    k = f.shape[1]
     rate = np.float32(rate / np.sqrt(k))
     for at in range(0, len(f), step):
-        part, y = f[at : at + step], cls[at : at + step]
-        g = logits(part, weights, bias)
-        np.exp(g, out=g)
-        g /= g @ ones
-        g.ravel()[np.arange(len(y)) * size + y] -= 1
-        flat = part.ravel().astype(small)
-        order = np.argsort(flat, kind="stable")  # by radix for 16 bits
-        rows = flat.take(order)
-        head = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        which, node, branch = tree.choices(leaf[at : at + step])
+        rows = weight_rows(f[at : at + step][which], node, len(weights))
+        _, g, total = softmaxes(rows, tree.bias[node], weights)
+        g /= total
+        g.ravel()[np.arange(len(g)) * WAYS + branch] -= 1
+        flat = rows.ravel()
+        order = np.argsort(flat.astype(np.uint16), kind="stable")  # by radix, 16 bits at a time
+        if len(weights) > 1 << 16:
+            order = order[np.argsort((flat >> 16).astype(np.uint16)[order], kind="stable")]
+        own = flat.take(order)
+        head = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
         slope = np.add.reduceat(g.take(order // k, 0), head, axis=0)
-        rows = rows.take(head)
-        moved[rows] += (slope * slope) @ mean
-        weights[rows] -= slope * (rate / np.sqrt(moved.take(rows)))[:, None]
+        own = own.take(head)
+        moved[own] += (slope * slope) @ mean
+        weights[own] -= slope * (rate / np.sqrt(moved.take(own)))[:, None]
+    return moved > 1e-3
 
 
 _MESSAGE = {"part": pa.int64(), "_batch": pa.int64(), "blob": pa.binary()}
@@ -234,9 +277,9 @@ def _meet(t: pa.Table, p: Params) -> pa.Table:
     best = sorted((k for k in known.tolist() if total[k] >= least), key=lambda k: (-total[k], words[k]))[: p.top]
     rows += [(part, None, None, words[k], None, int(total[k]), 1) for k in best]
     if len(known):
-        e = np.fromiter((ending(words[k], p.endings) for k in known.tolist()), np.int64, len(known))
-        n, v = np.bincount(e, total[known], p.endings), np.bincount(e, minlength=p.endings)
-        rows += [(part, None, None, None, k, int(n[k]), int(v[k])) for k in range(p.endings) if v[k]]
+        e = np.fromiter((rare_class(words[k]) for k in known.tolist()), np.int64, len(known))
+        n, v = np.bincount(e, total[known]), np.bincount(e)
+        rows += [(part, None, None, None, k, int(n[k]), int(v[k])) for k in np.flatnonzero(v).tolist()]
     return as_table(rows, _ANSWER)
 
 
@@ -245,25 +288,26 @@ class Trained(NamedTuple):
 
     batches: DataFrame
     answers: DataFrame
-    classes: Classes
+    tree: Tree
     weights: np.ndarray
-    bias: np.ndarray
     params: Params
 
 
-def train(docs: DataFrame, held_out: tuple[int, int] = (7, 2), top: int = TOP, endings: int = ENDINGS, rows: int = ROWS, rounds: int = 1, batch_bytes: int = BATCH_BYTES, part_bytes: int = PART_BYTES) -> Trained:
-    """Counts words and trains weights on all documents that aren't held out.
+def train(docs: DataFrame, held_out: tuple[int, int] = (7, 2), top: int = TOP, rows: int | None = None, rounds: int = ROUNDS, batch_bytes: int = BATCH_BYTES, part_bytes: int = PART_BYTES) -> Trained:
+    """Counts words and trains weights on all documents that aren't held out; ``rows`` grows with the text unless given.
 
-    In each round every batch takes gradient steps over all its training tokens
-    from the same weights; the weights of the batches, by their tokens, are
-    averaged: within a task first, then in two levels of groups, so that
-    neither a task nor the driver gathers more than the model's fixed size
-    times a bounded number.
+    Batches are dealt to ``rounds`` lots. In each round every batch of a lot
+    takes gradient steps over all its training tokens from the same weights. A
+    weight row then moves by the mean over the batches that moved it: within a
+    task first, then in two levels of groups, so that neither a task nor the
+    driver gathers more than the model's size times a bounded number. Null and
+    empty texts are one end token; repeated rows count each; without any
+    document nothing is learnt. Columns other than ``doc_id, text`` aren't read.
     """
     spark = docs.sparkSession
     small_batches(spark)
     total = total_bytes(docs)
-    p = Params(parts_for(total, part_bytes), *held_out, top, endings, rows)
+    p = Params(parts_for(total, part_bytes), *held_out, top, rows or rows_for(total))
     message = "part long, _batch long, blob binary"
 
     def tell(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,61 +338,65 @@ def train(docs: DataFrame, held_out: tuple[int, int] = (7, 2), top: int = TOP, e
     met = materialise(met, "counts")
     answers = met.where("blob is not null").select("part", "_batch", "blob")
     best = met.where("word is not null").orderBy(F.desc("n"), "word").limit(top).collect()
-    n, v = np.zeros(endings, np.int64), np.zeros(endings, np.int64)
-    for r in met.where("cls is not null").groupBy("cls").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+    n, v = np.zeros(WAYS**DEEP, np.int64), np.zeros(WAYS**DEEP, np.int64)
+    for r in met.where("cls is not null").groupBy("cls").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():  # 4096 at most
         n[r.cls], v[r.cls] = r.n, r.v
     all_n, all_v = int(n.sum()), int(v.sum())
     for r in best:
-        e = ending(bytes(r.word), endings)
+        e = rare_class(bytes(r.word))
         n[e] -= r.n
         v[e] -= 1
-    classes = Classes({bytes(r.word): k for k, r in enumerate(best)}, n, v, all_n, all_v, endings)
-    bias = classes.start([r.n for r in best])
-    weights = np.zeros((rows, classes.size), np.float32)
-    for _ in range(rounds):
-        weights = _round(batches, answers, classes, weights, bias, p)
-    return Trained(batches, answers, classes, weights, bias, p)
+    tree = Tree.of_counts([(bytes(r.word), r.n) for r in best], n, v, all_n, all_v)
+    weights = np.zeros((p.rows, WAYS), np.float32)
+    for k in range(rounds):
+        lot = F.pmod(F.xxhash64("_batch"), F.lit(rounds)) == k
+        weights = _round(batches.where(lot), answers.where(lot), tree, weights, p)
+    return Trained(batches, answers, tree, weights, p)
 
 
-def _round(batches: DataFrame, answers: DataFrame, classes: Classes, weights: np.ndarray, bias: np.ndarray, p: Params) -> np.ndarray:
-    sent = batches.sparkSession.sparkContext.broadcast((classes, weights, bias))
+def _round(batches: DataFrame, answers: DataFrame, tree: Tree, weights: np.ndarray, p: Params) -> np.ndarray:
+    sent = batches.sparkSession.sparkContext.broadcast((tree, weights))
 
     @released
     def learn(t: pa.Table, replies: pa.Table) -> pa.Table:
-        classes, weights, bias = sent.value
+        tree, weights = sent.value
         if not t.num_rows:
-            return as_table([], {"n": pa.int64(), "blob": pa.binary()})
+            return as_table([], {"n": pa.binary(), "blob": pa.binary()})
         batch = Batch.load(t.column("blob")[0].as_py(), p)
-        cls, _ = classes.of(batch.words, batch.counts(list(zip(replies.column("part").to_pylist(), replies.column("blob").to_pylist(), strict=True))))
+        leaf, _ = tree.of(batch.words, batch.counts(list(zip(replies.column("part").to_pylist(), replies.column("blob").to_pylist(), strict=True))))
         use = np.repeat(~batch.held_out, batch.size)
         own = weights.copy()
-        gradient_pass(features(batch, p.rows)[use], cls[batch.tokens[use]], own, bias)
-        return as_table([(int(use.sum()), (own - weights).astype(np.float16).tobytes())], {"n": pa.int64(), "blob": pa.binary()})
+        moved = gradient_pass(features(batch)[use], leaf[batch.tokens[use]], tree, own)
+        return as_table([(moved.astype(np.float32).tobytes(), (own - weights).astype(np.float16).tobytes())], {"n": pa.binary(), "blob": pa.binary()})
+
+    height = p.rows // SLICES
+    kinds = {"slice": pa.int64(), "n": pa.binary(), "blob": pa.binary()}
 
-    shape = (SLICES, weights.size // SLICES)
+    def summed(messages) -> tuple[np.ndarray, np.ndarray] | None:
+        """Sums of how many batches moved each row, and of their moves."""
+        total, count = None, None
+        for n, blob in messages:
+            n = np.frombuffer(n, np.float32)
+            x = np.frombuffer(blob, np.float16).astype(np.float32).reshape(-1, WAYS) * n[:, None]
+            total, count = (x, n.copy()) if total is None else (total + x, count + n)
+        return None if total is None else (count, total / np.maximum(count, 1)[:, None])
 
     def within_task(rows):
-        total, n = None, 0
-        for b in rows:
-            for k, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                x = np.frombuffer(blob, np.float16).astype(np.float32) * np.float32(k)
-                total, n = x if total is None else total + x, n + k
-        if n:
-            part = (total / n).astype(np.float16).reshape(shape)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES)), pa.array([n] * SLICES, pa.int64()), pa.array([x.tobytes() for x in part])], names=["slice", "n", "blob"])
+        found = summed((n, blob) for b in rows for n, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        if found:
+            n, x = (c.reshape(SLICES, height, -1) for c in found)
+            yield from as_table([(k, n[k].tobytes(), x[k].astype(np.float16).tobytes()) for k in range(SLICES)], kinds).to_batches()
 
     def mean(t: pa.Table) -> pa.Table:
-        total, n = 0, 0
-        for k, blob in zip(t.column("n").to_pylist(), t.column("blob"), strict=True):
-            total, n = total + np.frombuffer(blob.as_py(), np.float16).astype(np.float32) * np.float32(k), n + k
-        return as_table([(t.column("slice")[0].as_py(), n, (total / n).astype(np.float16).tobytes())], {"slice": pa.int64(), "n": pa.int64(), "blob": pa.binary()})
+        n, x = summed((a.as_py(), b.as_py()) for a, b in zip(t.column("n"), t.column("blob"), strict=True))
+        return as_table([(t.column("slice")[0].as_py(), n.tobytes(), x.astype(np.float16).tobytes())], kinds)
 
-    kind = "slice long, n long, blob binary"
-    moves = batches.groupBy("_batch").cogroup(answers.groupBy("_batch")).applyInArrow(learn, "n long, blob binary").mapInArrow(within_task, kind)
+    kind = "slice long, n binary, blob binary"
+    moves = batches.groupBy("_batch").cogroup(answers.groupBy("_batch")).applyInArrow(learn, "n binary, blob binary").mapInArrow(within_task, kind)
     moves = moves.withColumn("lot", F.spark_partition_id() % 64).groupBy("slice", "lot").applyInArrow(mean, kind).groupBy("slice").applyInArrow(mean, kind)
-    out = np.zeros(shape, np.float32)
-    for r in moves.collect():
-        out[r.slice] = np.frombuffer(r.blob, np.float16)
+    out = np.zeros((SLICES, height, WAYS), np.float32)
+    for r in moves.select("slice", "blob").collect():
+        out[r.slice] = np.frombuffer(r.blob, np.float16).reshape(height, WAYS)
     return weights + out.reshape(weights.shape)
 
 
@@ -363,24 +411,24 @@ def score(trained: Trained, step: int = STEP) -> DataFrame:
     (and, if not held out, learnt) each; null doc_ids count as the empty id.
     """
     p = trained.params
-    sent = trained.batches.sparkSession.sparkContext.broadcast((trained.classes, trained.weights, trained.bias))
+    sent = trained.batches.sparkSession.sparkContext.broadcast((trained.tree, trained.weights))
 
     @released
     def judge(t: pa.Table, replies: pa.Table) -> pa.Table:
         if not t.num_rows:
             return as_table([], _SCORED)
-        classes, weights, bias = sent.value
+        tree, weights = sent.value
         batch = Batch.load(t.column("blob")[0].as_py(), p)
         counts = batch.counts(list(zip(replies.column("part").to_pylist(), replies.column("blob").to_pylist(), strict=True)))
-        cls, share = classes.of(batch.words, counts)
-        base = np.log10((counts + 1) / (classes.n + classes.v + 1))
-        f, y = features(batch, p.rows), cls[batch.tokens]
+        leaf, share = tree.of(batch.words, counts)
+        base = np.log10((counts + 1) / (tree.n + tree.v + 1))
+        f, y = features(batch), leaf[batch.tokens]
         model = share[batch.tokens]
         for at in range(0, len(f), step):
-            model[at : at + step] += log_chosen(f[at : at + step], y[at : at + step], weights, bias) / np.log(10)
+            model[at : at + step] += log_leaf(f[at : at + step], y[at : at + step], tree, weights) / np.log(10)
         first = np.cumsum(batch.size) - batch.size
         sums = [np.add.reduceat(x, first) for x in ((counts > 0)[batch.tokens].astype(np.int64), base[batch.tokens], model)]
-        cols = [batch.ids, batch.held_out, batch.size, sums[0], np.full(len(first), classes.n), sums[1], sums[2]]
+        cols = [batch.ids, batch.held_out, batch.size, sums[0], np.full(len(first), tree.n), sums[1], sums[2]]
         out = {n: pa.array(c, k) for (n, k), c in zip(_SCORED.items(), cols, strict=True)}
         return pa.table(out | {"doc_id": pa.array(batch.ids, pa.int64(), mask=batch.null)})
 

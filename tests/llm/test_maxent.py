@@ -33,7 +33,7 @@ def test_scores(spark, batch, part):
     count = Counter(w for i, t in rows if not held(i) for w in words(t))
     n, v = count.total(), len(count)
     df = spark.createDataFrame([(*x, 1.5) for x in rows], "doc_id long, text string, score double").repartition(3)
-    got = maxent.train_and_score(df, batch_bytes=batch, part_bytes=part, top=6, endings=8, rows=1 << 10).collect()
+    got = maxent.train_and_score(df, batch_bytes=batch, part_bytes=part, top=6, rows=1 << 12).collect()
     want = Counter()
     for i, t in rows:
         w = words(t)
@@ -48,27 +48,44 @@ def test_scores(spark, batch, part):
 def test_probabilities_sum_to_one(spark):
     rows = corpus(60)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    t = maxent.train(df, top=4, endings=5, rows=1 << 8)
+    t = maxent.train(df, top=7, rows=1 << 10)
     held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
     count = Counter(w for i, x in rows if not held(i) for w in words(x))
     known = [b"" if w is None else w.encode() for w in count]
-    cls, share = t.classes.of(known, np.array(list(count.values())))
-    assert (t.classes.n, t.classes.v) == (count.total(), len(count))
-    classes = np.exp(maxent.log_softmax(np.array([[1, 2, 3]]), t.weights, t.bias))[0]
-    total = (classes[cls] * 10**share).sum()
-    e = np.arange(5)  # and one unseen word for each ending
-    total += (classes[4 + e] / (t.classes.tokens[e] + t.classes.words[e] + 1)).sum()
+    leaf, share = t.tree.of(known, np.array(list(count.values())))
+    assert (t.tree.n, t.tree.v) == (count.total(), len(count)) and len(t.tree.top) == 7
+    history = np.array([[11, 22, 33]], np.uint64)
+    of_leaf = np.exp(maxent.log_leaf(np.repeat(history, 7 + 4096, axis=0), np.arange(7 + 4096), t.tree, t.weights))
+    assert of_leaf.sum() == pytest.approx(1, abs=1e-4)
+    total = (of_leaf[leaf] * 10**share).sum()
+    total += (of_leaf[7:] / (t.tree.tokens + t.tree.words + 1)).sum()  # and one unseen word for each class
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_paths_tell_leaves_apart():
+    r = np.random.RandomState(2)
+    tree = maxent.Tree.of_counts([(b"w%d" % k, 1000 // (k + 1)) for k in range(100)], r.randint(0, 5, 4096), r.randint(0, 5, 4096), 0, 0)
+    which, node, branch = tree.choices(np.arange(4196))
+    paths = [tuple(zip(node[which == k].tolist(), branch[which == k].tolist(), strict=True)) for k in range(4196)]
+    assert len(set(paths)) == 4196 and all(p for p in paths) and np.allclose(np.exp(tree.bias).sum(axis=1), 1, atol=1e-4)
+    assert len(paths[0]) <= len(paths[99]) and rare_classes_are_stable()
+
+
+def rare_classes_are_stable():
+    return all(0 <= maxent.rare_class(w) < 4096 for w in (b"", b"a", b"word", "рек".encode()))
+
+
 def test_gradient_pass_learns():
     r = np.random.RandomState(1)
-    f = np.stack([r.randint(0, 8, 6000), *(r.randint(8, 64, 6000) for _ in range(2))], axis=1)
-    cls = f[:, 0] % 4
-    w, bias = np.zeros((64, 4), np.float32), np.zeros(4, np.float32)
-    maxent.gradient_pass(f, cls, w, bias, step=200)
-    assert (maxent.log_softmax(f, w, bias).argmax(axis=1) == cls).mean() > 0.99
+    tree = maxent.Tree.of_counts([(b"%d" % k, 50) for k in range(20)], np.zeros(4096, np.int64), np.zeros(4096, np.int64), 0, 0)
+    f = np.stack([r.randint(0, 8, 6000), *(r.randint(8, 64, 6000) for _ in range(2))], axis=1).astype(np.uint64)
+    leaf = (f[:, 0] % 4).astype(np.int64) * 5
+    w = np.zeros((1 << 12, 16), np.float32)
+    moved = maxent.gradient_pass(f, leaf, tree, w, step=200)
+    assert np.exp(maxent.log_leaf(f, leaf, tree, w)).min() > 0.5 and (moved == (w != 0).any(axis=1)).all()
 
 
-def test_empty(spark):
+def test_long_text_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "so long a text " * 40000), (3, "so long")], "doc_id long, text string")
+    assert sorted(r.n_tokens for r in maxent.train_and_score(df, batch_bytes=1 << 16).collect()) == [3, 160001]
     assert maxent.train_and_score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
