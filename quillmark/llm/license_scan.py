@@ -1,4 +1,11 @@
-"""Licence scans: a trained classifier of paragraphs, confirmed by comparison with templates."""
+"""Licence scans: a trained classifier of paragraphs, confirmed by comparison with templates.
+
+A paragraph is a run of lines up to a blank one, read as one sequence of words,
+so that wrapped lines don't part a notice. Where a stretch of it holds enough of
+a template's word pairs, the classifier judges the stretch and the words around;
+the family counts if it is the template's. Looking for pairs first leaves out
+only what no template could confirm.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +13,7 @@ import random
 import re
 import zlib
 from collections import Counter
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +33,8 @@ TEMPLATES: dict[str, list[str]] = {
     ],
     "mit": [
         "Released under the MIT License.",
+        "The MIT License (MIT)",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
         "This software is licensed under the MIT License.",
         'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
@@ -81,6 +90,8 @@ TEMPLATES: dict[str, list[str]] = {
         "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
     ],
     "proprietary": [
+        "All rights reserved.",
+        "Copyright (c) 2020 by the authors. All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher.",
         "Unauthorized copying of this file, via any medium, is strictly prohibited. Proprietary and confidential.",
     ],
@@ -100,12 +111,17 @@ OTHERS = [
     "Apache helicopters flew over the distribution center under applicable law.",
     "The public domain of research is broad, and this program is version 3 of its plan.",
     "Copyright law changed in 1976; the notice shall be included in all portions of the report.",
+    "He was released under the MIT supervision after the work on the license of the dam.",
+    "All rights of the people were reserved to the state in that year.",
+    "The rights reserved by the crown were sold to the town.",
 ]
 
 UNKNOWN = "unknown"
 BUCKETS = 1 << 14
-#: Words of a longer paragraph that are judged together; more than any template has.
-WINDOW = 64
+#: Words on each side of a stretch that are judged with it.
+AROUND = 8
+#: Share of a template's word pairs that confirms it: of templates of under ten words more.
+CONFIRM, CONFIRM_SHORT = 0.6, 0.7
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
 
@@ -132,17 +148,31 @@ def contained(words: list[str], template: list[str]) -> float:
     return sum((want & grams(words)).values()) / max(1, want.total())
 
 
-@dataclass
+def needed(template: list[str]) -> float:
+    return CONFIRM if len(template) >= 10 else CONFIRM_SHORT
+
+
+class Span(NamedTuple):
+    """A confirmed stretch of words: first, end, family, probability of the family, share of the template's pairs."""
+
+    first: int
+    end: int
+    family: str
+    probability: float
+    share: float
+
+
 class Model:
     """``weights`` (buckets + 1) x classes, the last class being unknown; ``temperature`` and ``floor`` calibrate it."""
 
-    families: list[str]
-    weights: np.ndarray
-    temperature: float
-    floor: float
-    cues: frozenset[str]
-    templates: dict[str, list[list[str]]]
-    confirm: float = 0.6
+    def __init__(self, families: list[str], weights: np.ndarray, temperature: float, floor: float, templates: dict[str, list[list[str]]]):
+        self.families, self.weights, self.temperature, self.floor = families, weights, temperature, floor
+        self.templates = [(family, t, Counter(zip(t, t[1:], strict=False))) for family, own in templates.items() for t in own]
+        self.pairs: dict[tuple[str, str], list[int]] = {}
+        for k, (_, _, pairs) in enumerate(self.templates):
+            for x in pairs:
+                self.pairs.setdefault(x, []).append(k)
+        self.most = {k: -(-int(1000 * needed(t)) * pairs.total() // 1000) for k, (_, t, pairs) in enumerate(self.templates)}
 
     def probabilities(self, words: list[str]) -> np.ndarray:
         f = hashed(words)
@@ -150,57 +180,84 @@ class Model:
         e = np.exp((z - z.max()) / self.temperature)
         return e / e.sum()
 
+    def stretches(self, words: list[str]) -> list[tuple[int, int, int, float]]:
+        """First word, end, template and share where a stretch of at most twice a template's words holds enough of its pairs."""
+        known, hits = self.pairs, {}
+        for k, x in enumerate(zip(words, words[1:], strict=False)):
+            if x in known:
+                for t in known[x]:
+                    hits.setdefault(t, []).append((k, x))
+        out = []
+        for t, own in hits.items():
+            if len(own) < self.most[t]:
+                continue
+            _, template, pairs = self.templates[t]
+            total, i = pairs.total(), 0
+
+            def most(i: int, own=own, pairs=pairs, wide=2 * len(template)) -> tuple[int, int]:
+                """Pairs of the template from hit ``i`` on, and the last hit that adds one."""
+                got, best, end = Counter(), 0, i
+                for j in range(i, len(own)):
+                    if own[j][0] >= own[i][0] + wide:
+                        break
+                    if got[own[j][1]] < pairs[own[j][1]]:
+                        got[own[j][1]] += 1
+                        best, end = best + 1, j
+                return best, end
+
+            while i < len(own):
+                best, end = most(i)
+                if best / total >= needed(template) - 1e-9:
+                    while i < end and (later := most(i + 1))[0] >= best and own[later[1]][0] - own[i + 1][0] < own[end][0] - own[i][0]:  # as short as it can be
+                        i, (best, end) = i + 1, later
+                    out.append((own[i][0], own[end][0] + 2, t, best / total))
+                    i = end
+                i += 1
+        return out
+
+    def spans(self, words: list[str]) -> list[Span]:
+        """Confirmed stretches of a paragraph, in order; those of one family that touch or overlap are one, with the largest figures.
+
+        Of stretches of several families that overlap, that with most pairs counts.
+        """
+        place = {f: k for k, f in enumerate(self.families)}
+        sure: list[tuple[float, Span]] = []
+        stretches = self.stretches(words)
+        for first, end, t, share in stretches:
+            family, _, pairs = self.templates[t]
+            low = max([first - AROUND, 0, *(b for _, b, o, _ in stretches if b <= first and self.templates[o][0] != family)])
+            high = min([end + AROUND, *(a for a, _, o, _ in stretches if a >= end and self.templates[o][0] != family)])
+            p = 0.0
+            for part in ((low, high), (first, end))[: 1 + (share == 1)]:  # what holds all of a template is judged by itself too
+                q = self.probabilities(words[slice(*part)])
+                p = max(p, float(q[place[family]] / (q[place[family]] + q[-1])))
+            if p >= self.floor:
+                sure.append((share * pairs.total(), Span(first, end, family, p, share)))
+        kept: list[Span] = []
+        for _, x in sorted(sure, key=lambda y: (-y[0], y[1])):
+            if not any(x.first < y.end and y.first < x.end and x.family != y.family for y in kept):
+                kept.append(x)
+        found: list[Span] = []
+        for x in sorted(kept):
+            if found and found[-1].family == x.family and x.first <= found[-1].end:
+                before = found.pop()
+                x = Span(before.first, max(x.end, before.end), x.family, max(x.probability, before.probability), max(x.share, before.share))
+            found.append(x)
+        return found
+
     def judge(self, paragraph: str) -> tuple[str, float, float] | None:
-        """Family, probability and best template share of a paragraph; None if it is of the unknown class.
+        """Family, probability and template share of a paragraph's likeliest stretch; None if it is of the unknown class."""
+        best = max(self.spans(terms(paragraph)), key=lambda x: x[3:], default=None)
+        return best and best[2:]
 
-        The family is unknown unless its probability reaches the calibrated
-        ``floor`` and a template of it is contained to ``confirm``.
-        """
-        words = terms(paragraph)
-        if self.cues.isdisjoint(words):  # then no template can be contained to ``confirm``
-            return None
-        best = None
-        long = len(words) > WINDOW
-        for at in range(0, len(words), WINDOW // 2) if long else (0,):  # half of each window is in the next
-            part = words[at : at + WINDOW] if long else words
-            if self.cues.isdisjoint(part):
-                continue
-            p = self.probabilities(part)
-            k = int(p.argmax())
-            if self.families[k] != UNKNOWN and p[k] >= self.floor:
-                share = max(contained(part, t) for t in self.templates[self.families[k]])
-                if share >= self.confirm and (best is None or (p[k], share) > best[1:]):
-                    best = (self.families[k], float(p[k]), share)
-        return best
-
-
-def _cues(templates: dict[str, list[list[str]]], confirm: float) -> frozenset[str]:
-    """Words such that a paragraph with none of them contains no template to ``confirm``: those of each template, rarest first, until the rest can't reach it."""
-    often = Counter(w for own in templates.values() for t in own for w in set(t))
-    common = {"the", "of", "and", "or", "to", "a", "in", "is", "this", "you", "any", "for", "be", "that", "with", "by", "at", "as", "on", "not", "may", "use"}
-    cues: set[str] = set()
-    for own in templates.values():
-        for t in own:
-            for w in sorted(set(t), key=lambda w: (w in common, -often[w], w)):
-                if _bound(t, cues) < confirm:
-                    break
-                cues.add(w)
-    return frozenset(cues)
-
-
-def _bound(template: list[str], without: set[str]) -> float:
-    """The largest share of a template that a text without some words can contain."""
-    pairs = list(zip(template, template[1:], strict=False)) or [(w,) for w in template]
-    return sum(not any(w in without for w in p) for p in pairs) / max(1, len(pairs))
-
-
-def fit(negatives: list[str], templates: dict[str, list[str]] = TEMPLATES, others: list[str] = OTHERS, variants: int = 24, steps: int = 150, seed: int = 11, confirm: float = 0.6) -> Model:
+
+def fit(negatives: list[str], templates: dict[str, list[str]] = TEMPLATES, others: list[str] = OTHERS, variants: int = 24, steps: int = 150, seed: int = 11) -> Model:
     """Trains on varied copies of the templates against ``others`` and paragraphs of the corpus.
 
-    Variants drop and swap words and put corpus words around them. A fourth of
-    them, and of the negatives, is kept back to calibrate: the temperature with
-    the least log loss, and the lowest probability at which nothing of the
-    unknown class passes.
+    Variants drop words and put corpus words around them. A fourth of them, and
+    of the negatives (by source, so that no copy of one is on both sides), is
+    kept back to calibrate: the temperature with the least log loss, and the
+    probability (0.3 to 0.9) that one in 200 of the unknown class reaches.
     """
     r = random.Random(seed)
     families = [*sorted(templates), UNKNOWN]
@@ -213,16 +270,21 @@ def fit(negatives: list[str], templates: dict[str, list[str]] = TEMPLATES, other
                 own = list(t)
                 if v:
                     own = [w for w in own if r.random() > 0.08 or len(t) < 8] or list(t)
-                    if r.random() < 0.5:
-                        around = [r.choice(filler) for _ in range(r.randrange(1, WINDOW - 10))]
+                    if r.random() < 0.7:
+                        around = [r.choice(filler) for _ in range(r.randrange(1, 2 * AROUND + 1))]
                         cut = r.randrange(len(around) + 1)
                         own = around[:cut] + own + around[cut:]
                 data.append((own, k))
-    unknown = [terms(x) for x in negatives] + [terms(x) for x in others for _ in range(8)]
-    unknown += [r.sample(w, min(len(w), 12)) for w in ([y for t in own for y in t] for own in words.values()) for _ in range(8)]  # words of a licence in no order
-    data += [(w[:WINDOW], len(families) - 1) for w in unknown]
     r.shuffle(data)
-    cut = len(data) * 3 // 4
+    kept_back = data[: len(data) // 4]
+    data = data[len(data) // 4 :]
+    sources = [[terms(x)[:WINDOW]] for x in negatives] + [[terms(x)] * 8 for x in others]
+    sources += [[r.sample(w, min(len(w), 12)) for _ in range(8)] for w in ([y for t in own for y in t] for own in words.values())]  # words of a licence in no order
+    sources += [[t[i : i + 3 + k % 5] for i in range(0, max(1, len(t) - 8), 4)] for own in words.values() for k, t in enumerate(own) if len(t) >= 12]  # a few words of a long one
+    for k, own in enumerate(sources):
+        (kept_back if k % 4 == 3 else data).extend((w, len(families) - 1) for w in own)
+    cut = len(data)
+    data += kept_back
     rows = [hashed(w) for w, _ in data]
     used = sorted({k for f in rows for k in f})
     place = {k: i for i, k in enumerate(used)}
@@ -251,57 +313,76 @@ def fit(negatives: list[str], templates: dict[str, list[str]] = TEMPLATES, other
     negative = p[y[cut:, -1] == 1][:, :-1].max(axis=1) if y[cut:, -1].any() else np.zeros(1)
     weights = np.zeros((BUCKETS + 1, len(families)))
     weights[used], weights[-1] = w[:-1], w[-1]
-    return Model(families, weights, temperature, float(min(0.9, max(0.3, negative.max()))), _cues(words, confirm), words, confirm)
+    return Model(families, weights, temperature, float(min(0.9, max(0.3, np.quantile(negative, 0.995)))), words)
+
 
+#: Documents of the corpus, of at most so many characters, and stretches of them that teach the unknown class.
+SAMPLE_DOCS, SAMPLE_CHARS, NEGATIVES = 400, 20_000, 2000
+#: Words of a stretch of the corpus that teaches the unknown class.
+WINDOW = 24
 
-#: Paragraphs of the corpus that teach the unknown class, at most.
-NEGATIVES = 2000
 
+def paragraphs(text: str | None) -> list[tuple[list[str], list[int], list[str]]]:
+    """Of each paragraph with a word: its words, the number of each one's line, and all lines of the text."""
+    out, words, at = [], [], []
+    lines = (text or "").split("\n")
+    for k, line in enumerate(lines):
+        own = terms(line)
+        if own:
+            words += own
+            at += [k] * len(own)
+        elif words and not line.strip():
+            out.append((words, at, lines))
+            words, at = [], []
+    return [*out, (words, at, lines)] if words else out
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, paragraph`` of every line with a word; lines are numbered from 0. No row for null texts."""
-    rows = docs.select(F.col("doc_id"), F.posexplode(F.split(F.col("text"), "\n")).alias("line_no", "paragraph"))
-    return rows.where(F.col("paragraph").rlike("[A-Za-z0-9]"))
 
+def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, negatives: int = NEGATIVES) -> Model:
+    """Fits with stretches of the ``sample_docs`` documents with the least text hashes, among those of ``SAMPLE_CHARS`` characters at most.
 
-def train(docs: DataFrame, negatives: int = NEGATIVES) -> Model:
-    """Fits with ``negatives`` paragraphs of the corpus at most, those with the least hashes that have none of the cues."""
-    cues = _cues({k: [terms(t) for t in v] for k, v in TEMPLATES.items()}, 0.6)
-    rare = sorted(c for c in cues if len(c) > 2)
-    rows = paragraphs(docs).where(~F.lower("paragraph").rlike("|".join(map(re.escape, rare)))).select(F.substring("paragraph", 1, 2000).alias("p"))
-    rows = rows.withColumn("h", F.xxhash64("p"))
-    least = rows.select("h").distinct().orderBy("h").limit(negatives).collect()
+    Half of the stretches, where there are so many, hold word pairs of a
+    template but none confirms them: the hard cases. Null and empty texts teach
+    nothing, equal texts count once; without documents only the fixed texts teach.
+    """
+    rows = docs.select(F.col("text").cast("string").alias("p")).where(F.length("p").between(1, SAMPLE_CHARS)).withColumn("h", F.xxhash64("p"))
+    least = rows.select("h").distinct().orderBy("h").limit(sample_docs).collect()
     if not least:
         return fit([])
-    wanted = docs.sparkSession.createDataFrame([(x.h,) for x in least], "h long")  # negatives rows at most
-    return fit([x.p for x in rows.join(F.broadcast(wanted), "h", "left_semi").groupBy("h").agg(F.min("p").alias("p")).orderBy("h").collect()])
+    wanted = docs.sparkSession.createDataFrame([(x.h,) for x in least], "h long")  # sample_docs rows at most
+    texts = [x.p for x in rows.join(F.broadcast(wanted), "h", "left_semi").groupBy("h").agg(F.min("p").alias("p")).orderBy("h").collect()]
+    known, easy, hard = fit([], variants=2, steps=1), [], []
+    for text in texts:
+        for words, _, _ in paragraphs(text):
+            confirmed = [(a, b) for a, b, _, _ in known.stretches(words)]
+            for at in range(0, len(words), WINDOW):
+                part = words[at : at + WINDOW]
+                if not any(a < at + WINDOW and at < b for a, b in confirmed):
+                    (hard if any(x in known.pairs for x in zip(part, part[1:], strict=False)) else easy).append(" ".join(part))
+    chosen = [x for own in (hard, easy) for x in sorted(set(own), key=lambda x: (zlib.crc32(x.encode()), x))[: negatives // 2]]
+    return fit(sorted(chosen, key=lambda x: (zlib.crc32(x.encode()), x)))
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """Every licence paragraph: ``doc_id, line_no, family, probability, template_share, paragraph``.
+    """Every licence notice: ``doc_id, line_no, last_line, family, probability, template_share, paragraph`` (its lines).
 
-    A paragraph is a line. Each is judged whole, a long one by overlapping
-    windows of words. Lines with none of the model's cue words can't be
-    confirmed by any template, so they are passed over. No shuffle; null and
-    empty texts give no row; repeated rows give theirs each.
+    Lines are numbered from 0. A paragraph may give several, of one family or
+    of several. No shuffle; null and empty texts give no row; repeated rows give
+    theirs each; columns other than ``doc_id, text`` aren't read.
     """
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = "doc_id long, line_no long, family string, probability double, template_share double, paragraph string"
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.string()]
-    # one look at the whole text first, then line by line
-    look = re.compile(r"(?<![a-z0-9])(?:" + "|".join(sorted(map(re.escape, model.cues))) + r")(?![a-z0-9])")
+    schema = "doc_id long, line_no long, last_line long, family string, probability double, template_share double, paragraph string"
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.float64(), pa.string()]
 
     def run(batches):
-        judge = sent.value.judge
+        spans = sent.value.spans
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if not text or not look.search(text.lower()):
-                    continue
-                for k, line in enumerate(text.split("\n")):
-                    if found := judge(line):
-                        rows.append((doc_id, k, *found, line))
+                for words, at, lines in paragraphs(text):
+                    for x in spans(words):
+                        first, last = at[x.first], at[x.end - 1]
+                        rows.append((doc_id, first, last, x.family, x.probability, x.share, "\n".join(lines[first : last + 1])))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
 
