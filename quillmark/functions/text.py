@@ -37,7 +37,8 @@ def ascii_fold(s: pd.Series) -> pd.Series:
 
 def composed(c: Column) -> Column:
     """NFKC of a text; ASCII texts are left in the JVM."""
-    return F.when(F.length(c) == F.octet_length(c), c).otherwise(nfkc(c))
+    beyond = F.length(c) != F.octet_length(c)
+    return F.coalesce(nfkc(F.when(beyond, c)), c)  # a UDF gets every row, so others are sent as nulls
 
 
 def collapse(c: Column) -> Column:

@@ -31,7 +31,7 @@ def _of_run(run: Column) -> list[Column]:
     return [F.array_join(F.transform(run, lambda x: x["text"]), " "), b, F.element_at(run, -1)["word_idx"]]
 
 
-def windows(words: DataFrame, max_size: int = 4, normal: Column | None = None, skip_empty: bool = False) -> DataFrame:
+def windows(words: DataFrame, max_size: int, normal: Column | None = None, skip_empty: bool = False) -> DataFrame:
     """Runs of 1 to ``max_size`` words of a page: ``doc_id, page_num, start_idx, end_idx, size, text, bbox``.
 
     With ``skip_empty`` words that normalise to nothing don't count.
@@ -42,27 +42,56 @@ def windows(words: DataFrame, max_size: int = 4, normal: Column | None = None, s
     return rows.select("doc_id", "page_num", "page_width", "page_height", "start_idx", "size", joined.alias("text"), b.alias("bbox"), last.alias("end_idx"))
 
 
-def with_tokens(fields: DataFrame, normal=lambda c: text.match_text(c, compose=False)) -> DataFrame:
+def windows_of_sizes(words: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Runs of words of a page of the sizes that ``doc_id, sizes`` asks for, as in :func:`windows`.
+
+    Words are shuffled once, by document, and gathered by page; what is joined
+    by document afterwards finds them in place.
+    """
+    one = F.struct("word_idx", "text", "bbox")
+    pages = words.repartition("doc_id").groupBy("doc_id", "page_num").agg(F.array_sort(F.collect_list(one)).alias("ws"), F.first("page_width").alias("page_width"), F.first("page_height").alias("page_height"))
+    n = F.size("ws")
+
+    def window(size: Column, at: Column) -> Column:
+        run = F.slice("ws", at, size)
+        joined, b, last = _of_run(run)
+        return F.struct(run[0]["word_idx"].alias("start_idx"), size.alias("size"), joined.alias("text"), b.alias("bbox"), last.alias("end_idx"))
+
+    of_size = lambda size: F.transform(F.sequence(F.lit(1), n - size + 1), lambda at: window(size, at))
+    rows = pages.join(sizes, "doc_id").withColumn("w", F.explode(F.flatten(F.transform(F.filter("sizes", lambda x: x <= n), of_size))))
+    return rows.select("doc_id", "page_num", "page_width", "page_height", "w.*")
+
+
+def with_tokens(fields: DataFrame, normal=text.match_text) -> DataFrame:
     """Fields that aren't blank, with the normalised words of their values."""
     rows = fields.where(F.trim("field_value") != "").withColumn("tokens", text.tokens(normal(F.col("field_value"))))
     return rows.where(F.size("tokens") > 0)
 
 
-def exact(words: DataFrame, fields: DataFrame, max_size: int = 4, normal=lambda c: text.match_text(c, compose=False)) -> DataFrame:
-    """All windows whose normalised words equal a field's, in arrays, so words with spaces inside never match.
+def exact(words: DataFrame, fields: DataFrame, normal=text.match_text, contiguous: bool = False) -> DataFrame:
+    """All windows whose normalised words equal a field's, of any length, in arrays, so words with spaces inside never match.
 
-    One equi-join on the document and the first word, the rest of the words
-    being a residual. Values of more than ``max_size`` words need a larger
-    ``max_size``.
+    Words are joined to single tokens of their document's values, and a match
+    is a run of as many hits as the value has tokens that begin at one place, so
+    only hits are gathered. ``contiguous`` says that ``word_idx`` counts a
+    page's words without gaps; otherwise words are numbered here, which sorts
+    each page. Fields that repeat key and value count once.
     """
-    start = runs(words, max_size, normal(F.col("text")), skip_empty=True)
     f = with_tokens(fields, normal)
-    own = F.slice("run", F.lit(1), F.size("tokens"))
-    same = F.transform(own, lambda x: x["norm"]) == F.col("tokens")
-    hit = f.join(start, (f["doc_id"] == start["doc_id"]) & (F.element_at("tokens", 1) == start["norm"])).where(same)
+    t = f.select("doc_id", "field_ord", "field_name", F.col("field_value").alias("value"), F.size("tokens").alias("n"), F.posexplode("tokens").alias("k", "norm"))
+    w = words.select("doc_id", "page_num", "page_width", "page_height", "word_idx", "text", "bbox", normal(F.col("text")).alias("norm"))
+    of_page = Window.partitionBy("doc_id", "page_num").orderBy("word_idx")
+    if contiguous:  # words that normalise to nothing don't count: they are looked for like tokens
+        wanted = t.select("doc_id", "norm").unionByName(t.select("doc_id", F.lit("").alias("norm"))).distinct()
+        w = w.join(wanted, ["doc_id", "norm"], "left_semi")
+        w = w.withColumn("at", F.col("word_idx") - F.sum((F.col("norm") == "").cast("int")).over(of_page))
+    else:
+        w = w.where("norm <> ''").withColumn("at", F.row_number().over(of_page))
+    hit = w.join(t, ["doc_id", "norm"]).withColumn("at", F.col("at") - F.col("k"))
+    one = F.struct("k", "word_idx", "text", "bbox")
+    hit = hit.groupBy("doc_id", "field_ord", "field_name", "value", "n", "page_num", "page_width", "page_height", "at").agg(F.array_sort(F.collect_set(one)).alias("own")).where(F.size("own") == F.col("n"))
     joined, b, last = _of_run(F.col("own"))
-    hit = hit.select(f["doc_id"], "field_ord", "field_name", f["field_value"].alias("text"), "page_num", "page_width", "page_height", "start_idx", own.alias("own"))
-    return hit.select("doc_id", "field_ord", "field_name", "text", joined.alias("matched_text"), b.alias("bbox"), "page_num", "page_width", "page_height", "start_idx", last.alias("end_idx"), F.size("own").alias("word_count"), F.lit(1.0).alias("confidence"), F.lit("exact").alias("match_type"))
+    return hit.select("doc_id", "field_ord", "field_name", F.col("value").alias("text"), joined.alias("matched_text"), b.alias("bbox"), "page_num", "page_width", "page_height", F.col("own")[0]["word_idx"].alias("start_idx"), last.alias("end_idx"), F.col("n").alias("word_count"), F.lit(1.0).alias("confidence"), F.lit("exact").alias("match_type"))
 
 
 _KEY = ["doc_id", "field_ord", "field_name"]
@@ -79,12 +108,25 @@ def top_matches(matches: DataFrame, k: int = 10) -> DataFrame:
     return matches.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
 
 
+def _greedy(matches: DataFrame, by: list[str], *more: str) -> DataFrame:
+    """``kept``: of each group's matches, from the left, those that start after the end of the last one kept."""
+    rows = matches.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct("start_idx", "end_idx", *more))).alias("all"))
+    kind = rows.schema["all"].dataType.simpleString()
+    none = F.struct(F.array().cast(kind).alias("kept"), F.lit(-1).alias("end"))
+    take = lambda acc, x: F.when(x["start_idx"] > acc["end"], F.struct(F.concat(acc["kept"], F.array(x)).alias("kept"), x["end_idx"].alias("end"))).otherwise(acc)
+    return rows.select(*by, F.aggregate("all", none, take, lambda acc: acc["kept"]).alias("kept"))
+
+
 def non_overlapping(matches: DataFrame) -> DataFrame:
     """Greedy from the left: a match is kept if it starts after the end of the last one kept. One row each: ``starts``."""
-    rows = matches.groupBy(*_KEY).agg(F.array_sort(F.collect_set(F.struct("start_idx", "end_idx"))).alias("all"))
-    none = F.struct(F.array().cast("array<int>").alias("kept"), F.lit(-1).alias("end"))
-    take = lambda acc, x: F.when(x["start_idx"] > acc["end"], F.struct(F.concat(acc["kept"], F.array(x["start_idx"])).alias("kept"), x["end_idx"].alias("end"))).otherwise(acc)
-    return rows.select(*_KEY, F.aggregate("all", none, take, lambda acc: acc["kept"]).alias("starts"))
+    return _greedy(matches, _KEY).select(*_KEY, F.col("kept.start_idx").alias("starts"))
+
+
+def without_overlaps(matches: DataFrame) -> DataFrame:
+    """Rows of matches that :func:`non_overlapping` keeps, each value of a field by itself."""
+    by = [*_KEY, "text"]
+    more = [c for c in matches.columns if c not in (*by, "start_idx", "end_idx")]
+    return _greedy(matches, by, *more).select(*by, F.explode("kept").alias("m")).select(*by, "m.*").select(matches.columns)
 
 
 def size_range(n: Column) -> tuple[Column, Column]:
@@ -92,47 +134,73 @@ def size_range(n: Column) -> tuple[Column, Column]:
     return F.greatest(F.lit(1), F.floor(n * 0.5).cast("int")), F.floor(n * 1.5).cast("int")
 
 
-def candidates(words: DataFrame, fields: DataFrame, max_size: int, normal=None, variants: dict[str, Column] | None = None) -> DataFrame:
-    """Fields joined to the windows of their document whose sizes are in range; normalised texts as ``a`` and ``b``.
+def candidates(words: DataFrame, fields: DataFrame, own: Column, variants: dict[str, Column], more: dict[str, Column] | None = None) -> DataFrame:
+    """Fields joined to the windows of their document whose sizes are in range, from the values' own lengths.
 
-    Texts are normalised before the join, once a window and not once a pair.
-    ``variants`` gives more columns of windows, for :func:`weighted`.
+    ``own`` is the text of a value that is compared (``a``) and ``variants``
+    are columns made of windows; both are made before the join, once a window
+    and not once a pair. ``more`` adds columns of fields.
     """
     n = F.size(F.filter(F.split("field_value", r"(?U)\s+"), lambda x: x != ""))
     low, high = size_range(n)
-    f = fields.where(F.trim("field_value") != "").select("doc_id", "field_ord", "field_name", "field_value", (normal or (lambda c: c))(F.col("field_value")).alias("a"), low.alias("low"), high.alias("high"))
-    win = windows(words, max_size=max_size).withColumns(variants or {"b": normal(F.col("text"))})
-    if not variants:
-        f, win = f.withColumn("a_letters", similarity.letters(F.col("a"))), win.withColumn("b_letters", similarity.letters(F.col("b")))
+    f = fields.where(F.trim("field_value") != "").select("doc_id", "field_ord", "field_name", "field_value", own.alias("a"), low.alias("low"), high.alias("high"), *(c.alias(k) for k, c in (more or {}).items()))
+    f = f.withColumn("a_letters", similarity.letters(F.col("a")))
+    sizes = f.groupBy("doc_id").agg(F.flatten(F.collect_set(F.sequence("low", "high"))).alias("sizes")).select("doc_id", F.array_distinct("sizes").alias("sizes"))
+    win = windows_of_sizes(words, sizes).withColumns(variants)
     hit = f.join(win, (f["doc_id"] == win["doc_id"]) & (win["size"] >= f["low"]) & (win["size"] <= f["high"]))
-    return hit.select(f["doc_id"], "field_ord", "field_name", f["field_value"].alias("text"), win["text"].alias("matched_text"), "bbox", "page_num", "page_width", "page_height", "start_idx", "end_idx", F.col("size").alias("word_count"), "a", *(variants or ("b", "a_letters", "b_letters")))
+    return hit.select(f["doc_id"], "field_ord", "field_name", f["field_value"].alias("text"), win["text"].alias("matched_text"), "bbox", "page_num", "page_width", "page_height", "start_idx", "end_idx", F.col("size").alias("word_count"), "a", "a_letters", *variants, *(more or {}))
 
 
-def fuzzy(words: DataFrame, fields: DataFrame, least: float = 80.0, scorer: str = "ratio", max_size: int = 4, normal=lambda c: text.match_text(c, compose=False)) -> DataFrame:
-    """Windows whose similarity to a value reaches ``least``. What can't reach it by its letters and length isn't scored."""
-    pairs = candidates(words, fields, max_size, normal).where(similarity.may_reach(scorer, *map(F.col, ("a", "b", "a_letters", "b_letters")), least))
+def _pairs(words: DataFrame, fields: DataFrame, normal) -> DataFrame:
+    b = normal(F.col("text"))
+    return candidates(words, fields, normal(F.col("field_value")), {"b": b, "b_letters": similarity.letters(b)})
+
+
+_SIDES = ("a", "b", "a_letters", "b_letters")
+
+
+def fuzzy(words: DataFrame, fields: DataFrame, least: float = 80.0, scorer="ratio", normal=text.match_text) -> DataFrame:
+    """Windows whose similarity to a value reaches ``least``. What can't reach it by its letters and length isn't scored.
+
+    ``scorer`` is a name or a function of two texts that gives 0 to 100; nothing is known of a function, so it scores every window.
+    """
+    pairs = _pairs(words, fields, normal)
+    if not callable(scorer):
+        pairs = pairs.where(similarity.may_reach(scorer, *map(F.col, _SIDES), least))
     scored = pairs.withColumn("score", similarity.score(scorer, F.col("a"), F.col("b"), least)).where(F.col("score") >= least)
-    return scored.withColumn("confidence", F.col("score") / 100).withColumn("match_type", F.lit("fuzzy")).drop("a", "b", "a_letters", "b_letters", "score")
+    return scored.withColumn("confidence", F.col("score") / 100).withColumn("match_type", F.lit("fuzzy")).drop(*_SIDES, "score")
 
 
-def fuzzy_any(words: DataFrame, fields: DataFrame, least: float = 80.0, k: int = 5, **options) -> DataFrame:
-    """Union of four scorers' best ``k``; of rows with one box and page the first scorer's is kept."""
-    out = None
-    for n, scorer in enumerate(("ratio", "partial_ratio", "token_sort_ratio", "token_set_ratio")):
-        one = top_matches(fuzzy(words, fields, least, scorer, **options), k).withColumn("strategy", F.lit(n))
-        out = one if out is None else out.unionByName(one)
+def all_matches(words: DataFrame, fields: DataFrame, least: float = 80.0, normal=text.match_text, contiguous: bool = False) -> DataFrame:
+    """All exact matches of a field, or if there are none all its fuzzy ones, best first by ``rank``."""
+    sure = exact(words, fields, normal, contiguous)
+    rest = fields.join(sure.select(*_KEY).distinct(), _KEY, "left_anti")
+    out = sure.unionByName(fuzzy(words, rest, least, normal=normal).select(sure.columns))
+    by = Window.partitionBy(*_KEY).orderBy(F.desc("confidence"), "word_count", "start_idx")
+    return out.withColumn("rank", F.row_number().over(by))
+
+
+def fuzzy_any(words: DataFrame, fields: DataFrame, least: float = 80.0, k: int = 5, normal=text.match_text) -> DataFrame:
+    """Union of four scorers' best ``k``; of rows with one box and page the first scorer's is kept. Windows are made and scored once."""
+    pairs = _pairs(words, fields, normal)
+    can = [similarity.may_reach(name, *map(F.col, _SIDES), least) for name in similarity.FOUR]
+    pairs = pairs.withColumn("can", F.array(*can)).where(F.array_contains("can", True))
+    scored = pairs.select("*", F.posexplode(similarity.scores(F.col("a"), F.col("b"), F.col("can"), least)).alias("strategy", "score")).where(F.col("score") >= least)
+    scored = scored.withColumn("confidence", F.col("score") / 100).withColumn("match_type", F.lit("fuzzy")).drop(*_SIDES, "score", "can")
+    of_one = Window.partitionBy(*_KEY, "strategy").orderBy(F.desc("confidence"), "word_count", "start_idx")
+    best = scored.withColumn("rank", F.row_number().over(of_one)).where(F.col("rank") <= k)
     by = Window.partitionBy(*_KEY, "page_num", "bbox").orderBy("strategy", "rank")
-    return out.withColumn("n", F.row_number().over(by)).where("n = 1").drop("n", "rank")
+    return best.withColumn("n", F.row_number().over(by)).where("n = 1").drop("n", "rank")
 
 
-def auto(words: DataFrame, fields: DataFrame, least: float = 80.0, max_size: int = 4, **options) -> DataFrame:
+def auto(words: DataFrame, fields: DataFrame, least: float = 80.0, normal=text.match_text, contiguous: bool = False) -> DataFrame:
     """The exact match of a field, else its best fuzzy one; only fields without an exact match are scored."""
-    sure = first_match(exact(words, fields, max_size, **options))
+    sure = first_match(exact(words, fields, normal, contiguous))
     rest = fields.join(sure.select(*_KEY), _KEY, "left_anti")
-    return sure.unionByName(first_match(fuzzy(words, rest, least, max_size=max_size, **options)).select(sure.columns))
+    return sure.unionByName(first_match(fuzzy(words, rest, least, normal=normal)).select(sure.columns))
 
 
-def weighted(words: DataFrame, fields: DataFrame, least: float = 80.0, max_size: int = 4, keep_empty: bool = True) -> DataFrame:
+def weighted(words: DataFrame, fields: DataFrame, least: float = 80.0, keep_empty: bool = True) -> DataFrame:
     """The best window of each field by the typed comparison and four weighted scores.
 
     Equal normalised texts have confidence 1 and aren't scored. With
@@ -140,21 +208,19 @@ def weighted(words: DataFrame, fields: DataFrame, least: float = 80.0, max_size:
     Types: exact from 98, fuzzy from ``least``.
     """
     kind, t = text.field_type(F.col("field_name")), F.col("text")
-    pairs = candidates(words, fields, max_size, variants={"b_text": text.weighted_text(t), "b_number": text.weighted_text(text.number_text(t)), "b_ruc": text.tax_id(t), "b_date": text.date_text(t)})
-    own = fields.select(*_KEY, text.by_field_type(F.col("field_value"), kind).alias("own"))
-    own = own.withColumn("a_letters", similarity.letters(F.col("own")))
-    pairs = pairs.drop("a").join(own, _KEY).withColumnRenamed("own", "a").withColumn("kind", kind)
-    pairs = pairs.withColumn("b", F.when(F.col("kind") == "ruc", F.col("b_ruc")).when(F.col("kind") == "date", F.col("b_date")).when(F.col("kind") == "number", F.col("b_number")).otherwise(F.col("b_text"))).drop("b_text", "b_number", "b_ruc", "b_date")
+    variants = {"b_text": text.weighted_text(t), "b_number": text.weighted_text(text.number_text(t)), "b_ruc": text.tax_id(t), "b_date": text.date_text(t)}
+    pairs = candidates(words, fields, text.by_field_type(F.col("field_value"), kind), variants, {"kind": kind})
+    pairs = pairs.withColumn("b", F.when(F.col("kind") == "ruc", F.col("b_ruc")).when(F.col("kind") == "date", F.col("b_date")).when(F.col("kind") == "number", F.col("b_number")).otherwise(F.col("b_text"))).drop(*variants)
     same = F.col("a") == F.col("b")
     if not keep_empty:
         same = same & (F.col("a") != "")
     equal = pairs.where(same).withColumn("score", F.lit(100.0))
     rest = pairs.where(~same & (F.col("a") != "") & (F.col("b") != "")).withColumn("b_letters", similarity.letters(F.col("b")))
-    rest = rest.where(similarity.may_reach("weighted", *map(F.col, ("a", "b", "a_letters", "b_letters")), least)).drop("b_letters")
+    rest = rest.where(similarity.may_reach("weighted", *map(F.col, _SIDES), least)).drop("b_letters")
     rest = rest.withColumn("score", similarity.score("weighted", F.col("a"), F.col("b"), least)).where(F.col("score") >= least)
     both = equal.unionByName(rest).withColumn("confidence", F.col("score") / 100)
     both = both.withColumn("match_type", F.when(F.col("score") >= 98, "exact").otherwise("fuzzy"))
-    return first_match(both.drop("a", "b", "a_letters", "score"))
+    return first_match(both.drop("a", "a_letters", "b", "score", "kind"))
 
 
 def merge_adjacent(matches: DataFrame, dy: float = 5.0, dx: float = 10.0) -> DataFrame:
@@ -174,9 +240,9 @@ def merge_adjacent(matches: DataFrame, dy: float = 5.0, dx: float = 10.0) -> Dat
 
 
 def by_lines(words: DataFrame, fields: DataFrame, **options) -> DataFrame:
-    """Each line of a value is looked for by itself; the hits are merged."""
+    """Each line of a value is looked for by itself, without overlaps; the hits are merged."""
     rows = fields.select("doc_id", "field_ord", "field_name", F.explode(text.lines(F.col("field_value"))).alias("field_value"))
-    return merge_adjacent(exact(words, rows, **options))
+    return merge_adjacent(without_overlaps(exact(words, rows, **options)))
 
 
 def lowest_page(matches: DataFrame) -> DataFrame:
@@ -185,13 +251,18 @@ def lowest_page(matches: DataFrame) -> DataFrame:
     return matches.withColumn("rank", F.row_number().over(by)).where("rank = 1").drop("rank")
 
 
-def routed(words: DataFrame, fields: DataFrame, strategy: str = "auto", multiline: bool = True, **options) -> DataFrame:
-    """Values with line breaks go by lines first; the others, and those without a hit, by the strategy."""
-    plans = {"exact": lambda f: first_match(exact(words, f)), "fuzzy": lambda f: first_match(fuzzy(words, f, **options)), "auto": lambda f: auto(words, f, **options)}
+def routed(words: DataFrame, fields: DataFrame, strategy: str = "auto", multiline: bool = True, least: float = 80.0, contiguous: bool = False) -> DataFrame:
+    """Values with line breaks go by lines first; the others, and those without a hit, by the strategy.
+
+    Strategies: ``exact``, ``fuzzy``, ``auto``, and ``multiline``, by which every value goes by lines and by nothing else.
+    """
+    plans = {"exact": lambda f: first_match(exact(words, f, contiguous=contiguous)), "fuzzy": lambda f: first_match(fuzzy(words, f, least)), "auto": lambda f: auto(words, f, least, contiguous=contiguous)}
     cols = ["doc_id", "field_ord", "field_name", "matched_text", "bbox", "page_num", "confidence", "match_type"]
-    if not multiline:
+    if not multiline and strategy != "multiline":
         return plans[strategy](fields).select(cols)
-    many = fields.where(F.col("field_value").rlike(r"[\r\n]"))
+    many = fields if strategy == "multiline" else fields.where(F.col("field_value").rlike(r"[\r\n]"))
     by = Window.partitionBy(*_KEY).orderBy(F.desc("n_merged"), "page_num", "island")
-    found = by_lines(words, many).withColumn("rank", F.row_number().over(by)).where("rank = 1").select(cols)
+    found = by_lines(words, many, contiguous=contiguous).withColumn("rank", F.row_number().over(by)).where("rank = 1").select(cols)
+    if strategy == "multiline":
+        return found
     return found.unionByName(plans[strategy](fields.join(found.select(*_KEY), _KEY, "left_anti")).select(cols))

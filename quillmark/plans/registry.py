@@ -46,7 +46,7 @@ def cut_words(c: str = "text"):
     return F.filter(F.split(F.col(c), documents.BLANKS), lambda w: w != "")
 
 
-FIELD_NAMES = ["tipo", "nombre", "emisor_ruc", "lang", "source", "ausente"]
+FIELD_NAMES = ["tipo", "nombre", "emisor_ruc", "lang", "source", "ausente", "direccion"]
 
 
 def field_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def field_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = lambda a, n: F.when(F.size(w) >= a + n, F.array_join(F.slice(w, a + 1, n), " "))
     name = run(10, 3)
     rows = table(spark, sf_dir, "documents")
-    return rows.select("doc_id", run(3, 2).alias("tipo"), F.concat(F.substring(name, 1, 1), F.substring(name, 3, 1 << 30)).alias("nombre"), F.format_string("20-%d-7", "doc_id").alias("emisor_ruc"), "lang", "source", F.lit("zzzz qqqq").alias("ausente"))
+    return rows.select("doc_id", run(3, 2).alias("tipo"), F.concat(F.substring(name, 1, 1), F.substring(name, 3, 1 << 30)).alias("nombre"), F.format_string("20-%d-7", "doc_id").alias("emisor_ruc"), "lang", "source", F.lit("zzzz qqqq").alias("ausente"), run(20, 9).alias("direccion"))
 
 
 def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +63,7 @@ def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return match.first_match(match.exact(words(spark, sf_dir), fields(spark, sf_dir)))
+    return match.first_match(match.exact(words(spark, sf_dir), fields(spark, sf_dir), contiguous=True))
 
 
 def flat(df: DataFrame, *keep: str, box: str = "bbox") -> DataFrame:
@@ -78,20 +78,21 @@ w1 AS (SELECT *, (word_idx // 400)::INT AS page_num, ((word_idx % 400) // 8)::IN
 words AS (SELECT *, 36 + word_no * 67.5::DOUBLE AS x0, 36 + line_no * 14.4::DOUBLE AS y0, 36 + word_no * 67.5::DOUBLE + least(60.0::DOUBLE, 7.5::DOUBLE * length(text)) AS x1, 36 + line_no * 14.4::DOUBLE + 10 AS y1 FROM w1)
 """
 FIELDS = r"""
-fc AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN w[4] || ' ' || w[5] END AS tipo, CASE WHEN len(w) >= 13 THEN w[11] || ' ' || w[12] || ' ' || w[13] END AS n3, lang, source FROM ws),
+fc AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN w[4] || ' ' || w[5] END AS tipo, CASE WHEN len(w) >= 13 THEN w[11] || ' ' || w[12] || ' ' || w[13] END AS n3, lang, source, CASE WHEN len(w) >= 29 THEN array_to_string(w[21:29], ' ') END AS n9 FROM ws),
 fields AS (
   SELECT doc_id, 0 AS field_ord, 'tipo' AS field_name, coalesce(tipo, '') AS field_value FROM fc
   UNION ALL SELECT doc_id, 1, 'nombre', coalesce(substr(n3, 1, 1) || substr(n3, 3), '') FROM fc
   UNION ALL SELECT doc_id, 2, 'emisor_ruc', '20-' || doc_id || '-7' FROM fc
   UNION ALL SELECT doc_id, 3, 'lang', coalesce(lang, '') FROM fc
   UNION ALL SELECT doc_id, 4, 'source', coalesce(source, '') FROM fc
-  UNION ALL SELECT doc_id, 5, 'ausente', 'zzzz qqqq' FROM fc)
+  UNION ALL SELECT doc_id, 5, 'ausente', 'zzzz qqqq' FROM fc
+  UNION ALL SELECT doc_id, 6, 'direccion', coalesce(n9, '') FROM fc)
 """
 EXACT = r"""
 nw AS (SELECT *, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS norm FROM words),
 pg AS (SELECT doc_id, page_num, list(norm ORDER BY word_idx) AS l, list(word_idx ORDER BY word_idx) AS idx FROM nw WHERE norm <> '' GROUP BY ALL),
 ft AS (SELECT *, list_filter(string_split(trim(regexp_replace(lower(field_value), '\s+', ' ', 'g')), ' '), lambda x: x <> '') AS toks FROM fields WHERE trim(field_value) <> ''),
-hit AS (SELECT doc_id, field_ord, field_name, field_value, page_num, idx, len(toks) AS n, unnest(list_filter(range(1, len(l) + 1), lambda i: l[i:i + len(toks) - 1] = toks)) AS i FROM ft JOIN pg USING (doc_id) WHERE len(toks) BETWEEN 1 AND 4),
+hit AS (SELECT doc_id, field_ord, field_name, field_value, page_num, idx, len(toks) AS n, unnest(list_filter(range(1, len(l) + 1), lambda i: l[i:i + len(toks) - 1] = toks)) AS i FROM ft JOIN pg USING (doc_id) WHERE len(toks) >= 1),
 exact0 AS (SELECT doc_id, field_ord, field_name, field_value, page_num, idx[i] AS start_idx, idx[i + n - 1] AS end_idx, n AS word_count FROM hit),
 exact AS (SELECT e.doc_id, field_ord, field_name, field_value, e.page_num, start_idx, end_idx, word_count, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, string_agg(text, ' ' ORDER BY word_idx) AS matched_text FROM exact0 e JOIN words w ON w.doc_id = e.doc_id AND w.word_idx BETWEEN start_idx AND end_idx GROUP BY ALL),
 best AS (SELECT * FROM exact QUALIFY row_number() OVER (PARTITION BY doc_id, field_ord ORDER BY word_count, start_idx) = 1)
@@ -424,7 +425,7 @@ _HIT_SQL = "doc_id, field_ord, page_num, start_idx, end_idx, word_count::INT AS
 
 @query(m_sql(f"SELECT {_HIT_SQL} FROM exact"))
 def exact_all(spark, sf_dir):
-    return flat(match.exact(words(spark, sf_dir), fields(spark, sf_dir)), *_HIT)
+    return flat(match.exact(words(spark, sf_dir), fields(spark, sf_dir), contiguous=True), *_HIT)
 
 
 @query(m_sql(f"SELECT {_HIT_SQL} FROM best"))
@@ -442,13 +443,13 @@ def _repeats(spark, sf_dir) -> DataFrame:
 s AS (SELECT doc_id, field_ord, list(start_idx ORDER BY start_idx) AS l FROM exact GROUP BY ALL)
 SELECT doc_id, field_ord, list_reduce(list_prepend(NULL::INT[], list_transform(l, lambda x: [x::INT])), lambda a, x: CASE WHEN a IS NULL THEN x WHEN x[1] > a[-1] + 1 THEN list_concat(a, x) ELSE a END) AS starts FROM s"""))
 def exact_nonoverlap(spark, sf_dir):
-    found = match.exact(words(spark, sf_dir), _repeats(spark, sf_dir))
+    found = match.exact(words(spark, sf_dir), _repeats(spark, sf_dir), contiguous=True)
     return match.non_overlapping(found).select("doc_id", "field_ord", "starts")
 
 
 @query(m_sql(f"SELECT {_HIT_SQL} FROM exact QUALIFY row_number() OVER (PARTITION BY doc_id, field_ord ORDER BY page_num, word_count, start_idx) = 1"))
 def first_page_wins(spark, sf_dir):
-    return flat(match.lowest_page(match.exact(words(spark, sf_dir), fields(spark, sf_dir))), *_HIT)
+    return flat(match.lowest_page(match.exact(words(spark, sf_dir), fields(spark, sf_dir), contiguous=True)), *_HIT)
 
 
 @query()
@@ -469,7 +470,7 @@ def fuzzy_multi(spark, sf_dir):
 
 @query()
 def auto_best(spark, sf_dir):
-    return flat(match.auto(words(spark, sf_dir), fields(spark, sf_dir)), *_HIT, "confidence", "match_type")
+    return flat(match.auto(words(spark, sf_dir), fields(spark, sf_dir), contiguous=True), *_HIT, "confidence", "match_type")
 
 
 @query()
@@ -485,13 +486,13 @@ def _two_lines(spark, sf_dir) -> DataFrame:
 
 @query()
 def phrase_lines(spark, sf_dir):
-    return flat(match.by_lines(words(spark, sf_dir), _two_lines(spark, sf_dir)), "doc_id", "field_ord", "page_num", "island", "matched_text", "confidence", "n_merged", "match_type")
+    return flat(match.by_lines(words(spark, sf_dir), _two_lines(spark, sf_dir), contiguous=True), "doc_id", "field_ord", "page_num", "island", "matched_text", "confidence", "n_merged", "match_type")
 
 
 @query()
 def routed_matches(spark, sf_dir):
     both = fields(spark, sf_dir).unionByName(_two_lines(spark, sf_dir).withColumn("field_ord", F.lit(6)))
-    return flat(match.routed(words(spark, sf_dir), both, "auto"), "doc_id", "field_ord", "page_num", "matched_text", "confidence", "match_type")
+    return flat(match.routed(words(spark, sf_dir), both, "auto", contiguous=True), "doc_id", "field_ord", "page_num", "matched_text", "confidence", "match_type")
 
 
 @query(w_sql("""
