@@ -23,7 +23,6 @@ from .common import small_batches
 
 BATCH_BYTES = 16 << 20
 PART_BYTES = 8 << 20
-MAX_PARTS = 20_000
 
 
 def released(work):
@@ -45,7 +44,7 @@ def total_bytes(docs: DataFrame) -> int:
 
 
 def parts_for(total: int, part_bytes: int) -> int:
-    return max(1, min(MAX_PARTS, -(-total // part_bytes)))
+    return max(1, -(-total // part_bytes))
 
 
 def free_name(docs: DataFrame, name: str = "_batch") -> str:

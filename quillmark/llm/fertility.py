@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import base64
+import json
+import math
 import re
 from dataclasses import dataclass, field
 
@@ -25,21 +28,40 @@ class Band:
 
 @dataclass(frozen=True)
 class Bands:
-    """``by_lang`` goes first, then ``by_script`` of most letters. Texts with fewer than ``min_tokens`` tokens aren't measured: too few to tell."""
+    """``by_lang`` goes first, in any case of letters, then ``by_script`` of most letters.
+
+    Means over few tokens vary more: below ``full`` tokens a band is wider by
+    ``spread`` (in characters a token) and ``byte_spread`` times the growth of a
+    mean's deviation, and the entropy asked for is at most ``fill`` of what so
+    many tokens can have.
+    """
 
     by_lang: dict[str, Band] = field(default_factory=dict)
     by_script: dict[str, Band] = field(default_factory=dict)
-    min_tokens: int = 128
+    full: int = 128
+    spread: float = 9.0
+    byte_spread: float = 1.5
+    fill: float = 0.8
 
     def of(self, lang: str | None, script: str) -> Band | None:
-        return self.by_lang.get(lang or "") or self.by_script.get(script)
+        return self.by_lang.get((lang or "").lower()) or self.by_script.get(script)
 
+    def keeps(self, lang: str | None, script: str, tokens: int, chars: float, byte_share: float, entropy: float) -> bool:
+        """Whether a text's measures lie in its band; true without a band."""
+        band = self.of(lang, script)
+        if not band or not tokens:
+            return True
+        more = max(0.0, tokens**-0.5 - self.full**-0.5)
+        low, high = band.chars_per_token
+        enough = min(band.min_entropy, self.fill * math.log2(tokens))
+        return low - self.spread * more <= chars <= high + self.spread * more and byte_share <= band.max_byte_share + self.byte_spread * more and entropy >= enough
 
+
+BY_SCRIPT = {"latin": Band((1.9, 6.0)), "cyrillic": Band((1.5, 5.0)), "greek": Band((0.9, 4.0)), "han": Band((0.35, 2.5), 0.9), "kana": Band((0.5, 2.5), 0.7), "hangul": Band((0.3, 2.5), 0.9), "arabic": Band((0.7, 4.0), 0.5), "other": Band((0.2, 8.0), 1.0)}
 #: For piece_bpe_32k.model; from the one-per-cent points of labelled good texts.
-BANDS = Bands(
-    by_lang={"en": Band((2.42, 5.5)), "de": Band((2.40, 5.5)), "es": Band((2.13, 5.5)), "fr": Band((2.19, 5.5))},
-    by_script={"latin": Band((1.9, 6.0)), "cyrillic": Band((1.5, 5.0)), "greek": Band((0.9, 4.0)), "han": Band((0.35, 2.5), 0.9), "kana": Band((0.5, 2.5), 0.7), "hangul": Band((0.3, 2.5), 0.9), "arabic": Band((0.7, 4.0), 0.5), "other": Band((0.2, 8.0), 1.0)},
-)
+BANDS = Bands(by_lang={"en": Band((2.42, 5.5)), "de": Band((2.40, 5.5)), "es": Band((2.13, 5.5)), "fr": Band((2.19, 5.5))}, by_script=BY_SCRIPT)
+#: For byte_bpe_multi_50k.tiktoken, in the same way.
+MULTI_BANDS = Bands(by_lang={"en": Band((2.45, 5.5)), "de": Band((2.50, 5.5)), "es": Band((2.25, 5.5)), "fr": Band((2.20, 5.5))}, by_script=BY_SCRIPT)
 
 #: First and last code points of the scripts told apart.
 SCRIPTS = {
@@ -95,8 +117,23 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     return len(parts), len(text) - spaces, len(raw) - len(raw.translate(None, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(parts)
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters that byte-level vocabularies write bytes as: printable Latin-1 as itself, the rest in order from U+0100."""
+    plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
+    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
+
+
+def _broken(piece: bytes) -> bool:
+    """Whether bytes are no whole characters, so that a token of them falls back to bytes."""
+    try:
+        piece.decode()
+    except UnicodeDecodeError:
+        return True
+    return False
+
+
 class Vocabulary:
-    """Token numbers of texts and which of them are single bytes, for the public vocabulary kinds."""
+    """Token numbers of texts, and which tokens fall back to bytes: byte pieces, parts of characters, unknown ones. For .model, .json and .tiktoken files."""
 
     def __init__(self, path: str):
         if path.endswith(".model"):
@@ -104,17 +141,32 @@ class Vocabulary:
 
             sp = sentencepiece.SentencePieceProcessor(model_file=path)
             self.encode = lambda texts: sp.encode(texts, num_threads=1)
-            single = [sp.is_byte(i) for i in range(sp.get_piece_size())]
+            single = [sp.is_byte(i) or sp.is_unknown(i) for i in range(sp.get_piece_size())]
+        elif path.endswith(".tiktoken"):
+            import public_tokenizers
+            import tiktoken
+
+            with open(path, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            coder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.encode = lambda texts: [coder.encode_ordinary(x) for x in texts]
+            single = [False] * (max(ranks.values()) + 1)
+            for piece, i in ranks.items():
+                single[i] = _broken(piece)
         else:
             from tokenizers import Tokenizer
 
             t = Tokenizer.from_file(path)
             t.encode_special_tokens = True
             self.encode = lambda texts: [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
-            vocab = t.get_vocab()
+            vocab, letters, about = t.get_vocab(), byte_letters(), json.loads(t.to_str())
+            unknown = about["model"].get("unk_token")
+            byte_level = "ByteLevel" in json.dumps([about.get("pre_tokenizer"), about.get("decoder")])
+            end = about["model"].get("end_of_word_suffix") or ""
             single = [False] * (max(vocab.values()) + 1)
-            for piece, i in vocab.items():  # a lone byte of a longer character is written as one letter beyond ASCII
-                single[i] = len(piece) == 1 and ord(piece) > 0x7E
+            for piece, i in vocab.items():
+                core = piece.removesuffix(end) if end else piece
+                single[i] = piece == unknown or byte_level and all(c in letters for c in core) and _broken(bytes(letters[c] for c in core))
         self.single = np.array(single)
 
     def measures(self, texts: list[str]) -> list[tuple[int, float, float, float]]:
@@ -173,10 +225,8 @@ def fertility_rule(docs: DataFrame, vocabularies: dict[str, str], bands: dict[st
                     for name, m in zip(names, measured, strict=True):
                         n, chars, byte_share, entropy = m[k]
                         more += m[k]
-                        band = bands[name].of(langs[at + k], script) if name in bands else None
-                        if kept and band and n >= bands[name].min_tokens:
-                            low, high = band.chars_per_token
-                            kept = low <= chars <= high and byte_share <= band.max_byte_share and entropy >= band.min_entropy
+                        if kept and name in bands:
+                            kept = bands[name].keeps(langs[at + k], script, n, chars, byte_share, entropy)
                     rows.append((ids[at + k], *base, failed, kept, script, *more))
             return list(zip(*rows, strict=True))
 

@@ -27,11 +27,15 @@ class Pieces:
         return not any(inner.search(p) for p in self.scores)
 
 
-def default_model() -> str:
-    """The vocabulary file of the registered queries; operators take the path as a parameter."""
+def default_path(name: str) -> str:
+    """A public vocabulary file for the registered queries; operators take paths as parameters."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("piece_bpe_32k.model"))
+    return str(public_tokenizers.path(name))
+
+
+def default_model() -> str:
+    return default_path("piece_bpe_32k.model")
 
 
 def load(model_file: str) -> Pieces:

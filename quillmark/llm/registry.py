@@ -12,7 +12,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertility.fertility_rule(table(spark, sf_dir, "documents"), {"piece": piece_model.default_model()}, {"piece": fertility.BANDS})
+    files = {"piece": piece_model.default_model(), "multi": piece_model.default_path("byte_bpe_multi_50k.tiktoken")}
+    return fertility.fertility_rule(table(spark, sf_dir, "documents"), files, {"piece": fertility.BANDS, "multi": fertility.MULTI_BANDS})
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,10 +14,8 @@ from .common import drop_table, map_rows, materialise
 from .components import components, merge
 
 BYTES, BLOCKS = 8, 4
-#: Fingerprints of one posting list that are compared pair by pair; longer lists are probed by bit masks.
-DIRECT = 2048
 #: Fingerprints of one posting list beyond which it is split by further byte positions.
-LONG_LIST = 50_000
+LONG_LIST = 2048
 _ROWS = 1 << 15
 
 
@@ -46,49 +44,39 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
     return map_rows(rows, ["doc_id", "text", "text_hash"], lambda: lambda ids, texts, hashes: (ids, hashes, [fingerprint(t, shingle, seed) for t in texts]), "doc_id long, text_hash long, fp long")
 
 
-def local_classes(fps: np.ndarray, max_bits: int, free_bits: np.ndarray, direct: int = DIRECT) -> np.ndarray:
+def local_classes(fps: np.ndarray, max_bits: int) -> np.ndarray:
     """Roots of a sorted posting list of distinct fingerprints (uint64), linked at ``max_bits`` or fewer differing bits.
 
     Pairs are tallied for equal bytes at the same position; those reaching
-    ``8 - max_bits`` are verified. A long list is probed instead with each
-    pattern of up to ``max_bits`` of ``free_bits``, the bits outside the shared
-    positions: no other pattern can tell two of its members apart.
+    ``8 - max_bits`` are verified.
     """
     n = len(fps)
     roots = np.arange(n)
-    if n <= direct:
-        for at in range(0, n, 256):
-            differ = fps[at : at + 256, None] ^ fps[None, :]
-            tally = (differ[..., None].view(np.uint8) == 0).sum(axis=-1)
-            i, j = np.nonzero(tally >= BYTES - max_bits)
-            ok = (np.bitwise_count(differ[i, j]) <= max_bits) & (i + at < j)
-            merge(roots, i[ok] + at, j[ok])
-        return roots
-    for k in range(1, max_bits + 1):
-        for bits in combinations(free_bits.tolist(), k):
-            other = fps ^ np.uint64(sum(1 << b for b in bits))
-            place = np.minimum(np.searchsorted(fps, other), n - 1)
-            hit = np.flatnonzero((fps[place] == other) & (place > np.arange(n)))
-            if len(hit):
-                merge(roots, hit, place[hit])
+    high = max(1, min(256, (1 << 19) // max(1, n)))
+    for at in range(0, n, high):
+        differ = fps[at : at + high, None] ^ fps[None, at:]
+        tally = (differ[..., None].view(np.uint8) == 0).sum(axis=-1, dtype=np.uint8)
+        i, j = np.nonzero(tally >= BYTES - max_bits)
+        ok = (np.bitwise_count(differ[i, j]) <= max_bits) & (i < j)
+        merge(roots, i[ok] + at, j[ok] + at)
     return roots
 
 
-def _links_of_lists(lists: DataFrame, max_bits: int, direct: int) -> DataFrame:
-    """From posting lists ``fps array<long>, free long`` (mask of bits that may differ): edges ``a, b`` of a star for each class."""
+def _links_of_lists(lists: DataFrame, max_bits: int) -> DataFrame:
+    """From posting lists ``fps array<long>``: edges ``a, b`` of a star for each class."""
 
     def run(batches):
         for batch in batches:
             column, a, b = batch.column(0), [], []
             values, offsets = column.values.to_numpy(zero_copy_only=False).view(np.uint64), column.offsets.to_numpy()
-            for k, free in enumerate(batch.column(1).to_pylist()):
+            for k in range(len(column)):
                 fps = np.sort(values[offsets[k] : offsets[k + 1]])
                 if len(fps) == 2:
                     if int(np.bitwise_count(fps[0] ^ fps[1])) <= max_bits:
                         a.append(fps[1:])
                         b.append(fps[:1])
                     continue
-                roots = local_classes(fps, max_bits, np.flatnonzero([free >> i & 1 for i in range(64)]), direct)
+                roots = local_classes(fps, max_bits)
                 moved = np.flatnonzero(roots != np.arange(len(fps)))
                 a.append(fps[moved])
                 b.append(fps[roots[moved]])
@@ -106,27 +94,26 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def links(distinct_fps: DataFrame, max_bits: int = 2, direct: int = DIRECT, long_list: int = LONG_LIST) -> DataFrame:
+def links(distinct_fps: DataFrame, max_bits: int = 2, long_list: int = LONG_LIST) -> DataFrame:
     """Edges ``a, b`` that connect all fingerprints at ``max_bits`` (1 to 3) or fewer differing bits.
 
     ``max_bits`` differing bits spoil as many byte positions at most, so two
     such fingerprints share bytes at ``8 - max_bits`` positions or more. Taken
     in four blocks of two positions, ``4 - max_bits`` whole blocks stay equal:
     the postings of the index are all combinations of so many blocks. Posting
-    lists longer than ``long_list`` are split by pairs of the other positions,
-    of which all but ``max_bits`` must be equal too. Each list gives a star for
-    each of its classes, never its pairs.
+    lists longer than ``long_list`` are split by the other positions, of which
+    all but ``max_bits`` must be equal too; with two bits 16 bits are then free,
+    so that a list has 65,536 members at most. Each list gives a star for each
+    of its classes, never its pairs.
     """
     if not 1 <= max_bits <= 3:
         raise ValueError("the index can guarantee matches for 1 to 3 bits")
-    whole = (1 << 64) - 1
     masks = [_mask(c, 16) for c in combinations(range(BLOCKS), BLOCKS - max_bits)]
     postings = distinct_fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("index", "key"))
-    free = F.element_at(F.array(*[F.lit(_signed(whole ^ m)) for m in masks]), F.col("index") + 1)
     size = postings.groupBy("index", "key").count().where("count > 1")
-    found = postings.join(size, ["index", "key"]).withColumn("free", free)
-    short = found.where(F.col("count") <= long_list).groupBy("index", "key", "free").agg(F.collect_list("fp").alias("fps"))
-    out = _links_of_lists(short.select("fps", "free"), max_bits, direct)
+    found = postings.join(size, ["index", "key"])
+    short = found.where(F.col("count") <= long_list).groupBy("index", "key").agg(F.collect_list("fp").alias("fps"))
+    out = _links_of_lists(short.select("fps"), max_bits)
 
     # the bytes that are left of a long list, in all ways in which max_bits of them may differ
     finer = [(i, _mask(set(range(BYTES)) - set(c), 8)) for i, m in enumerate(masks) for c in combinations([b for b in range(BYTES) if not m >> 8 * b & 1], max_bits)]
@@ -138,14 +125,14 @@ def links(distinct_fps: DataFrame, max_bits: int = 2, direct: int = DIRECT, long
         .select("fp", "index", F.col("x.m").alias("mask"), F.col("fp").bitwiseAND(F.col("x.m")).alias("key"))
     )
     split = split.groupBy("index", "mask", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    return out.unionByName(_links_of_lists(split.select("fps", F.bitwise_not("mask").alias("free")), max_bits, direct))
+    return out.unionByName(_links_of_lists(split.select("fps"), max_bits))
 
 
-def _classified(docs: DataFrame, max_bits: int = 2, shingle: int = 3, seed: int = 42, direct: int = DIRECT, long_list: int = LONG_LIST) -> DataFrame:
+def _classified(docs: DataFrame, max_bits: int = 2, shingle: int = 3, seed: int = 42, long_list: int = LONG_LIST) -> DataFrame:
     """Per row: ``doc_id, text_hash, fp, component_id``."""
     prints = materialise(fingerprints(docs, shingle, seed), "fingerprints")
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    edges = materialise(links(first.select("fp"), max_bits, direct, long_list), "links")
+    edges = materialise(links(first.select("fp"), max_bits, long_list), "links")
     roots = components(edges).withColumnsRenamed({"node": "fp"})
     classes = first.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -162,7 +149,7 @@ def near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
     any other. Null doc_ids get the least other id reachable, or null. Repeated
     rows come back each. Equal fingerprints are taken together before anything
     is joined, so a group of copies costs one row in the index. Parameters:
-    ``max_bits`` 2, ``shingle`` 3, ``seed`` 42, ``direct``, ``long_list``.
+    ``max_bits`` 2, ``shingle`` 3, ``seed`` 42, ``long_list``.
     """
     return _classified(docs, **parameters).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -25,9 +26,19 @@ _ALNUM = b"0123456789abcdefghijklmnopqrstuvwxyz"
 _TO_WORDS = bytes(b if b >= 0x80 or b in _ALNUM else 0x20 for b in range(256))
 
 
+#: Ranges of scripts that put no spaces between words, and of punctuation beyond ASCII.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_MARKS = re.compile("[\u00a0-\u00bf\u2000-\u206f\u3000-\u303f\uff00-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+
+
 def tokens(text: str | None) -> list[bytes]:
-    """Lower-cased runs of ASCII letters, digits and non-ASCII characters."""
-    return text.lower().encode().translate(_TO_WORDS).split() if text else []
+    """Lower-cased runs of letters and digits; each character by itself in scripts without spaces."""
+    if not text:
+        return []
+    text = text.lower()
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \g<0> ", _MARKS.sub(" ", text))
+    return text.encode().translate(_TO_WORDS).split()
 
 
 @dataclass(frozen=True)
@@ -150,9 +161,10 @@ class Index:
         return int(at[i]), int(at[j]) + 1, j - i + 1
 
 
-def _blocks(benchmark: DataFrame, rule: Rule, block_bytes: int) -> Iterator[Index]:
-    """Indexes of the benchmark, a block of bounded size at a time. Rows without an id are left out, as nothing could name them."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
+def _blocks(benchmark: DataFrame, rule: Rule, block_bytes: int, named: bool) -> Iterator[Index]:
+    """Indexes of the benchmark, a block of bounded size at a time. If overlaps are to be ``named``, rows without an id are left out; else equal texts are taken once."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id") if named else F.lit(0).cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = items.where("item_id is not null") if named else items.distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
     for k in range(n):
@@ -167,7 +179,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), block_b
     """Every verified overlap: ``doc_id, item_id, doc_start, item_start, n_tokens, n_equal``.
 
     One row for each document, item and alignment: the longest stretch of
-    aligned tokens that satisfies ``rule`` around a seed hit. The documents are
+    aligned tokens that satisfies ``rule`` around a seed hit. Benchmark rows without an id are left out, as nothing could name them. The documents are
     mapped once for each block of the benchmark, without a shuffle; only a
     block, of bounded size, is sent to the executors. Null and empty texts and
     items have no overlaps; repeated documents give theirs each, and items with
@@ -175,7 +187,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), block_b
     """
     spark, out = docs.sparkSession, None
     small_batches(spark)
-    for index in _blocks(benchmark, rule, block_bytes):
+    for index in _blocks(benchmark, rule, block_bytes, named=True):
         sent = spark.sparkContext.broadcast(index)
 
         def run(batches, sent=sent):
@@ -191,9 +203,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), block_b
 
 
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule(), block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` without the rows that overlap any benchmark item; columns unchanged."""
+    """``docs`` without the rows that overlap any benchmark item, those without an id included; columns unchanged.
+
+    Documents with null or empty text are kept, and repeated rows each judged alike; an empty benchmark drops nothing.
+    """
     small_batches(docs.sparkSession)
-    for index in _blocks(benchmark, rule, block_bytes):
+    for index in _blocks(benchmark, rule, block_bytes, named=False):
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, sent=sent):

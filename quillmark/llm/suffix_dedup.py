@@ -212,8 +212,8 @@ class Batch:
         self.part = ((self.grams >> np.uint64(40)) % np.uint64(p.parts)).astype(np.int64)
 
     def told(self) -> Iterator[tuple[int, bytes]]:
-        """For each part: its minimisers, five bytes each, and how many stretches have them, up to 255."""
-        count = np.minimum(np.bincount(self.inverse, minlength=len(self.grams)), 255).astype(np.uint8)
+        """For each part: its minimisers, five bytes each, and how many stretches have them."""
+        count = np.bincount(self.inverse, minlength=len(self.grams)).astype(np.uint32)
         by_part = np.argsort(self.part, kind="stable")
         for own in np.split(by_part, np.flatnonzero(np.diff(self.part[by_part])) + 1):
             if len(own):
@@ -254,11 +254,11 @@ class Batch:
 def _part_of_gram(batch_ids: list[int], blobs: list[bytes], hot: int) -> list[bytes]:
     """For each batch that told of minimisers: which of them other batches have too, and which have too many stretches."""
     told = [_unpack(b) for b in blobs]
-    sizes = [len(x[1]) for x in told]
+    sizes = [len(x[1]) // 4 for x in told]
     raw = np.zeros((sum(sizes), 8), np.uint8)
     raw[:, :5] = np.frombuffer(b"".join(x[0] for x in told), np.uint8).reshape(-1, 5)
     _, inverse, times = np.unique(raw.view(np.uint64).ravel(), return_inverse=True, return_counts=True)
-    many = np.bincount(inverse, weights=np.frombuffer(b"".join(x[1] for x in told), np.uint8)) > hot
+    many = np.bincount(inverse, weights=np.frombuffer(b"".join(x[1] for x in told), np.uint32)) > hot
     out, at = [], 0
     for n in sizes:
         own = inverse[at : at + n]

@@ -48,13 +48,13 @@ def texts(n):
     return out
 
 
-@pytest.mark.parametrize("direct,long_list", [(2048, 50_000), (3, 4)])
-def test_near_duplicates(spark, direct, long_list):
+@pytest.mark.parametrize("long_list", [2048, 3])
+def test_near_duplicates(spark, long_list):
     found = [*texts(60), None, "", "Same Text here", "same text here"]
     rows = [(i * 3 + 1, t) for i, t in enumerate(found)] + [(1, found[0]), (None, found[4])]
     df = spark.createDataFrame([(*x, 0) for x in rows], "doc_id long, text string, fp int")
     want = plain_components([(i, plain_fingerprint(t)) for i, t in rows], 2)
-    got = simhash.near_duplicates(df, direct=direct, long_list=long_list).collect()
+    got = simhash.near_duplicates(df, long_list=long_list).collect()
     assert len(got) == len(rows) and {tuple(r) for r in got} == want
 
 
@@ -72,8 +72,8 @@ def test_links_find_all(spark, bits):
     signed = [simhash._signed(x) for x in fps]
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
     want = plain_components([(simhash._signed(x), x) for x in fps], bits)
-    for direct, long_list in ((2048, 50_000), (3, 4)):
-        roots = {r.node: r.root for r in components.components(simhash.links(df, bits, direct, long_list)).collect()}
+    for long_list in (2048, 3):
+        roots = {r.node: r.root for r in components.components(simhash.links(df, bits, long_list)).collect()}
         assert {(x, roots.get(x, x)) for x in signed} == {(a, c) for a, _, c in want}
 
 

@@ -75,3 +75,11 @@ def test_long_text(spark):
     d = spark.createDataFrame([(1, text)], "doc_id long, text string")
     b = spark.createDataFrame([(7, "one two three four five six CHANGED eight nine ten eleven twelve thirteen fourteen")], "item_id long, text string")
     assert [tuple(r) for r in spaced_seeds.overlaps(d, b).collect()] == [(1, 7, 400_000, 0, 14, 13)]
+
+
+def test_scripts_without_spaces_and_marks(spark):
+    assert spaced_seeds.tokens("Über “die” Brücke—dort") == ["über".encode(), b"die", "brücke".encode(), b"dort"]
+    leaked = "这座桥是在很久以前由当地的工匠用石头建造的"
+    docs = spark.createDataFrame([(1, "前言。" + leaked + "，后来它倒了。"), (2, "这条河很长，很多人住在河边的村子里，他们每天都去打鱼。"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, leaked)], "item_id long, text string")
+    assert {r.doc_id for r in spaced_seeds.without_overlaps(docs, bench).collect()} == {2, 3} and spaced_seeds.overlaps(docs, bench).count() == 0

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillmark.llm import suffix_dedup as sd
@@ -102,3 +103,21 @@ def test_without_repeats(spark):
 
 def test_empty(spark):
     assert sd.removed_digest(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_hot_minimisers_are_counted_in_full():
+    r = random.Random(8)
+    p = sd.Params(50, 1, 600, 1 << 20)
+
+    def batch(n, core):
+        text = b"".join(bytes(r.choice(b"abcdefgh") for _ in range(40)) + core for _ in range(n)).decode()
+        return sd.Batch(pa.table({"doc_id": pa.array([n]), "text": pa.array([text])}), p)
+
+    cores = [bytes(r.choice(b"ABCDEFGH") for _ in range(24)) for _ in range(40)]
+    core = max(cores, key=lambda c: np.bincount(batch(60, c).inverse).max())  # one that is the least gram around often
+    one, two = batch(2000, core), batch(2001, core)
+    most = [np.bincount(x.inverse).max() for x in (one, two)]
+    for hot in (sum(most) - 1, sum(most)):  # 255 was the most that a batch could tell
+        blobs = [next(iter(x.told()))[1] for x in (one, two)]
+        many = np.unpackbits(np.frombuffer(sd._unpack(sd._part_of_gram([0, 1], blobs, int(hot))[0])[1], np.uint8), count=len(one.grams))
+        assert min(most) > 255 and many.sum() == (hot < sum(most))

@@ -111,3 +111,40 @@ def test_fertility_rule(spark):
     p = [c / len(ids) for c in Counter(ids).values()]
     assert got[0].piece_tokens == len(ids) and got[0].piece_entropy == pytest.approx(-sum(x * math.log2(x) for x in p))
     assert got[0].script == "latin" and fertility.script_of("привет мир") == "cyrillic" and fertility.script_of("123") == "other"
+
+
+def test_byte_share_of_each_kind_of_vocabulary():
+    texts = ["hello world\n\nnext line\n", "日本", "", "naïve"]
+    for name in ("byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken", "word_bpe_49k.json", "piece_bpe_32k.model"):
+        got = fertility.Vocabulary(piece_model.default_path(name)).measures(texts)
+        assert got[2] == (0, 0.0, 0.0, 0.0) and got[0][0] > 0
+        # spaces are whole characters; a line feed is a byte piece of the piece model
+        assert got[0][2] == 0 or name.startswith("piece") and got[0][2] == pytest.approx(3 / got[0][0])
+    share = {n: fertility.Vocabulary(piece_model.default_path(n)).measures(["日本"])[0][2] for n in ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")}
+    assert share == {"byte_bpe_50k.json": 1.0, "byte_bpe_50k.tiktoken": 1.0, "byte_bpe_multi_50k.tiktoken": 0.0}
+
+
+def test_short_texts_are_judged_too():
+    bands = fertility.Bands({"en": fertility.Band((2.4, 5.5), 0.1, 4.75)})
+    assert bands.keeps("EN", "latin", 40, 3.5, 0.0, 4.6) and bands.keeps("xx", "other", 40, 9.0, 1.0, 0.0)
+    for bad in ((40, 1.5, 0.0, 4.6), (40, 3.5, 0.5, 4.6), (40, 3.5, 0.0, 2.0), (200, 2.3, 0.0, 5.5)):
+        assert not bands.keeps("en", "latin", *bad)
+
+
+def test_verdicts_equal_plain_ones(spark):
+    r = random.Random(12)
+    rows = []
+    for i in range(60):
+        unit = r.choice(["tion", "the", "x%$", "été", "日本", "zq7"])
+        word = lambda unit=unit: "".join(r.choice([unit, "er", "an", "st", "ou", "in", "al", "re", "mo", "ck", "ply"]) for _ in range(r.randrange(1, 4)))
+        rows.append((i, " ".join(word() for _ in range(r.choice([5, 25, 60, 400]))), r.choice(["en", "EN", "fr", None])))
+    files = {"piece": MODEL, "multi": piece_model.default_path("byte_bpe_multi_50k.tiktoken")}
+    bands = {"piece": fertility.BANDS, "multi": fertility.MULTI_BANDS}
+    got = {x.doc_id: x for x in fertility.fertility_rule(spark.createDataFrame(rows, "doc_id long, text string, lang string"), files, bands).collect()}
+    for i, text, lang in rows:
+        n, _, _, _, again = fertility.base_counts(text)
+        kept = n >= 20 and 100 * again <= 30 * n
+        for name, path in files.items():
+            kept = kept and bands[name].keeps(lang, fertility.script_of(text), *fertility.Vocabulary(path).measures([text])[0])
+        assert (got[i].kept, got[i].base_failed) == (kept, n < 20 or 100 * again > 30 * n)
+    assert 5 < sum(x.kept for x in got.values()) < 55
