@@ -33,11 +33,11 @@ from .common import crc_mod_py, materialise, small_batches
 TOP, DEEP = 4096, 3
 WAYS = 16
 #: Weight rows: one for so many bytes of text, in powers of two between these.
-ROW_BYTES, LEAST_ROWS, MOST_ROWS = 256, 1 << 14, 1 << 19
+ROW_BYTES, LEAST_ROWS, MOST_ROWS = 1024, 1 << 14, 1 << 18
 #: Lots of batches that are learnt one after another, each from the mean of what the lot before learnt.
 ROUNDS = 3
 #: Tokens of a gradient step, and of a lot that is scored together.
-STEP = 1024
+STEP = 2048
 RATE = 0.2
 SLICES = 16
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -239,13 +239,25 @@ def gradient_pass(f: np.ndarray, leaf: np.ndarray, tree: Tree, weights: np.ndarr
         flat = rows.ravel()
         order = np.argsort(flat.astype(np.uint16), kind="stable")  # by radix, 16 bits at a time
         if len(weights) > 1 << 16:
-            order = order[np.argsort((flat >> 16).astype(np.uint16)[order], kind="stable")]
+            order = order[np.argsort((flat >> 16).astype(np.uint8)[order], kind="stable")]
         own = flat.take(order)
         head = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        slope = np.add.reduceat(g.take(order // k, 0), head, axis=0)
+        times = np.diff(np.append(head, len(own)))
         own = own.take(head)
-        moved[own] += (slope * slope) @ mean
-        weights[own] -= slope * (rate / np.sqrt(moved.take(own)))[:, None]
+        slope = g.take(order.take(head) // k, 0)  # most rows come once in a step
+        again = np.flatnonzero(times > 1)
+        if len(again):
+            n = times.take(again)
+            first = np.cumsum(n) - n
+            place = np.repeat(head.take(again) - first, n) + np.arange(n.sum())
+            slope[again] = np.add.reduceat(g.take(order.take(place) // k, 0), first, axis=0)
+        scale = moved.take(own) + (slope * slope) @ mean
+        moved[own] = scale
+        np.sqrt(scale, out=scale)
+        slope *= (rate / scale)[:, None]
+        slope -= weights.take(own, 0)
+        np.negative(slope, out=slope)
+        weights[own] = slope
     return moved > 1e-3
 
 
