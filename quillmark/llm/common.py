@@ -56,6 +56,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of two numbers that are broadcast; larger tables are joined by shuffle.
+BROADCAST_ROWS = 400_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, of rows of a few numbers, with a hint to broadcast it if a count shows that it has few."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def drop_table(df: DataFrame) -> None:
     """Deletes the files of a table that :func:`materialise` wrote and nothing reads any more."""
     spark = df.sparkSession

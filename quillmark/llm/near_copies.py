@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import pack, released, unpack
-from .common import drop_table, map_rows, materialise, small_batches
+from .common import drop_table, map_rows, materialise, small, small_batches
 from .components import components
 from .simhash import keep_least
 
@@ -40,8 +40,8 @@ MORE = {2: ((0, 2), (0, 3), (0, 7)), 3: tuple((0, a + 1, b + 2) for _, a, b in T
 SMALL = 16
 WIDE = 1 << 26
 #: Bits that may differ among the first 128, the first 256 and all 512 of two fingerprints, and how many more if a set has under ``TINY``
-#: shingles: the mean at a similarity of 0.8 (20, 39, 78; 24, 48, 95 for 4 of 5 shingles) and 4.5 deviations.
-FIRST_BITS, NEAR_BITS, ALL_BITS = 46, 68, 120
+#: shingles: the mean at a similarity of 0.8 (20, 39, 78; 24, 48, 95 for 4 of 5 shingles) and 4.5 deviations (3.6 for tiny sets in the first).
+FIRST_BITS, NEAR_BITS, ALL_BITS = 40, 68, 120
 TINY, TINY_NEAR, TINY_ALL = 10, 8, 16
 #: Bits of all 512 up to which the first pass verifies a pair even if it isn't a node's nearest.
 LIKELY_BITS = 84
@@ -358,7 +358,7 @@ def links(docs: DataFrame, nodes: DataFrame, least: float = 0.8, size: int = 5,
     combos = TWO if count <= wide else THREE
     told = materialise(_told(nodes, count, combos, nearest_pairs, _hot_lists(nodes, combos, hot), False), "told")
     marked = materialise(nodes.join(told.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "key", "left_semi").select("key", "print", "text_hash", "size"), "marked")
-    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(marked.select("text_hash", "key"), "text_hash").groupBy("key").agg(F.min("text").alias("text"))
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(small(marked.select("text_hash", "key")), "text_hash").groupBy("key").agg(F.min("text").alias("text"))
     sets = materialise(map_rows(texts, ["key", "text"], lambda: lambda keys, own: (keys, [shingles(t, size).tobytes() for t in own]), "key long, own binary"), "sets")
 
     first = materialise(_measured(told.where("a <> b"), marked), "near")

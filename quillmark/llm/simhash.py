@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, map_rows, materialise
+from .common import drop_table, map_rows, materialise, small
 from .components import components, merge
 
 BYTES, BLOCKS = 8, 4
@@ -166,8 +166,8 @@ def one_of_each(docs: DataFrame, **parameters) -> DataFrame:
 
 def keep_least(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The rows of ``docs`` that have their class's ``component_id``; classes: ``doc_id, text_hash, component_id`` per row."""
-    later = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    kept = docs.join(later, (docs["doc_id"] == later["_id"]) & (F.xxhash64(docs["text"]) == later["_hash"]), "left_anti")
+    later = materialise(classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "later")
+    kept = docs.join(small(later), (docs["doc_id"] == later["_id"]) & (F.xxhash64(docs["text"]) == later["_hash"]), "left_anti")
     if classes.where("doc_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
         kept = kept.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(kept.where("doc_id is null"))
     return kept
