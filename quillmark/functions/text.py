@@ -57,6 +57,10 @@ def normalize(c: Column, lower: bool = True, drop_punctuation: bool = False, rep
     return collapse(c)
 
 
+#: Options of :func:`normalize` by name.
+PRESETS: dict[str, dict[str, bool]] = {"default": {}, "strict": {}, "fuzzy": {"drop_punctuation": True}}
+
+
 #: Zero-width characters that matching ignores; curly quotes with their straight forms.
 ZERO_WIDTH = "​‌‍﻿"
 QUOTES = ("‘’“”", "''\"\"")

@@ -27,7 +27,7 @@ def coco_rows(matches: DataFrame) -> DataFrame:
     """Annotations with ids from 1 in each document, boxes as x, y, width, height, and corners of the polygon."""
     b = F.col("bbox")
     order = Window.partitionBy("doc_id").orderBy("field_ord", "page_num", "start_idx")
-    rows = matches.join(F.broadcast(categories(matches)), "field_name")  # distinct field names
+    rows = matches.join(categories(matches), "field_name")
     return rows.select(
         "doc_id", F.row_number().over(order).alias("id"), (F.col("page_num") + 1).alias("image_id"), "category_id",
         g.as_xywh(b).alias("bbox"), g.area(b).alias("area"), F.lit(0).alias("iscrowd"), "text", "confidence", "match_type",
@@ -39,7 +39,7 @@ def yolo_rows(matches: DataFrame, classes: list[str] | None = None) -> DataFrame
     """Lines ``class cx cy w h`` by page, from 0; names that aren't among the given classes are class 0."""
     b, w, h = F.col("bbox"), F.col("page_width"), F.col("page_height")
     if classes is None:
-        rows = matches.join(F.broadcast(categories(matches)), "field_name").withColumn("cls", F.col("category_id") - 1)
+        rows = matches.join(categories(matches), "field_name").withColumn("cls", F.col("category_id") - 1)
     else:
         rows = matches.withColumn("cls", F.greatest(F.array_position(F.lit(classes), F.col("field_name")).cast("int") - 1, F.lit(0)))
     line = F.format_string("%d %.6f %.6f %.6f %.6f", F.col("cls"), g.center_x(b) / w, g.center_y(b) / h, g.width(b) / w, g.height(b) / h)
@@ -87,6 +87,21 @@ def layout_pages(matches: DataFrame) -> DataFrame:
     return rows.select("doc_id", "page_num", F.transform("all", lambda x: x["field_name"]).alias("names"), F.transform("all", lambda x: x["matched_text"]).alias("texts"), F.transform("all", lambda x: F.array(*(x["n"][s] for s in g.SIDES))).alias("boxes"))
 
 
+def picture_rows(matches: DataFrame) -> DataFrame:
+    """Per page its size and the fields to draw, in field order, each with a colour by its name."""
+    one = F.struct("field_ord", F.struct(F.col("field_name").alias("name"), F.col("matched_text").alias("text"), F.array(*(F.col("bbox")[s] for s in g.SIDES)).alias("bbox"), "confidence", "match_type", color(F.col("field_name")).alias("color")).alias("f"))
+    rows = matches.groupBy("doc_id", "page_num").agg(F.first("page_width").alias("width"), F.first("page_height").alias("height"), F.array_sort(F.collect_list(one)).alias("all"))
+    return rows.select("doc_id", "page_num", "width", "height", F.transform("all", lambda x: x["f"]).alias("fields"))
+
+
+def as_format(matches: DataFrame, fmt: str) -> DataFrame:
+    """The rows of an export format: json, csv, layoutlm, coco (annotations), yolo, pascal_voc."""
+    formats = {"json": json_rows, "csv": csv_rows, "layoutlm": layout_pages, "coco": coco_rows, "yolo": yolo_rows, "pascal_voc": voc_rows}
+    if fmt not in formats:
+        raise ValueError(f"no export format {fmt!r}, only {sorted(formats)}")
+    return formats[fmt](matches)
+
+
 def write(rows: DataFrame, path: str, fmt: str) -> None:
     """Writes the rows of a format: ``csv`` with a header, ``json``, ``parquet``; ``yolo`` and ``voc`` by document and page as text."""
     if fmt == "csv":

@@ -251,18 +251,18 @@ def lowest_page(matches: DataFrame) -> DataFrame:
     return matches.withColumn("rank", F.row_number().over(by)).where("rank = 1").drop("rank")
 
 
-def routed(words: DataFrame, fields: DataFrame, strategy: str = "auto", multiline: bool = True, least: float = 80.0, contiguous: bool = False) -> DataFrame:
+def routed(words: DataFrame, fields: DataFrame, strategy: str = "auto", multiline: bool = True, least: float = 80.0, contiguous: bool = False, normal=text.match_text) -> DataFrame:
     """Values with line breaks go by lines first; the others, and those without a hit, by the strategy.
 
     Strategies: ``exact``, ``fuzzy``, ``auto``, and ``multiline``, by which every value goes by lines and by nothing else.
     """
-    plans = {"exact": lambda f: first_match(exact(words, f, contiguous=contiguous)), "fuzzy": lambda f: first_match(fuzzy(words, f, least)), "auto": lambda f: auto(words, f, least, contiguous=contiguous)}
+    plans = {"exact": lambda f: first_match(exact(words, f, normal, contiguous)), "fuzzy": lambda f: first_match(fuzzy(words, f, least, normal=normal)), "auto": lambda f: auto(words, f, least, normal, contiguous)}
     cols = ["doc_id", "field_ord", "field_name", "matched_text", "bbox", "page_num", "confidence", "match_type"]
     if not multiline and strategy != "multiline":
         return plans[strategy](fields).select(cols)
     many = fields if strategy == "multiline" else fields.where(F.col("field_value").rlike(r"[\r\n]"))
     by = Window.partitionBy(*_KEY).orderBy(F.desc("n_merged"), "page_num", "island")
-    found = by_lines(words, many, contiguous=contiguous).withColumn("rank", F.row_number().over(by)).where("rank = 1").select(cols)
+    found = by_lines(words, many, normal=normal, contiguous=contiguous).withColumn("rank", F.row_number().over(by)).where("rank = 1").select(cols)
     if strategy == "multiline":
         return found
     return found.unionByName(plans[strategy](fields.join(found.select(*_KEY), _KEY, "left_anti")).select(cols))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..functions import text
-from ..operators import export, layout, match, quality
+from ..operators import export, layout, match, quality, reports
 from ..sources import annotations, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -732,3 +732,120 @@ def json_rows(spark, sf_dir):
 @query(m_sql(f", {_W_LAYOUT}, g2 AS (SELECT *, CASE WHEN x1 <= x0 THEN least(x0 + 1, 1000) ELSE x1 END AS xx, CASE WHEN y1 <= y0 THEN least(y0 + 1, 1000) ELSE y1 END AS yy FROM lb) SELECT doc_id, page_num, list(field_name ORDER BY field_ord) AS names, list(matched_text ORDER BY field_ord) AS texts, list([x0, y0, xx, yy] ORDER BY field_ord) AS boxes FROM g2 GROUP BY doc_id, page_num"))
 def layoutlm_pages(spark, sf_dir):
     return export.layout_pages(matches(spark, sf_dir))
+
+
+@query(m_sql("SELECT doc_id, page_num, 612.0::DOUBLE AS width, 792.0::DOUBLE AS height, list(field_name ORDER BY field_ord) AS names, list(matched_text ORDER BY field_ord) AS texts, list([x0, y0, x1, y1] ORDER BY field_ord) AS boxes FROM best GROUP BY doc_id, page_num"))
+def picture_rows(spark, sf_dir):
+    return export.picture_rows(matches(spark, sf_dir)).select("doc_id", "page_num", "width", "height", F.col("fields.name").alias("names"), F.col("fields.text").alias("texts"), F.col("fields.bbox").alias("boxes"))
+
+
+# ---- reports and forms ----
+
+
+@query(w_sql("SELECT CASE WHEN page_num = 0 THEN 'native' ELSE 'ocr' END AS method, count(DISTINCT doc_id) AS documents FROM words GROUP BY 1"))
+def method_counts(spark, sf_dir):
+    """The first page of each document stands for native words, those after it for OCR."""
+    return reports.method_counts(words(spark, sf_dir).withColumn("source", F.when(F.col("page_num") == 0, "native").otherwise("ocr")))
+
+
+_FAILED = "LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1) t USING (doc_id)"
+
+
+def _outcomes(spark, sf_dir) -> DataFrame:
+    bad = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct().withColumn("error", F.lit("toxic"))
+    return table(spark, sf_dir, "documents").select("doc_id").join(bad, "doc_id", "left")
+
+
+@query(f"SELECT count(*) AS documents, count_if(t.doc_id IS NULL) AS ok, count_if(t.doc_id IS NOT NULL) AS failed, 100 * count_if(t.doc_id IS NULL)::DOUBLE / count(*) AS success_rate FROM documents d {_FAILED}")
+def batch_rollup(spark, sf_dir):
+    return reports.batch_rollup(_outcomes(spark, sf_dir))
+
+
+@query("SELECT doc_id, 'toxic' AS error FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def failures(spark, sf_dir):
+    return reports.failures(_outcomes(spark, sf_dir))
+
+
+@query(w_sql("SELECT doc_id, count(DISTINCT page_num) AS pages FROM words GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"))
+def top_documents(spark, sf_dir):
+    return reports.top_documents(words(spark, sf_dir))
+
+
+@query(f"WITH {_ISSUES} SELECT doc_id, field_ord, split_part(i, ':', 1) AS kind, split_part(i, ':', 2) AS severity FROM issues ORDER BY doc_id, field_ord, kind LIMIT 50")
+def first_issues(spark, sf_dir):
+    return reports.first_issues(quality.issues(_checked_items(spark, sf_dir)))
+
+
+@query(f"WITH {_ISSUES}, a AS (SELECT doc_id, c, CASE WHEN len(bx) = 4 THEN (bx[3] - bx[1]) * (bx[4] - bx[2]) END AS a FROM it) SELECT count(*) AS fields, count(DISTINCT doc_id) AS documents, round(avg(c), 6) AS mean_confidence, min(c) AS min_confidence, max(c) AS max_confidence, round(avg(a), 3) AS mean_area, round(min(a), 3) AS min_area, round(max(a), 3) AS max_area, count(*)::DOUBLE / count(DISTINCT doc_id) AS fields_per_document FROM a")
+def validation_metrics(spark, sf_dir):
+    rows = reports.validation_metrics(_checked_items(spark, sf_dir))
+    return rows.withColumns({"mean_confidence": F.round("mean_confidence", 6)} | {f"{n}_area": F.round(f"{n}_area", 3) for n in ("mean", "min", "max")})
+
+
+_VALID = f"""{_W_LAYOUT}, v AS (SELECT *, CASE WHEN x1 <= x0 THEN least(x0 + 1, 1000) ELSE x1 END AS xx, CASE WHEN y1 <= y0 THEN least(y0 + 1, 1000) ELSE y1 END AS yy FROM lb)"""
+
+
+@query(m_sql(f", {_VALID} SELECT CASE WHEN (xx - x0) * (yy - y0) >= 900 THEN 'kept' ELSE 'invalid_box' END AS verdict, count(*) AS n FROM v GROUP BY 1"))
+def reject_counts(spark, sf_dir):
+    """An area of 900 at least, so that both verdicts on boxes come up."""
+    return reports.reject_counts(matches(spark, sf_dir), min_area=900)
+
+
+@query(m_sql(f", {_VALID} SELECT doc_id, page_num, list(field_name ORDER BY field_ord) AS names, list(matched_text ORDER BY field_ord) AS texts, list([x0, y0, xx, yy] ORDER BY field_ord) AS boxes FROM v WHERE (xx - x0) * (yy - y0) >= 900 GROUP BY doc_id, page_num"))
+def page_samples(spark, sf_dir):
+    return export.layout_pages(reports.kept(matches(spark, sf_dir), min_area=900))
+
+
+@query(m_sql("SELECT doc_id, field_ord, field_name FROM fields f WHERE field_value <> '' AND NOT EXISTS (SELECT 1 FROM best b WHERE b.doc_id = f.doc_id AND b.field_ord = f.field_ord)"))
+def missing_fields(spark, sf_dir):
+    return reports.missing_fields(fields(spark, sf_dir), matches(spark, sf_dir))
+
+
+_FORM_STATS = """
+, fs AS (SELECT f.doc_id, count_if(trim(f.field_value) <> '') AS total_fields, count(b.doc_id) AS found, list(f.field_name ORDER BY f.field_name) FILTER (b.doc_id IS NULL AND f.field_value <> '') AS missing FROM fields f LEFT JOIN best b USING (doc_id, field_ord) GROUP BY 1)"""
+
+
+@query(m_sql(_FORM_STATS + ", fo AS (SELECT doc_id, list(field_name ORDER BY page_num, field_ord) AS labels, list(matched_text ORDER BY page_num, field_ord) AS texts, list(page_num ORDER BY page_num, field_ord) AS pages FROM best GROUP BY 1) SELECT doc_id, total_fields, found, CASE WHEN total_fields > 0 THEN round(100 * found::DOUBLE / total_fields, 2) ELSE 0 END AS match_rate, CASE WHEN found > 0 THEN 1.0::DOUBLE ELSE 0 END AS mean_confidence, coalesce(missing, []) AS missing, coalesce(labels, []) AS labels, coalesce(texts, []) AS texts, coalesce(pages, []) AS pages FROM fs LEFT JOIN fo USING (doc_id)"))
+def native_forms(spark, sf_dir):
+    rows = reports.native_forms(matches(spark, sf_dir), fields(spark, sf_dir))
+    return rows.select("doc_id", "total_fields", "found", "match_rate", "mean_confidence", "missing", F.col("form.label").alias("labels"), F.col("form.text").alias("texts"), F.col("form.page").alias("pages"))
+
+
+@query(m_sql(f", {_LABEL}, n AS (SELECT doc_id, count(*) + count(w_idx) AS n_items, count(w_idx) AS n_labels, sum(word_count) + count(w_idx) AS n_words FROM labelled JOIN (SELECT doc_id, field_ord, word_count FROM best) USING (doc_id, field_ord) GROUP BY 1) SELECT doc_id, n_items::INT AS n_items, n_labels::INT AS n_labels, n_words::INT AS n_words FROM n"))
+def linked_forms(spark, sf_dir):
+    return reports.linked_forms(layout.form_items(_labelled(spark, sf_dir))).drop("form")
+
+
+@query(w_sql("SELECT doc_id, CASE WHEN page_num = 0 THEN 'header' ELSE 'items' END AS part, page_num, CASE WHEN page_num = 0 THEN (word_idx // 192)::INT ELSE 0 END AS chunk, count(*) AS n, md5(string_agg(text, ' ' ORDER BY word_idx)) AS text_md5 FROM words GROUP BY ALL"))
+def multipage_parts(spark, sf_dir):
+    rows = reports.multipage_parts(words(spark, sf_dir), ["word_idx"])
+    own = F.transform(F.array_sort(F.collect_list(F.struct("word_idx", "text"))), lambda x: x["text"])
+    return rows.groupBy("doc_id", "part", "page_num", "chunk").agg(F.count("*").alias("n"), F.md5(F.array_join(own, " ")).alias("text_md5"))
+
+
+@query(f_sql("SELECT doc_id, field_ord, field_name, left(field_value, 50) || CASE WHEN length(field_value) > 50 THEN '...' ELSE '' END AS preview FROM fields WHERE field_ord < 10"))
+def structure_preview(spark, sf_dir):
+    return reports.structure_preview(fields(spark, sf_dir))
+
+
+@query(w_sql(", s AS (SELECT doc_id, page_num, count(*) AS n FROM words GROUP BY ALL) SELECT doc_id, page_num, n, quality FROM s JOIN labels USING (doc_id)"))
+def pages_with_images(spark, sf_dir):
+    samples = words(spark, sf_dir).groupBy("doc_id", "page_num").agg(F.count("*").alias("n"))
+    return reports.pages_with_images(samples, table(spark, sf_dir, "labels").select("doc_id", "quality"))[0]
+
+
+@query("SELECT count(*) AS files, count(l.doc_id) AS paired, count(*) - count(l.doc_id) AS unpaired, sum(CASE WHEN l.doc_id IS NOT NULL THEN n_chars END)::BIGINT AS paired_bytes, sum(CASE WHEN l.doc_id IS NULL THEN n_chars END)::BIGINT AS unpaired_bytes FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
+def inventory(spark, sf_dir):
+    files = table(spark, sf_dir, "documents").select(F.format_string("/pdf/doc_%d.pdf", "doc_id").alias("path"), F.col("n_chars").alias("size"))
+    return documents.inventory(files, _paths(spark, sf_dir, "labels", "json", "json"))
+
+
+@query("SELECT count(l.doc_id) AS hits, count(*) - count(l.doc_id) AS misses, (SELECT count(DISTINCT doc_id) FROM labels) AS entries, (SELECT count(DISTINCT doc_id) * 10 FROM labels)::BIGINT AS bytes, 100 * count(l.doc_id)::DOUBLE / count(*) AS hit_rate FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
+def cache_stats(spark, sf_dir):
+    cache = _paths(spark, sf_dir, "labels", "pdf", "pdf").distinct().select(documents.cache_key(F.col("path"), F.lit(0)).alias("key"), F.lit(10).alias("size"))
+    return documents.cache_stats(_paths(spark, sf_dir, "documents", "pdf", "pdf").withColumn("page_num", F.lit(0)), cache, F.col("size"))
+
+
+@query("SELECT o_orderkey, trim(regexp_replace(lower(o_orderpriority), '[^\\w\\s]', '', 'g')) AS fuzzy, lower(o_orderpriority) AS strict FROM orders")
+def text_presets(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select("o_orderkey", *(text.normalize(F.col("o_orderpriority"), **text.PRESETS[n]).alias(n) for n in ("fuzzy", "strict")))

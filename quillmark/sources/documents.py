@@ -138,5 +138,39 @@ def train_split(docs: DataFrame, percent: int = 80) -> DataFrame:
     return docs.withColumn("part", F.when(F.pmod(F.xxhash64("doc_id"), F.lit(100)) < percent, "train").otherwise("validation"))
 
 
+def inventory(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row from files (``path, size``) and their partners (``path``): files, paired, unpaired, bytes of both kinds."""
+    own = left.select(stem(F.col("path")).alias("stem"), "size").join(right.select(stem(F.col("path")).alias("stem"), F.lit(True).alias("has")).distinct(), "stem", "left")
+    has, size = F.col("has").isNotNull(), F.col("size")
+    return own.agg(F.count("*").alias("files"), F.count_if(has).alias("paired"), F.count_if(~has).alias("unpaired"), F.sum(F.when(has, size)).alias("paired_bytes"), F.sum(F.when(~has, size)).alias("unpaired_bytes"))
+
+
+def cache_additions(results: DataFrame, cache: DataFrame) -> DataFrame:
+    """Rows to append to a cache table: OCR results (``path, page_num, source``) whose key it doesn't have, one a key."""
+    keyed = results.where(F.col("source") == "ocr").withColumn("key", cache_key(F.col("path"), F.col("page_num")))
+    return keyed.join(cache.select("key"), "key", "left_anti").dropDuplicates(["key"])
+
+
+def cache_without(cache: DataFrame, path: str) -> DataFrame:
+    """What is left of a cache table with ``path`` when one file's pages are cleared."""
+    return cache.where(~F.col("path").eqNullSafe(F.lit(path)))
+
+
+def cache_stats(pages: DataFrame, cache: DataFrame, size: Column) -> DataFrame:
+    """One row: lookups that hit and missed, rate in percent (0 without lookups), entries of the cache and the sum of their ``size``."""
+    keyed = pages.select(cache_key(F.col("path"), F.col("page_num")).alias("key"))
+    looked = keyed.join(cache.select("key", F.lit(True).alias("hit")).dropDuplicates(["key"]), "key", "left")
+    none = F.lit(0).cast("long")
+    rows = looked.select(F.col("hit").isNotNull().cast("long").alias("h"), F.col("hit").isNull().cast("long").alias("m"), none.alias("e"), none.alias("b"))
+    rows = rows.unionByName(cache.select(none.alias("h"), none.alias("m"), F.lit(1).cast("long").alias("e"), size.cast("long").alias("b")))
+    out = rows.agg(*(F.coalesce(F.sum(c), none).alias(n) for c, n in (("h", "hits"), ("m", "misses"), ("e", "entries"), ("b", "bytes"))))
+    return out.withColumn("hit_rate", F.coalesce(F.try_divide(100 * F.col("hits"), F.col("hits") + F.col("misses")), F.lit(0.0)))
+
+
+def read_exports(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """Exported JSON files under a path by file name: ``stem`` and their keys as columns; what doesn't parse is in ``_corrupt_record``."""
+    return spark.read.json(path, multiLine=True, pathGlobFilter=pattern).withColumn("stem", stem(F.col("_metadata.file_name")))
+
+
 def page_order() -> Window:
     return Window.partitionBy("doc_id", "page_num").orderBy("word_idx")
