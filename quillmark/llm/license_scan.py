@@ -288,21 +288,22 @@ def fit(negatives: list[str], templates: dict[str, list[str]] = TEMPLATES, other
     rows = [hashed(w) for w, _ in data]
     used = sorted({k for f in rows for k in f})
     place = {k: i for i, k in enumerate(used)}
-    x = np.zeros((len(rows), len(used) + 1))
-    x[:, -1] = 1
-    for i, f in enumerate(rows):
-        for k, v in f.items():
-            x[i, place[k]] = v
+    column = np.array([k for f in rows for k in (*map(place.__getitem__, f), len(used))])  # a row's features, then one that is always 1
+    value = np.array([v for f in rows for v in (*f.values(), 1.0)])
+    row = np.repeat(np.arange(len(rows)), [len(f) + 1 for f in rows])
     y = np.eye(len(families))[[k for _, k in data]]
-    w = np.zeros((x.shape[1], len(families)))
+    w = np.zeros((len(families), len(used) + 1))
     step = np.zeros_like(w)
-    for _ in range(steps):  # gradient steps with momentum
-        z = x[:cut] @ w
+    n = int(np.searchsorted(row, cut))
+    for _ in range(steps):  # gradient steps with momentum; a class at a time, so that nothing of rows x features is made
+        z = np.stack([np.bincount(row[:n], value[:n] * own[column[:n]], cut) for own in w], axis=1)
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        step = 0.9 * step - 4.0 * (x[:cut].T @ (p - y[:cut]) / cut + 1e-5 * w)
+        miss = np.ascontiguousarray((p - y[:cut]).T)
+        slope = np.stack([np.bincount(column[:n], value[:n] * own[row[:n]], w.shape[1]) for own in miss]) / cut + 1e-5 * w
+        step = 0.9 * step - 4.0 * slope
         w += step
-    z = x[cut:] @ w
+    z = np.stack([np.bincount(row[n:] - cut, value[n:] * own[column[n:]], len(rows) - cut) for own in w], axis=1)
 
     def softmax(t: float) -> np.ndarray:
         e = np.exp((z - z.max(axis=1, keepdims=True)) / t)
@@ -312,7 +313,7 @@ def fit(negatives: list[str], templates: dict[str, list[str]] = TEMPLATES, other
     p = softmax(temperature)
     negative = p[y[cut:, -1] == 1][:, :-1].max(axis=1) if y[cut:, -1].any() else np.zeros(1)
     weights = np.zeros((BUCKETS + 1, len(families)))
-    weights[used], weights[-1] = w[:-1], w[-1]
+    weights[used], weights[-1] = w.T[:-1], w.T[-1]
     return Model(families, weights, temperature, float(min(0.9, max(0.3, np.quantile(negative, 0.995)))), words)
 
 
