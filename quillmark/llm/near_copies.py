@@ -7,12 +7,12 @@ compared by their first 256 bits (128 in the first pass), then by all 512, then
 
 A group of copies would give all its pairs, so links are found in two passes.
 In the first, each member of a list tells its nearest neighbour, and each node's
-nearest pair and all likely ones are verified. In the second, members of a list that are near but
-not connected yet tell all their pairs, and these are verified. It leaves out
-only pairs that can't reach the similarity: pairs that share a rare shingle
-are told by that shingle's nodes, and others can have at most their frequent
-shingles in common. So what the first pass looks at
-(neighbours in a long list, lists dealt out) decides how much work there is and
+nearest pair and all likely ones are verified; what they connect has one *root*. In the second, the lists tell
+which roots have near members: a forest of roots, never pairs of nodes. Nodes whose
+roots this connects are one *near class*. Its nodes meet with their shingles, and all
+that are near and not connected yet are compared where they meet; again only a forest is told. A large
+class is cut into pieces that meet two by two, except those of its largest root with each other. So what the
+first pass looks at (neighbours in a long list, lists dealt out) decides how much work there is and
 not what is found.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .batches import pack, released, unpack
 from .common import drop_table, map_rows, materialise, small, small_batches
-from .components import components
+from .components import components, merge
 from .simhash import keep_least
 
 BYTES = 64
@@ -49,8 +49,10 @@ LIKELY_BITS = 84
 REACH = 512
 #: Members of a list beyond which it is dealt out.
 HOT_LIST = 20_000
-#: Nodes that have a shingle up to which it is rare.
-RARE = 6
+#: Members of a list beyond which classes of it are grown one after another.
+LONG_LIST = 256
+#: Bytes of shingles in a piece of a near class, at least and at most, and those of a part of pieces that meet.
+PIECE, PART_BYTES = (1 << 17, 1 << 20), 4 << 20
 #: Postings of a part.
 PART_ROWS = 500_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -142,12 +144,12 @@ def _hot_lists(nodes: DataFrame, combos: tuple, hot: int, of_roots: np.ndarray |
 
 
 def _postings(nodes: DataFrame, combos: tuple, parts: int, hot: dict[int, tuple[int, int]], rooted: bool) -> DataFrame:
-    """``part, blob``: postings by parts: list, key, two times 64 bits; if ``rooted`` two more, the root, the number of shingles, and of frequent ones.
+    """``part, blob``: postings by parts: list, key, two times 64 bits; if ``rooted`` two more, the root, and the number of shingles.
 
     Without roots the members of a hot list are dealt to its pieces; with them only those of its root, and the others go to each piece.
     """
-    more = ["root", "size", "common"] if rooted else []
-    names = ["key", "print", "size", *more[::2]]
+    more = ["root", "size"] if rooted else []
+    names = ["key", "print", "size", *more[:1]]
     slots_hot = np.array(sorted(hot), np.int64)
     pieces, roots = (np.array([hot[s][k] for s in slots_hot.tolist()], np.int64) for k in (0, 1))
 
@@ -183,7 +185,7 @@ def _postings(nodes: DataFrame, combos: tuple, parts: int, hot: dict[int, tuple[
 
 
 def _lists(t: pa.Table) -> list[np.ndarray]:
-    """The postings of a part, by list and then by their bits, with each one's list end: ``end, slot, key, bits[, root, size, common]``."""
+    """The postings of a part, by list and then by their bits, with each one's list end: ``end, slot, key, bits[, root, size]``."""
     lists, *rest = (np.concatenate([np.frombuffer(b, np.int64) for b in col]) for col in zip(*(unpack(x.as_py()) for x in t.column("blob")), strict=True))
     order = np.lexsort((rest[1].view(np.uint64), lists))
     lists = lists[order]
@@ -236,7 +238,8 @@ def _first_shared(bits: list[np.ndarray], i: np.ndarray, j: np.ndarray, combos:
 def apart_pairs(end: np.ndarray, slot: np.ndarray, key: np.ndarray, bits: list[np.ndarray], root: np.ndarray, size: np.ndarray, common: np.ndarray, least: float = 0.8, near_bits: int = NEAR_BITS, combos: tuple = TWO) -> tuple[np.ndarray, np.ndarray]:
     """All keys ``a < b`` in one list that are near, have different roots and can be similar to ``least``: ``size`` shingles, of which ``common`` may be common to both.
 
-    A pair is left to the first list that both ends are known to stand in.
+    A pair is left to the first list that both ends are known to stand in. This is the plain form of
+    :func:`near_roots`, which tests hold that one against: it grows with the square of a list.
     """
     found, n, index = [], len(key), slot >> 8 * len(combos[0])
 
@@ -273,42 +276,119 @@ def apart_pairs(end: np.ndarray, slot: np.ndarray, key: np.ndarray, bits: list[n
     return pairs[:, 0], pairs[:, 1]
 
 
-def _rare(sets: DataFrame, rare: int) -> DataFrame:
-    """From ``key, own, root``: ``a, b`` for nodes of different roots that share a shingle of ``rare`` nodes or fewer (n is 0), and ``a, a, n`` for the number of such shingles that a node has in a part."""
-    total = sets.agg(F.sum(F.octet_length("own"))).first()[0] or 0
-    parts = max(4 * sets.sparkSession.sparkContext.defaultParallelism, total // (8 * PART_ROWS))
+def near_roots(end: np.ndarray, slot: np.ndarray, key: np.ndarray, bits: list[np.ndarray], root: np.ndarray, size: np.ndarray, least: float = 0.8, near_bits: int = NEAR_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """A star of roots ``a, b`` for each class of roots that near members of one list connect; sizes must allow a similarity of ``least``.
 
-    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
-            key, root = (np.repeat(batch.column(k).to_numpy(), [len(x) for x in own]) for k in (0, 2))
-            own = np.concatenate(own)
-            part = (own % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            lots = [o for o in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(o)]
-            yield pa.RecordBatch.from_arrays([pa.array([int(part[o[0]]) for o in lots], pa.int64()), pa.array([pack(own[o], key[o], root[o]) for o in lots], pa.binary())], names=["part", "blob"])
+    What is connected already isn't compared, so a list of near copies takes one row of comparisons and not all.
+    """
+    names, place = np.unique(root, return_inverse=True)
+    label = np.arange(len(names))
+
+    def compare(i: np.ndarray, j: np.ndarray) -> None:
+        ok = label[place[i]] != label[place[j]]
+        i, j = i[ok], j[ok]
+        less, more = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+        ok = less >= least * more - 1e-9
+        i, j, less = i[ok], j[ok], less[ok]
+        ok = _differ(bits, i, j) <= near_bits + TINY_NEAR * (less < TINY)
+        if ok.any():
+            merge(label, place[i[ok]], place[j[ok]])
+
+    begin = np.concatenate([[0], np.flatnonzero(np.diff(end)) + 1]) if len(end) else np.zeros(0, np.int64)
+    length = end[begin] - begin
+    at = np.flatnonzero(np.repeat(length <= LONG_LIST, length))
+    for k in range(1, LONG_LIST):
+        at = at[at + k < end[at]]
+        if not len(at):
+            break
+        compare(at, at + k)
+        if not k & k - 1:  # now and then lists of one class are left out
+            own = label[place]
+            at = at[np.repeat(np.minimum.reduceat(own, begin) != np.maximum.reduceat(own, begin), length)[at]]
+    for s in begin[length > LONG_LIST].tolist():
+        rest = np.arange(s, end[s])
+        while len(rest):  # the largest class grows until nothing of the rest is near to any of it
+            own, number, times = np.unique(label[place[rest]], return_inverse=True, return_counts=True)
+            if len(own) == 1:
+                break
+            todo, rest = rest[number == times.argmax()], rest[number != times.argmax()]
+            while len(todo) and len(rest):
+                head, todo = np.split(todo, [max(1, (1 << 16) // len(rest))])
+                compare(np.repeat(head, len(rest)), np.tile(rest, len(head)))
+                joined = label[place[rest]] == label[place[head[0]]]
+                todo, rest = np.concatenate([todo, rest[joined]]), rest[~joined]
+    moved = np.flatnonzero(label != np.arange(len(label)))
+    return names[moved], names[label[moved]]
+
+
+def linked(root: np.ndarray, prints: np.ndarray, own: list[np.ndarray], of_a: np.ndarray, of_b: np.ndarray, least: float = 0.8) -> list[tuple[int, int]]:
+    """Of nodes with their roots, fingerprints (n x 8) and shingles: pairs of a node in ``of_a`` and one in ``of_b`` that are similar to ``least``, enough to connect all roots that such pairs connect."""
+    names, place = np.unique(root, return_inverse=True)
+    label, size = np.arange(len(names)), np.array([len(x) for x in own])
+    number = np.unique(np.concatenate(own), return_inverse=True)[1]
+    sets = np.split(number, np.cumsum(size)[:-1])
+    of_all, has = np.concatenate([sets[k] for k in of_b]), np.zeros(number.max() + 1, bool)
+    first, size_b, prints_b = np.cumsum(size[of_b]) - size[of_b], size[of_b], prints[of_b]
+    out = []
+    for x in of_a.tolist():
+        less, more = np.minimum(size[x], size_b), np.maximum(size[x], size_b)
+        ok = np.flatnonzero((label[place[of_b]] != label[place[x]]) & (less >= least * more - 1e-9))
+        if len(ok):
+            bits = np.bitwise_count(prints_b[ok] ^ prints[x]).sum(axis=1, dtype=np.int64)
+            ok = ok[bits <= ALL_BITS + TINY_ALL * (less[ok] < TINY)]
+        if not len(ok):
+            continue
+        has[sets[x]] = True
+        both = np.add.reduceat(has[of_all], first, dtype=np.int64)[ok]
+        has[sets[x]] = False
+        hits = of_b[ok[both / (size[x] + size_b[ok] - both) >= least]]
+        hits = hits[np.unique(label[place[hits]], return_index=True)[1]]
+        if len(hits):
+            out += [(x, y) for y in hits.tolist()]
+            merge(label, np.full(len(hits), place[x]), place[hits])
+    return out
+
+
+def _met(nodes: DataFrame, sets: DataFrame, near: DataFrame, least: float) -> DataFrame:
+    """Edges ``a, b`` that connect all nodes (``key, print, root``) of a near class (``near``: the class of a root) that are near and similar to ``least``. Written.
+
+    A class's nodes are dealt to pieces: those of its largest root, and the rest. Each piece of the rest
+    meets itself and every other piece.
+    """
+    cores = nodes.sparkSession.sparkContext.defaultParallelism
+    members = materialise(nodes.select("key", "print", "root").join(small(near), "root").join(sets, "key"), "members")
+    of_root = members.groupBy("near", "root").agg(F.sum(F.octet_length("own")).alias("n"))
+    plan = plan_table = materialise(of_root.groupBy("near").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("n")).select("near", F.col("m.root").alias("main"), F.col("m.n").alias("of_main"), (F.col("n") - F.col("m.n")).alias("of_rest")), "plan")
+    total = plan.agg(F.sum(F.col("of_main") + F.col("of_rest"))).first()[0] or 0
+    size = min(PIECE[1], max(PIECE[0], total // (64 * cores)))
+    mains, rests = (F.ceil(F.col(c) / size).cast("long") for c in ("of_main", "of_rest"))
+    sent = plan.agg(F.sum(F.col("of_main") * rests + F.col("of_rest") * (mains + rests))).first()[0] or 0
+    parts = max(4 * cores, -(-sent // PART_BYTES))
+    plan = plan.select("near", "main", mains.alias("of_main"), rests.alias("of_rest"))
+    rows = members.join(small(plan), "near").withColumn("is_main", F.col("root") == F.col("main"))
+    rows = rows.withColumn("piece", F.when(F.col("is_main"), F.col("of_rest") + F.pmod(F.xxhash64("key"), "of_main")).otherwise(F.pmod(F.xxhash64("key"), "of_rest")))
+    others = F.sequence(F.lit(0).cast("long"), F.when(F.col("is_main"), F.col("of_rest") - 1).otherwise(F.col("of_rest") + F.col("of_main") - 1))
+    rows = rows.withColumn("other", F.explode(others)).select("near", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"), "piece", "key", "root", "print", "own")
 
     @released
     def meet(t: pa.Table) -> pa.Table:
-        own, key, root = (np.concatenate([np.frombuffer(b, np.int64) for b in c]) for c in zip(*(unpack(x.as_py()) for x in t.column("blob")), strict=True))
-        order = np.argsort(own, kind="stable")
-        first, times = np.unique(own[order], return_index=True, return_counts=True)[1:]
-        few = np.repeat(times <= rare, times)
-        end, key, root = np.repeat(first + times, times)[few], key[order][few], root[order][few]
-        keys, n = np.unique(key, return_counts=True)
-        place, found = np.arange(len(key)), [np.zeros((0, 2), np.int64)]
-        for k in range(1, rare):
-            place = place[: len(place) - 1] if k == 1 else place[place + k < len(end)]
-            place = place[end[place] == end[np.minimum(place + k, len(end) - 1)]]
-            i = place[root[place] != root[place + k]]
-            found.append(np.stack([np.minimum(key[i], key[i + k]), np.maximum(key[i], key[i + k])], axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        none = np.zeros(len(pairs), np.int64)
-        return pa.table({"a": pa.array(np.concatenate([pairs[:, 0], keys])), "b": pa.array(np.concatenate([pairs[:, 1], keys])), "n": pa.array(np.concatenate([none, n]).astype(np.int64))})
-
-    return sets.select("key", "own", "root").mapInArrow(tell, "part long, blob binary").groupBy("part").applyInArrow(meet, "a long, b long, n long")
+        near, i, j, of, key, root = (t.column(c).to_numpy() for c in ("near", "i", "j", "piece", "key", "root"))
+        prints = np.frombuffer(b"".join(t.column("print").to_pylist()), np.uint64).reshape(-1, BYTES // 8)
+        own = [np.frombuffer(x, np.uint64) for x in t.column("own").to_pylist()]
+        order = np.lexsort((key, j, i, near))
+        cuts = np.flatnonzero((np.diff(near[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
+        a, b = [], []
+        for at in np.split(order, cuts):
+            of_a, of_b = np.flatnonzero(of[at] == i[at]), np.flatnonzero(of[at] == j[at])
+            for x, y in linked(root[at], prints[at], [own[k] for k in at], of_a, of_b, least) if len(of_a) and len(of_b) else ():
+                a.append(key[at[x]])
+                b.append(key[at[y]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    out = materialise(rows.withColumn("part", F.pmod(F.xxhash64("near", "i", "j"), F.lit(parts))).groupBy("part").applyInArrow(meet, "a long, b long"), "met")
+    for x in (members, plan_table):
+        drop_table(x)
+    return out
 
 
 def _told(nodes: DataFrame, count: int, combos: tuple, find, hot: dict, rooted: bool) -> DataFrame:
@@ -345,14 +425,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return materialise(map_rows(rows, ["a", "b", "p", "q"], lambda: judge, "a long, b long, same boolean"), "verified")
 
 
-def _rooted(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs with the roots ``ra, rb`` of their ends, without those that have one root."""
-    for end in ("a", "b"):
-        pairs = pairs.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_")), end, "left").withColumn(f"r{end}", F.coalesce(f"{end}_", end)).drop(f"{end}_")
-    return pairs.where("ra <> rb")
-
-
-def links(docs: DataFrame, nodes: DataFrame, least: float = 0.8, size: int = 5, wide: int = WIDE, hot: int = HOT_LIST, rare: int = RARE) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, least: float = 0.8, size: int = 5, wide: int = WIDE, hot: int = HOT_LIST) -> DataFrame:
     """Edges ``a, b`` between nodes (``key, print, text_hash, size``) that connect all near pairs whose shingles are similar to ``least``."""
     count = nodes.count()
     combos = TWO if count <= wide else THREE
@@ -364,30 +437,19 @@ def links(docs: DataFrame, nodes: DataFrame, least: float = 0.8, size: int = 5,
     first = materialise(_measured(told.where("a <> b"), marked), "near")
     ends = first.select("a", "b", "bits", F.explode(F.array("a", "b")).alias("key"))
     picked = ends.groupBy("key").agg(F.min(F.struct("bits", "a", "b")).alias("m")).select("m.a", "m.b")
-    checked = [_verified(picked.unionByName(first.where(F.col("bits") <= LIKELY_BITS).select("a", "b")).distinct(), sets, least)]
+    checked = _verified(picked.unionByName(first.where(F.col("bits") <= LIKELY_BITS).select("a", "b")).distinct(), sets, least).where("same").select("a", "b")
 
-    roots = materialise(components(checked[0].where("same").select("a", "b")), "roots")
-    known = roots.withColumnRenamed("node", "key")
-    told_rare = materialise(_rare(sets.join(known, "key", "left").withColumn("root", F.coalesce("root", "key")), rare), "rare")
-    of_root = marked.join(known, "key", "left").join(told_rare.where("n > 0").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n")), "key", "left")
-    of_root = of_root.select("key", "print", F.coalesce("root", "key").alias("root"), "size", (F.col("size") - F.coalesce("n", F.lit(0))).alias("common"))
+    roots = materialise(components(checked), "roots")
+    of_root = marked.join(roots.withColumnRenamed("node", "key"), "key", "left").select("key", "print", F.coalesce("root", "key").alias("root"), "size")
     of_root = materialise(of_root, "rooted")
     n_marked = of_root.count()
     big = of_root.groupBy("root").count().where(F.col("count") > max(hot, n_marked // 1000)).select("root").collect()  # 1000 at most
     again = _hot_lists(of_root, combos, hot, np.array(sorted(r.root for r in big), np.int64))
-    rest = _told(of_root, n_marked, combos, lambda *cols: apart_pairs(*cols, least, combos=combos), again, True)
-    rest = rest.unionByName(told_rare.where("n = 0").select("a", "b")).distinct().join(checked[0].select("a", "b"), ["a", "b"], "left_anti")
-    rest = materialise(_rooted(_measured(rest, marked), roots), "near")
-    picked = rest.groupBy("ra", "rb").agg(F.min(F.struct("bits", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
-    checked.append(_verified(picked, sets, least))
-    edges = checked[0].unionByName(checked[1]).where("same").select("a", "b")
-    if checked[1].where("same").limit(1).count():
-        roots = components(edges)
-    left = _rooted(rest.select("a", "b").join(checked[1].select("a", "b"), ["a", "b"], "left_anti"), roots)
-    last = _verified(left, sets, least)
-    for x in (told, first, rest, sets, marked, of_root, told_rare):
+    apart = materialise(_told(of_root, n_marked, combos, lambda *cols: near_roots(*cols, least), again, True), "apart")
+    met = _met(of_root, sets, components(apart).select(F.col("node").alias("root"), F.col("root").alias("near")), least)
+    for x in (told, first, sets, marked, of_root, apart, roots):
         drop_table(x)
-    return edges.unionByName(last.where("same").select("a", "b"))
+    return checked.unionByName(met)
 
 
 def classified(docs: DataFrame, least: float = 0.8, size: int = 5, wide: int = WIDE, hot: int = HOT_LIST) -> DataFrame:

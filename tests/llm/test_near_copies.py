@@ -117,3 +117,75 @@ def test_the_stage_takes_planted_near_copies(spark, tmp_path):
     rows = [(k, " ".join(b)) for k, b in enumerate(bases)] + [(100 + k, " ".join([*b[:40], "altered", *b[41:100], "twice", *b[101:]])) for k, b in enumerate(bases)]
     df = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, str(tmp_path)).collect()} == set(range(20))
+
+
+def tables(monkeypatch):
+    """The rows of each table that near_copies writes from here on."""
+    rows, write = [], near_copies.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        rows.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(near_copies, "materialise", counted)
+    return rows
+
+
+def test_near_texts_that_are_not_similar_give_no_pairs(spark, monkeypatch):
+    """A group whose members are all near to each other, but below the similarity, costs rows by its size and not by its square."""
+    r = random.Random(8)
+    base, rows = [f"w{k}" for k in range(120)], []
+    for k in range(400):
+        copy = list(base)
+        for at in r.sample(range(5, 115), 2):
+            copy[at] = f"own{k}"
+        rows.append((k, " ".join(copy)))
+    want = plain_least(rows)
+    written = tables(monkeypatch)
+    got = {(x.doc_id, x.component_id) for x in near_copies.classified(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and max(n for _, n in written) <= 20 * len(rows), written
+
+
+def test_rows_do_not_grow_with_the_number_of_parts(spark, monkeypatch):
+    r = random.Random(9)
+    bases = [[f"w{r.randrange(9000)}" for _ in range(1500)] for _ in range(40)]
+    rows = [(2 * k + c, " ".join([*b[:700], *["altered"] * c, *b[700 + c :]])) for k, b in enumerate(bases) for c in (0, 1)]
+    monkeypatch.setattr(near_copies, "PART_ROWS", 2000)
+    written = tables(monkeypatch)
+    got = {(x.doc_id, x.component_id) for x in near_copies.classified(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(i, i - i % 2) for i, _ in rows} and max(n for _, n in written) <= 20 * len(rows), written
+
+
+def connected(a, b):
+    root = {x: x for x in [*a, *b]}
+    for x, y in zip(a, b, strict=True):
+        old, new = root[x], root[y]
+        root = {k: new if v == old else v for k, v in root.items()}
+    return {frozenset(k for k, v in root.items() if v == x) for x in set(root.values())}
+
+
+def test_near_roots_connect_what_all_pairs_connect(monkeypatch):
+    monkeypatch.setattr(near_copies, "_first_shared", lambda bits, i, j, combos: np.full(len(i), -1))
+    for n, seed in ((1600, 4), (400, 5)):
+        end, slot, key, bits, _, size, _ = postings(random.Random(seed), n)
+        root = key // 3
+        want = connected(*(x.tolist() for x in near_copies.apart_pairs(end, slot, root, bits, root, size, size, near_bits=2)))
+        a, b = near_copies.near_roots(end, slot, key, bits, root, size, near_bits=2)
+        assert connected(a.tolist(), b.tolist()) == want and len(want) > 1 and len(a) > 10
+
+
+def test_pieces_of_a_class_change_nothing(spark, monkeypatch):
+    rows = corpus()
+    r = random.Random(6)
+    base = [f"w{k}" for k in range(90)]
+    for k in range(200):
+        at = r.randrange(90)
+        rows.append((10_000 + k, " ".join([*base[:at], f"own{k}", *base[at + 1 :], *[f"tail{r.randrange(40)}" for _ in range(r.randrange(12))]])))
+    want = plain_least(rows)
+    # what the first pass verifies is taken away, so that all is left to the pieces
+    monkeypatch.setattr(near_copies, "LIKELY_BITS", -1)
+    monkeypatch.setattr(near_copies, "PIECE", (3000, 3000))
+    for reach in (near_copies.LONG_LIST, 4):
+        monkeypatch.setattr(near_copies, "LONG_LIST", reach)
+        assert {(x.doc_id, x.component_id) for x in near_copies.classified(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
