@@ -22,6 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,8 @@ ROUNDS = 3
 #: Tokens of a gradient step, and of a lot that is scored together.
 STEP = 2048
 RATE = 0.2
+#: Weight rows that move together, few enough to stay in a core's cache.
+_NEAR = 2048
 SLICES = 16
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _PAIR = np.uint64(0x27D4EB2F165667C5)
@@ -87,13 +90,18 @@ class Batch:
 
     @classmethod
     def of_texts(cls, ids: list[int | None], texts: list[str | None], p: Params) -> Batch:
-        lists = [tokens(t) for t in texts]
-        flat = list(chain.from_iterable(lists))
-        size = np.array([len(x) for x in lists], np.int64)
-        del lists
-        words = list(dict.fromkeys(flat))
-        number = dict(zip(words, range(len(words)), strict=True))
-        numbers = np.fromiter(map(number.__getitem__, flat), np.int32, len(flat))
+        """Gives each text the words of :func:`tokens`; Arrow cuts and numbers them without an object for each."""
+        lower = pa.compute.ascii_lower(pa.array([t or "" for t in texts], pa.large_string()))
+        cut = pa.compute.ascii_split_whitespace(lower)
+        flat, bounds = cut.flatten(), cut.offsets.to_numpy()
+        full = pa.compute.binary_length(flat).to_numpy(zero_copy_only=False) > 0  # spaces at an end of a text leave an empty piece there
+        coded = flat.filter(pa.array(full)).dictionary_encode()
+        words = [*coded.dictionary.cast(pa.large_binary()).to_pylist(), b""]
+        size = np.diff(np.concatenate([[0], np.cumsum(full)])[bounds - bounds[0]]) + 1
+        numbers = np.full(int(size.sum()), len(words) - 1, np.int32)
+        inside = np.ones(len(numbers), bool)
+        inside[np.cumsum(size) - 1] = False
+        numbers[inside] = coded.indices.to_numpy()
         return cls(p, np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], bool), size, numbers, words)
 
     def dump(self) -> bytes:
@@ -183,17 +191,25 @@ class Tree(NamedTuple):
         place = np.arange(len(which)) + np.repeat(self.first[leaf] - (np.cumsum(n) - n), n)
         return which, self.node[place], self.branch[place]
 
+    def room(self, leaves: int) -> np.ndarray:
+        """Two rows of branches for each choice on the way to so many leaves; used again, since new memory costs a page fault each 4 KB."""
+        return np.empty((2, leaves * int(np.diff(self.first).max()), WAYS), np.float32)
+
 
 def features(batch: Batch) -> np.ndarray:
     """Hashes of each token's history (tokens x 3). Before the first word the history is a mark of its own."""
     n = len(batch.tokens)
     h = (batch.hash + np.uint64(1))[batch.tokens]
     first = np.cumsum(batch.size) - batch.size
-    at = np.arange(n) - np.repeat(first, batch.size)
-    last = [np.where(at >= k, np.concatenate([np.zeros(min(k, n), np.uint64), h[: n - k] if n > k else h[:0]]), np.uint64(0)) for k in (1, 2)]
-    out = np.stack((last[0], last[0] * _PAIR + last[1], last[1]), axis=1)
-    out = (out + np.arange(3, dtype=np.uint64)) * _MIX
-    return out ^ (out >> np.uint64(31))
+    out = np.zeros((n, 3), np.uint64)
+    out[1:, 0], out[2:, 2] = h[:-1], h[:-2]
+    out[first, 0] = out[first, 2] = 0
+    out[first[first < n - 1] + 1, 2] = 0  # the end token is there, or the next document
+    out[:, 1] = out[:, 0] * _PAIR + out[:, 2]
+    out += np.arange(3, dtype=np.uint64)
+    out *= _MIX
+    out ^= out >> np.uint64(31)
+    return out
 
 
 def weight_rows(f: np.ndarray, node: np.ndarray, rows: int) -> np.ndarray:
@@ -201,63 +217,73 @@ def weight_rows(f: np.ndarray, node: np.ndarray, rows: int) -> np.ndarray:
     x = (f + (node.astype(np.uint64) * _PAIR)[:, None]) * _MIX[1]
     x ^= x >> np.uint64(32)
     x *= _MIX[0]
-    return (x >> np.uint64(64 - rows.bit_length() + 1)).astype(np.int32)
+    x >>= np.uint64(64 - rows.bit_length() + 1)
+    return x.view(np.int64)
 
 
-def softmaxes(rows: np.ndarray, start: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Logits and exponentials of each choice's branches, and the sums of these as a column."""
-    z = weights.take(rows[:, 0], 0)
+def softmaxes(rows: np.ndarray, start: np.ndarray, weights: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits and exponentials of each choice's branches, both in ``room``, and the sums of these as a column."""
+    z, e = room[0, : len(rows)], room[1, : len(rows)]
+    weights.take(rows[:, 0], 0, out=z, mode="clip")  # other modes copy what they are given
     for k in range(1, rows.shape[1]):
-        z += weights.take(rows[:, k], 0)
+        z += weights.take(rows[:, k], 0, out=e, mode="clip")
     z += start
     np.clip(z, -30, 30, out=z)
-    e = np.exp(z)
+    np.exp(z, out=e)
     return z, e, e @ np.ones((e.shape[1], 1), e.dtype)
 
 
-def log_leaf(f: np.ndarray, leaf: np.ndarray, tree: Tree, weights: np.ndarray) -> np.ndarray:
+def log_leaf(f: np.ndarray, leaf: np.ndarray, tree: Tree, weights: np.ndarray, step: int = STEP) -> np.ndarray:
     """Natural log of the probability of each token's leaf."""
-    which, node, branch = tree.choices(leaf)
-    z, _, total = softmaxes(weight_rows(f[which], node, len(weights)), tree.bias[node], weights)
-    chosen = z.ravel().take(np.arange(len(z)) * WAYS + branch).astype(float) - np.log(total[:, 0])
-    first = np.searchsorted(which, np.arange(len(leaf)))
-    return np.add.reduceat(chosen, first) if len(leaf) else np.zeros(0)
+    out, room = np.zeros(len(leaf)), tree.room(min(step, len(leaf)))
+    for at in range(0, len(leaf), step):
+        which, node, branch = tree.choices(leaf[at : at + step])
+        z, _, total = softmaxes(weight_rows(f[at : at + step].take(which, 0), node, len(weights)), tree.bias.take(node, 0), weights, room)
+        chosen = z.ravel().take(np.arange(0, z.size, WAYS) + branch).astype(float) - np.log(total[:, 0])
+        out[at : at + step] = np.add.reduceat(chosen, np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]])))
+    return out
 
 
 def gradient_pass(f: np.ndarray, leaf: np.ndarray, tree: Tree, weights: np.ndarray, rate: float = RATE, step: int = STEP) -> np.ndarray:
     """One pass of scaled gradient steps (the scale of a row falls with what it has moved), in place. Returns which rows moved."""
     moved = np.full(len(weights), 1e-3, np.float32)
     mean = np.full(WAYS, 1 / WAYS, np.float32)
-    k = f.shape[1]
-    rate = np.float32(rate / np.sqrt(k))
+    rate = np.float32(rate / np.sqrt(f.shape[1]))
+    room, near = tree.room(min(step, len(f))), np.empty((2, _NEAR, WAYS), np.float32)
     for at in range(0, len(f), step):
         which, node, branch = tree.choices(leaf[at : at + step])
-        rows = weight_rows(f[at : at + step][which], node, len(weights))
-        _, g, total = softmaxes(rows, tree.bias[node], weights)
+        rows = weight_rows(f[at : at + step].take(which, 0), node, len(weights))
+        _, g, total = softmaxes(rows, tree.bias.take(node, 0), weights, room)
         g /= total
-        g.ravel()[np.arange(len(g)) * WAYS + branch] -= 1
-        flat = rows.ravel()
-        order = np.argsort(flat.astype(np.uint16), kind="stable")  # by radix, 16 bits at a time
-        if len(weights) > 1 << 16:
-            order = order[np.argsort((flat >> 16).astype(np.uint8)[order], kind="stable")]
-        own = flat.take(order)
-        head = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        times = np.diff(np.append(head, len(own)))
-        own = own.take(head)
-        slope = g.take(order.take(head) // k, 0)  # most rows come once in a step
-        again = np.flatnonzero(times > 1)
-        if len(again):
-            n = times.take(again)
+        g.ravel()[np.arange(0, g.size, WAYS) + branch] -= 1
+        bits = len(g).bit_length()
+        key = np.sort(((rows << bits) | np.arange(len(g))[:, None]).ravel())  # weight row, then choice
+        choice = key & ((1 << bits) - 1)
+        key >>= bits
+        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        times = np.diff(np.append(head, len(key)))
+        own, lone = key.take(head), choice.take(head)
+        again = np.flatnonzero(times > 1)  # most rows come once in a step
+        n, start = times.take(again), head.take(again)
+        more = g.take(lone.take(again), 0)
+        more += g.take(choice.take(start + 1), 0)
+        if len(many := np.flatnonzero(n > 2)):
+            n, start = n.take(many), start.take(many)
             first = np.cumsum(n) - n
-            place = np.repeat(head.take(again) - first, n) + np.arange(n.sum())
-            slope[again] = np.add.reduceat(g.take(order.take(place) // k, 0), first, axis=0)
-        scale = moved.take(own) + (slope * slope) @ mean
-        moved[own] = scale
-        np.sqrt(scale, out=scale)
-        slope *= (rate / scale)[:, None]
-        slope -= weights.take(own, 0)
-        np.negative(slope, out=slope)
-        weights[own] = slope
+            place = np.repeat(start - first, n) + np.arange(n.sum())
+            more[many] = np.add.reduceat(g.take(choice.take(place), 0), first, axis=0)
+        for low in range(0, len(own), _NEAR):
+            to = own[low : low + _NEAR]
+            slope, other = near[0, : len(to)], near[1, : len(to)]
+            g.take(lone[low : low + _NEAR], 0, out=slope, mode="clip")
+            a, b = np.searchsorted(again, (low, low + _NEAR))
+            slope[again[a:b] - low] = more[a:b]
+            scale = moved.take(to) + np.multiply(slope, slope, out=other) @ mean
+            moved[to] = scale
+            np.sqrt(scale, out=scale)
+            slope *= (-rate / scale)[:, None]
+            slope += weights.take(to, 0, out=other, mode="clip")
+            weights[to] = slope
     return moved > 1e-3
 
 
@@ -434,10 +460,7 @@ def score(trained: Trained, step: int = STEP) -> DataFrame:
         counts = batch.counts(list(zip(replies.column("part").to_pylist(), replies.column("blob").to_pylist(), strict=True)))
         leaf, share = tree.of(batch.words, counts)
         base = np.log10((counts + 1) / (tree.n + tree.v + 1))
-        f, y = features(batch), leaf[batch.tokens]
-        model = share[batch.tokens]
-        for at in range(0, len(f), step):
-            model[at : at + step] += log_leaf(f[at : at + step], y[at : at + step], tree, weights) / np.log(10)
+        model = share[batch.tokens] + log_leaf(features(batch), leaf[batch.tokens], tree, weights, step) / np.log(10)
         first = np.cumsum(batch.size) - batch.size
         sums = [np.add.reduceat(x, first) for x in ((counts > 0)[batch.tokens].astype(np.int64), base[batch.tokens], model)]
         cols = [batch.ids, batch.held_out, batch.size, sums[0], np.full(len(first), tree.n), sums[1], sums[2]]

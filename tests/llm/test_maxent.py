@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -89,3 +90,42 @@ def test_long_text_and_empty_table(spark):
     df = spark.createDataFrame([(1, "so long a text " * 40000), (3, "so long")], "doc_id long, text string")
     assert sorted(r.n_tokens for r in maxent.train_and_score(df, batch_bytes=1 << 16).collect()) == [3, 160001]
     assert maxent.train_and_score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_words_are_cut_as_tokens_are():
+    texts = [None, "", " ", "  a B\x0bÀ\x0c\r\n c\x1c\x85\xa0d ", "x", "\t", "A\x00b \x1d \x1f", "İ ſ K", "x a"]
+    batch = maxent.Batch.of_texts([3, None, *range(7)], texts, maxent.Params(3, 7, 2, 5, 1 << 14))
+    got = np.split(batch.tokens, np.cumsum(batch.size)[:-1])
+    assert [[batch.words[k] for k in x] for x in got] == [maxent.tokens(t) for t in texts] and len(set(batch.words)) == len(batch.words)
+    assert batch.null.tolist() == [False, True] + 7 * [False] and maxent.Batch.of_texts([], [], batch.p).size.tolist() == []
+
+
+def test_numbering_makes_no_object_for_each_token():
+    n = 200_000
+    tracemalloc.start()
+    batch = maxent.Batch.of_texts(list(range(20)), ["abc de fgh ij " * (n // 80)] * 20, maxent.Params(3, 7, 2, 5, 1 << 14))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(batch.tokens) == n + 20 and peak < 40 * n  # an object and its place in a list take 44 bytes or more
+
+
+def test_gradient_step_sums_what_rows_share():
+    r = np.random.RandomState(5)
+    tree = maxent.Tree.of_counts([(b"%d" % k, 900 // (k + 1)) for k in range(60)], r.randint(0, 5, 4096), r.randint(0, 5, 4096), 0, 0)
+    f = r.randint(0, 90, (700, 3)).astype(np.uint64)
+    leaf = r.randint(0, 4156, 700)
+    got, want, scale = np.zeros((1 << 14, 16), np.float32), np.zeros((1 << 14, 16)), np.full(1 << 14, 1e-3)
+    moved = maxent.gradient_pass(f, leaf, tree, got, step=300)
+    for at in range(0, 700, 300):
+        slope, times = np.zeros(want.shape), Counter()
+        which, node, branch = tree.choices(leaf[at : at + 300])
+        for own, k, b in zip(maxent.weight_rows(f[at : at + 300][which], node, 1 << 14), node, branch, strict=True):
+            e = np.exp(want[own].sum(axis=0) + tree.bias[k])
+            for row in own:
+                slope[row] += e / e.sum() - (np.arange(16) == b)
+                times[int(row)] += 1
+        own = sorted(times)
+        scale[own] += (slope[own] ** 2).mean(axis=1)
+        want[own] -= slope[own] * (maxent.RATE / np.sqrt(3) / np.sqrt(scale[own]))[:, None]
+        assert {1, 2, 3} <= set(times.values())
+    assert np.allclose(got, want, atol=1e-3) and (moved == (scale > 1e-3)).all()
