@@ -72,6 +72,13 @@ def rare_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % WAYS << 4 * (DEEP - 1) | zlib.crc32(word) >> 7 & (1 << 4 * (DEEP - 1)) - 1
 
 
+def rare_classes(words: list[bytes]) -> np.ndarray:
+    """:func:`rare_class` of each word."""
+    ends = np.fromiter(map(zlib.crc32, [w[-2:] for w in words]), np.int64, len(words))
+    whole = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
+    return ends % WAYS << 4 * (DEEP - 1) | whole >> 7 & (1 << 4 * (DEEP - 1)) - 1
+
+
 class Batch:
     """Tokens of a batch's documents as numbers of its distinct words.
 
@@ -176,7 +183,7 @@ class Tree(NamedTuple):
 
     def of(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Leaf of each word, and log10 of its share of it."""
-        e = np.fromiter(map(rare_class, words), np.int64, len(words))
+        e = rare_classes(words)
         leaf, share = e + len(self.top), np.log10((counts + 1) / (self.tokens[e] + self.words[e] + 1))
         get = self.top.get
         for k, rank in enumerate(map(get, words)):
@@ -186,10 +193,13 @@ class Tree(NamedTuple):
 
     def choices(self, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each choice on the way to each of these leaves: which of them it is for, the node and the branch."""
-        n = self.first[leaf + 1] - self.first[leaf]
+        first = self.first.take(leaf)
+        n = self.first.take(leaf + 1) - first
         which = np.repeat(np.arange(len(leaf)), n)
-        place = np.arange(len(which)) + np.repeat(self.first[leaf] - (np.cumsum(n) - n), n)
-        return which, self.node[place], self.branch[place]
+        first -= np.cumsum(n) - n
+        place = first.take(which)
+        place += np.arange(len(which))
+        return which, self.node.take(place), self.branch.take(place)
 
     def room(self, leaves: int) -> np.ndarray:
         """Two rows of branches for each choice on the way to so many leaves; used again, since new memory costs a page fault each 4 KB."""
@@ -315,7 +325,7 @@ def _meet(t: pa.Table, p: Params) -> pa.Table:
     best = sorted((k for k in known.tolist() if total[k] >= least), key=lambda k: (-total[k], words[k]))[: p.top]
     rows += [(part, None, None, words[k], None, int(total[k]), 1) for k in best]
     if len(known):
-        e = np.fromiter((rare_class(words[k]) for k in known.tolist()), np.int64, len(known))
+        e = rare_classes([words[k] for k in known.tolist()])
         n, v = np.bincount(e, total[known]), np.bincount(e)
         rows += [(part, None, None, None, k, int(n[k]), int(v[k])) for k in np.flatnonzero(v).tolist()]
     return as_table(rows, _ANSWER)
@@ -402,9 +412,9 @@ def _round(batches: DataFrame, answers: DataFrame, tree: Tree, weights: np.ndarr
             return as_table([], {"n": pa.binary(), "blob": pa.binary()})
         batch = Batch.load(t.column("blob")[0].as_py(), p)
         leaf, _ = tree.of(batch.words, batch.counts(list(zip(replies.column("part").to_pylist(), replies.column("blob").to_pylist(), strict=True))))
-        use = np.repeat(~batch.held_out, batch.size)
+        use = np.flatnonzero(np.repeat(~batch.held_out, batch.size))
         own = weights.copy()
-        moved = gradient_pass(features(batch)[use], leaf[batch.tokens[use]], tree, own)
+        moved = gradient_pass(features(batch).take(use, 0), leaf[batch.tokens.take(use)], tree, own)
         return as_table([(moved.astype(np.float32).tobytes(), (own - weights).astype(np.float16).tobytes())], {"n": pa.binary(), "blob": pa.binary()})
 
     height = p.rows // SLICES

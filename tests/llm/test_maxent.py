@@ -129,3 +129,8 @@ def test_gradient_step_sums_what_rows_share():
         want[own] -= slope[own] * (maxent.RATE / np.sqrt(3) / np.sqrt(scale[own]))[:, None]
         assert {1, 2, 3} <= set(times.values())
     assert np.allclose(got, want, atol=1e-3) and (moved == (scale > 1e-3)).all()
+
+
+def test_classes_of_many_words():
+    words = [b"", b"a", b"ab", b"word", "рек".encode(), b"\xff" * 9, b"a\x00b"]
+    assert maxent.rare_classes(words).tolist() == [maxent.rare_class(w) for w in words] and maxent.rare_classes([]).tolist() == []
