@@ -137,3 +137,19 @@ def test_flatten():
 def test_fields_of_bad_json(spark):
     df = spark.createDataFrame([(1, '{"a": {"b": 1}}'), (2, "no json"), (3, None), (4, "[1]")], "doc_id long, json string")
     assert [tuple(r) for r in annotations.fields(df).collect()] == [(1, 0, "a.b", "1")]
+
+
+def test_partial_ratio_skips_stretches_that_the_last_one_rules_out(monkeypatch):
+    r = random.Random(4)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    calls, plain = [], s._lcs
+    monkeypatch.setattr(s, "_lcs", lambda *x: calls.append(1) or plain(*x))
+    for _ in range(40):
+        short, long = text(20), text(120)
+        stretches = [long[max(0, k - 20) : k] for k in range(1, 140)]
+        want = max(200.0 * s.lcs(short, x) / (20 + len(x)) for x in stretches)
+        assert s.partial_ratio(short, long) == pytest.approx(want)
+        calls.clear()
+        got = s.partial_ratio(short, long, 80.0)
+        assert got == pytest.approx(want) if want >= 80 else got < 80
+        assert len(calls) < 50  # of 139 stretches
