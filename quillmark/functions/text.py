@@ -74,6 +74,41 @@ def match_text(c: Column, straight_quotes: bool = False, **options) -> Column:
     return collapse(c)
 
 
+#: What the expressions here take for white space.
+_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_NO_WIDTH = {ord(c): None for c in ZERO_WIDTH}
+
+
+def plain_words(s: str) -> list[str]:
+    """Words of a text that aren't empty."""
+    return [x for x in _WHITE.split(s) if x]
+
+
+def plain_match_text(s: str) -> str:
+    """:func:`match_text` of a plain text."""
+    if s.isascii():
+        return " ".join(plain_words(s.lower()))
+    s = " ".join(plain_words(unicodedata.normalize("NFKC", s).lower()))
+    return " ".join(plain_words(s.translate(_NO_WIDTH)))
+
+
+class Normals(dict):
+    """Texts with what :func:`plain_match_text` (or another function) makes of them, which is remembered."""
+
+    def __init__(self, normal=plain_match_text):
+        super().__init__()
+        self._normal = normal
+
+    def __missing__(self, s: str) -> str:
+        out = self[s] = self._normal(s)
+        return out
+
+    def trim(self, most: int = 1 << 18) -> None:
+        """Forgets all if there are more than ``most``."""
+        if len(self) > most:
+            self.clear()
+
+
 def alphanumeric(c: Column) -> Column:
     return F.regexp_replace(c, r"[^a-zA-Z0-9\s]", "")
 

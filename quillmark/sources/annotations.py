@@ -65,10 +65,14 @@ def fields(annotations: DataFrame, raw: str = "json", only: list[str] | None = N
     return rows.where(F.col("field_name").isin(only)) if only else rows
 
 
+def field_array(names: list[str]) -> Column:
+    """An array of ``field_ord, field_name, field_value`` out of columns, nulls as empty values."""
+    return F.array(*(F.struct(F.lit(k).alias("field_ord"), F.lit(n).alias("field_name"), F.coalesce(F.col(n).cast("string"), F.lit("")).alias("field_value")) for k, n in enumerate(names)))
+
+
 def fields_of_columns(rows: DataFrame, names: list[str]) -> DataFrame:
     """The same for annotations whose keys are columns: no UDF, nulls as empty values."""
-    pairs = F.array(*(F.struct(F.lit(n).alias("field_name"), F.coalesce(F.col(n).cast("string"), F.lit("")).alias("field_value")) for n in names))
-    return rows.select("doc_id", F.posexplode(pairs).alias("field_ord", "f")).select("doc_id", "field_ord", "f.field_name", "f.field_value")
+    return rows.select("doc_id", F.explode(field_array(names)).alias("f")).select("doc_id", "f.field_ord", "f.field_name", "f.field_value")
 
 
 def leaf_name(name: Column) -> Column:
